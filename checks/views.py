@@ -101,3 +101,83 @@ def turn_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("role").alias("source"),
         )
     )
+
+
+def all_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tickets(spark, sf_dir).unionByName(turn_tickets(spark, sf_dir))
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document tickets as raw JSON lines ``(source, line, pos, raw)`` with planted JSON flaws."""
+    t = document_tickets(spark, sf_dir)
+    i = F.col("pos")
+    labels = F.col("labels_json")
+
+    def members(*cols: Column | str) -> Column:
+        text = F.to_json(F.struct(*cols))
+        return F.substring(text, F.lit(2), F.length(text) - 2)
+
+    texts = [
+        c
+        for c, kind in t.dtypes
+        if kind == "string" and c not in ("model", "sentiment")
+    ]
+    raw = F.concat_ws(
+        ",",
+        members(*texts),
+        F.when(i % 53 != 0, members("model")),
+        F.when(i % 59 == 0, F.lit('"tags":["a",1]')).otherwise(members("tags")),
+        F.when(i % 61 == 0, F.lit('"labels_json":"x"'))
+        .when(
+            i % 67 == 0,
+            members(
+                F.struct(
+                    labels["l1"].alias("l1"), labels["l2"].alias("l2"), labels["tags"].alias("tags")
+                ).alias("labels_json")
+            ),
+        )
+        .otherwise(members("labels_json")),
+        F.when(i % 47 == 0, F.lit('"impact":"3"'))
+        .when(i % 79 == 0, F.lit('"impact":3.0'))
+        .otherwise(members("impact")),
+        members("urgency", "priority", "sentiment"),
+    )
+    whole = F.concat(F.lit("{"), raw, F.lit("}"))
+    return t.select(
+        F.lit("documents").alias("source"),
+        i.alias("line"),
+        i.alias("pos"),
+        F.when(i % 71 == 0, F.concat(F.lit("{bad"), whole))
+        .when(i % 73 == 0, F.lit("[1]"))
+        .otherwise(whole)
+        .alias("raw"),
+    )
+
+
+def fix_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as part rows, one part per language."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(
+        F.concat(F.lit("part_"), "lang", F.lit(".jsonl")).alias("part"),
+        F.col("doc_id").alias("line"),
+        F.concat(F.lit("TCKT-"), padded(F.col("doc_id"), 6)).alias("id_key"),
+        "text",
+        F.col("source").alias("origin"),
+    )
+
+
+def fix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as fixes: several per id, some ids new, system turns without a part."""
+    turns = table(spark, sf_dir, "conversations")
+    part = (
+        F.when(F.col("role") == "user", "part_en_fixed.jsonl")
+        .when(F.col("role") == "assistant", "part_fr_fixed.jsonl")
+        .otherwise("part_other_fixed.jsonl")
+    )
+    return turns.select(
+        part.alias("part"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("line"),
+        F.concat(F.lit("TCKT-"), padded(F.col("conv_id"), 6)).alias("id_key"),
+        "text",
+        F.col("role").alias("origin"),
+    )

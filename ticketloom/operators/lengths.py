@@ -43,7 +43,7 @@ def summary(freq: DataFrame, by: Sequence[str]) -> DataFrame:
         F.min("x").alias("min"),
         F.max("x").alias("max"),
         (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.percentile("x", 0.5, "n").alias("median"),
+        F.percentile("x", 0.5, F.col("n")).alias("median"),
     )
 
 
@@ -62,14 +62,14 @@ def length_stats(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 def medians(freq: DataFrame, by: str) -> DataFrame:
     """Exact median per class, largest first."""
     return (
-        freq.groupBy(by).agg(F.percentile("x", 0.5, "n").alias("median"))
+        freq.groupBy(by).agg(F.percentile("x", 0.5, F.col("n")).alias("median"))
         .orderBy(F.desc("median"), by)
     )
 
 
 def box_stats(freq: DataFrame, by: str) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and outlier rows, per class."""
-    quartiles = freq.groupBy(by).agg(F.percentile("x", [0.25, 0.5, 0.75], "n").alias("q"))
+    quartiles = freq.groupBy(by).agg(F.percentile("x", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
     spread = F.col("q")[2] - F.col("q")[0]
     low, high = F.col("q")[0] - 1.5 * spread, F.col("q")[2] + 1.5 * spread
     inside = F.col("x").between(low, high)
@@ -118,7 +118,7 @@ def histogram(freq: DataFrame, by: Sequence[str], bins: int = 40) -> DataFrame:
     edges = ranges(freq, by).select(*by, "low", "high")
     bucket = F.least(F.width_bucket(F.col("x").cast("double"), "low", "high", F.lit(bins)), F.lit(bins))
     filled = freq.join(edges, list(by)).groupBy(*by, bucket.alias("bin")).agg(F.sum("n").alias("n"))
-    frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))).cast("bigint"))
+    frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))))
     width = (F.col("high") - F.col("low")) / bins
     return frame.join(filled, [*by, "bin"], "left").select(
         *by,

@@ -72,13 +72,15 @@ def repair_category(df: DataFrame, taxonomy: DataFrame) -> DataFrame:
     marked = df.join(by_levels, LEVELS, "left").withColumn(
         "bad_path", F.when(F.col("level_path").isNull(), given)
     )
+    # the allowed paths as one list: the taxonomy is a small dimension
     paths = taxonomy.agg(F.collect_list("path")).scalar()
     distance = F.transform(
-        paths, lambda p: F.struct(F.levenshtein(F.col("bad_path"), p).alias("d"), p.alias("path"))
+        "paths", lambda p: F.struct(F.levenshtein(F.col("bad_path"), p).alias("d"), p.alias("path"))
     )
     nearest = (
         marked.select("bad_path").where("bad_path is not null").distinct()
-        .withColumn("near_path", F.array_min(distance)["path"])
+        .withColumn("paths", paths)
+        .select("bad_path", F.array_min(distance)["path"].alias("near_path"))
     )
     joined = lookup_join(marked, nearest, "bad_path", "left", "near-paths", fixed_width=False)
     chosen = joined.withColumn("path", F.coalesce("level_path", "near_path"))
