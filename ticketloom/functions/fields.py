@@ -113,43 +113,62 @@ def json_key_text(key: str, root: str = PARSED) -> Column:
     return F.to_json(json_value(key, "variant", root))
 
 
-def json_scale(key: str) -> Scale:
-    """Integers count as such, booleans as 0 and 1; ``3.0`` and ``"3"`` do not.
+def json_integer(key: str, kind: Column) -> Column:
+    """The value of a JSON integer; null for anything else.
 
-    Integers beyond 64 bits arrive as DECIMAL(p,0); they are clipped, which
-    keeps them out of range.
+    Booleans count as 0 and 1; ``3.0`` and ``"3"`` are no integers. Integers
+    beyond 64 bits arrive as DECIMAL(p,0) and are clipped, which keeps them
+    out of range.
     """
-    kind = json_type(key)
     edge = F.lit(9.2e18).cast("decimal(38,0)")
     number = json_value(key, "decimal(38,0)")
     huge = kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(number) > edge)
-    value = (
+    return (
         F.when(kind == "BIGINT", json_value(key, "bigint"))
         .when(kind == "BOOLEAN", json_value(key, "boolean").cast("bigint"))
         .when(huge, F.signum(number).cast("bigint") * F.lit(2**62))
     )
-    return Scale(value.isNotNull(), value)
 
 
-def json_fields() -> TicketFields:
-    """Fields of rows that went through ``parse_json``."""
-    tags = json_value("tags", "array<string>")
-    # the element type of a list ignores its nulls; an empty one has no type
-    all_texts = json_type("tags").isin("ARRAY<STRING>", "ARRAY<VOID>") & no_nulls(tags)
+def read_json_fields(parsed: DataFrame) -> DataFrame:
+    """Strictly typed columns of parsed rows, as ``json_fields`` expects them.
+
+    Kinds and values are columns of their own, so each is worked out once per
+    row however many rules look at it.
+    """
+    kinds = {f"{k}_kind": json_type(k) for k in [*SCALE_KEYS, "tags"]}
     label_keys = F.expr(
         f"map_keys(try_variant_get({PARSED}, '$.labels_json', 'map<string,variant>'))"
     )
-    is_record = F.col(KEYS).isNotNull()
+    values = {k: json_value(k, "string") for k in TEXT_KEYS}
+    values |= {k: json_integer(k, F.col(f"{k}_kind")) for k in SCALE_KEYS}
+    values |= {
+        "tags": json_value("tags", "array<string>"),
+        "labels_json": json_value("labels_json", LABELS_TYPE),
+        "labels_missing": F.array_except(string_array(LABEL_KEYS), label_keys),
+        "missing": F.array_except(string_array(REQUIRED_KEYS), F.col(KEYS)),
+        "id_key": F.when(
+            F.col(KEYS).isNotNull(), F.coalesce(json_key_text("ticket_id"), F.lit("null"))
+        ),
+    }
+    read = parsed.withColumns(kinds).withColumns(values)
+    # the element type of a list ignores its nulls; an empty one has no type
+    all_texts = F.col("tags_kind").isin("ARRAY<STRING>", "ARRAY<VOID>") & no_nulls(F.col("tags"))
+    return read.withColumn("tags_ok", all_texts).drop(*kinds)
+
+
+def json_fields() -> TicketFields:
+    """Fields of rows that went through ``read_json_fields``."""
     return TicketFields(
-        is_record=is_record,
-        missing=F.array_except(string_array(REQUIRED_KEYS), F.col(KEYS)),
-        id_key=F.when(is_record, F.coalesce(json_key_text("ticket_id"), F.lit("null"))),
-        text={k: json_value(k, "string") for k in TEXT_KEYS},
-        scales={k: json_scale(k) for k in SCALE_KEYS},
-        tags=tags,
-        tags_ok=all_texts,
-        labels=json_value("labels_json", LABELS_TYPE),
-        labels_missing=F.array_except(string_array(LABEL_KEYS), label_keys),
+        is_record=F.col(KEYS).isNotNull(),
+        missing=F.col("missing"),
+        id_key=F.col("id_key"),
+        text={k: F.col(k) for k in TEXT_KEYS},
+        scales={k: Scale(F.col(k).isNotNull(), F.col(k)) for k in SCALE_KEYS},
+        tags=F.col("tags"),
+        tags_ok=F.col("tags_ok"),
+        labels=F.col("labels_json"),
+        labels_missing=F.col("labels_missing"),
     )
 
 
@@ -160,16 +179,17 @@ def flatten_json(parsed: DataFrame, keep: list[str]) -> DataFrame:
     one-tag list. Alongside: ``is_record``, ``missing`` keys, and
     ``priority_number``, the priority as written (null for a text).
     """
-    fields = json_fields()
+    tags = json_value("tags", "array<string>")
     lone_tag = F.when(json_type("tags") == "STRING", F.array(json_value("tags", "string")))
     written = F.when(json_type("priority") != "STRING", json_value("priority", "double"))
     columns = {key: json_value(key, "string") for key in TEXT_KEYS}
     columns |= {key: json_value(key, "int") for key in SCALE_KEYS}
-    columns |= {"tags": F.coalesce(fields.tags, lone_tag), "labels_json": fields.labels}
+    columns |= {"tags": F.coalesce(tags, lone_tag)}
+    columns |= {"labels_json": json_value("labels_json", LABELS_TYPE)}
     return parsed.select(
         *keep,
-        fields.is_record.alias("is_record"),
-        fields.missing.alias("missing"),
+        F.col(KEYS).isNotNull().alias("is_record"),
+        F.array_except(string_array(REQUIRED_KEYS), F.col(KEYS)).alias("missing"),
         written.alias("priority_number"),
         *[columns[key].alias(key) for key in REQUIRED_KEYS],
     )

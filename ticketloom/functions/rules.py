@@ -55,8 +55,8 @@ def has_zone(text: Column) -> Column:
     return text.rlike(ZONE_PATTERN)
 
 
-def timestamp_code(created: Column, updated: Column) -> Column:
-    start, end = instant(created), instant(updated)
+def timestamp_code(created: Column, updated: Column, start: Column, end: Column) -> Column:
+    """``start`` and ``end`` are the instants of the two texts."""
     usable = start.isNotNull() & end.isNotNull() & (has_zone(created) == has_zone(updated))
     return F.when(~F.coalesce(usable, F.lit(False)), F.lit("bad:timestamp")).when(
         end < start, F.lit("bad:updated_at<created_at")
@@ -112,7 +112,9 @@ def missing_codes(missing: Column) -> Column:
     return F.when(F.size(missing) > 0, F.concat(F.lit(prefix), listed))
 
 
-def row_codes(fields: TicketFields, category_known: Column) -> Column:
+def row_codes(
+    fields: TicketFields, category_known: Column, start: Column, end: Column
+) -> Column:
     """All codes of one row in contract order (before the duplicate check).
 
     A missing key hides every other code.
@@ -122,7 +124,7 @@ def row_codes(fields: TicketFields, category_known: Column) -> Column:
         code_unless(channel_ok(text["channel"]), "bad:channel"),
         code_unless(sentiment_ok(text["sentiment"]), "bad:sentiment"),
         *[scale_code(fields, k) for k in SCALE_KEYS],
-        timestamp_code(text["created_at"], text["updated_at"]),
+        timestamp_code(text["created_at"], text["updated_at"], start, end),
         code_unless(path_matches(text), "bad:category_path_mismatch"),
         code_unless(category_known, "bad:category_not_allowed"),
         code_unless(fields.tags_ok, "bad:tags"),

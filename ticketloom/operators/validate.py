@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.functions.fields import TicketFields, json_fields, typed_fields
+from ticketloom.functions.fields import (
+    TicketFields,
+    json_fields,
+    read_json_fields,
+    typed_fields,
+)
 from ticketloom.functions.joins import lookup_join
 from ticketloom.functions.rules import (
     DUPLICATE_ID,
@@ -15,6 +20,7 @@ from ticketloom.functions.rules import (
     clean_tags,
     code_list,
     expected_priority,
+    instant,
     join_codes,
     row_codes,
     strict_codes,
@@ -31,10 +37,15 @@ def check_rows(
     if profile not in ("code", "strict"):
         raise ValueError(f"unknown profile {profile!r}")
     paths = taxonomy.select(F.col("path").alias("known_path"))
-    joined = df.withColumn("given_path", fields.text["category_path"]).join(
-        paths, F.col("given_path") == F.col("known_path"), "left"
-    )
-    codes = row_codes(fields, F.col("known_path").isNotNull())
+    # instants are columns of their own: each text is parsed once, not per rule
+    joined = df.withColumns(
+        {
+            "given_path": fields.text["category_path"],
+            "start_at": instant(fields.text["created_at"]),
+            "end_at": instant(fields.text["updated_at"]),
+        }
+    ).join(paths, F.col("given_path") == F.col("known_path"), "left")
+    codes = row_codes(fields, F.col("known_path").isNotNull(), F.col("start_at"), F.col("end_at"))
     if profile == "strict":
         extra = F.when(F.size(fields.missing) == 0, F.nullif(strict_codes(fields), F.lit("")))
         codes = join_codes(F.nullif(codes, F.lit("")), extra)
@@ -43,13 +54,14 @@ def check_rows(
             CODES: F.when(fields.is_record, codes),
             "id_key": fields.id_key,
         }
-    ).drop("given_path", "known_path")
+    ).drop("given_path", "known_path", "start_at", "end_at")
 
 
 def check_json_rows(parsed: DataFrame, taxonomy: DataFrame, profile: str = "code") -> DataFrame:
-    """``check_rows`` for rows that went through ``parse_json``."""
-    checked = check_rows(parsed, taxonomy, json_fields(), profile)
-    return checked.withColumn(
+    """Codes of rows that went through ``parse_json``; keeps their columns and the ticket id."""
+    checked = check_rows(read_json_fields(parsed), taxonomy, json_fields(), profile)
+    kept = checked.select(*parsed.columns, "ticket_id", "id_key", CODES)
+    return kept.withColumn(
         CODES,
         F.when(~F.col("parse_ok"), F.lit(UNPARSEABLE))
         .when(F.col("keys").isNull(), F.lit(NOT_OBJECT))

@@ -31,9 +31,7 @@ class Built:
 
 def checked_lines(lines: DataFrame, taxonomy: DataFrame, profile: str) -> DataFrame:
     """Parse and check each line; keeps provenance, text, id and codes only."""
-    checked = check_json_rows(parse_json(lines), taxonomy, profile)
-    ticket_id = F.expr("try_variant_get(parsed, '$.ticket_id', 'string')")
-    return checked.withColumn("ticket_id", ticket_id).drop("parsed", "keys")
+    return check_json_rows(parse_json(lines), taxonomy, profile).drop("parsed", "keys")
 
 
 def clean_json(validated: DataFrame) -> DataFrame:
