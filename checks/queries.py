@@ -509,7 +509,7 @@ TEXT_FIELDS = ["title_ar", "description_ar"]
 
 
 def field_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lengths.text_lengths(document_tickets(spark, sf_dir), TEXT_FIELDS, null_as_empty=False)
+    return lengths.text_lengths(document_tickets(spark, sf_dir), TEXT_FIELDS)
 
 
 @query

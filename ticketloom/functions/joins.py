@@ -17,7 +17,7 @@ def lookup_join(
     how: str = "left",
     name: str = "lookup",
     fixed_width: bool = True,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which holds one row per key.
 
@@ -29,6 +29,7 @@ def lookup_join(
     lookup's side of a split key is a single row, so splitting costs nothing.
     """
     staged = stage(lookup, name)
-    if fixed_width and staged.count() <= broadcast_rows:
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    if fixed_width and staged.count() <= limit:
         staged = F.broadcast(staged)
     return rows.join(staged, on, how)

@@ -23,7 +23,7 @@ def text_or_empty(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text_or_empty(text)) == ""
+    return F.ltrim(text_or_empty(text), F.lit(WHITESPACE)) == ""
 
 
 def end_with_dot(text: Column) -> Column:

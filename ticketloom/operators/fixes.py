@@ -65,11 +65,12 @@ def merge_fixes(
         last_fixes(fixes).select(*keys, "first_line", *[F.col(c).alias(f"fix_{c}") for c in payload]),
         "latest-fixes",
     )
+    # combined per id before the join, so a hot id is one row; with few fixes
+    # Catalyst pushes the broadcast semi join below the aggregate
     first_rows = stage(
-        parts.select(*keys, "line")
-        .join(latest.select(*keys), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.min("line").alias("line")),
+        parts.groupBy(*keys)
+        .agg(F.min("line").alias("line"))
+        .join(latest.select(*keys), keys, "left_semi"),
         "rows-to-replace",
     )
     fix_columns = [f"fix_{c}" for c in payload]

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.functions.text import is_blank, text_or_empty
+from ticketloom.session import stage
 
 KDE_POINTS = 200
 
@@ -24,39 +25,47 @@ def value_frequencies(df: DataFrame, value: Column, by: Sequence[str] = ()) -> D
     return wanted.groupBy(*by, "x").agg(F.count("*").alias("n"))
 
 
-def text_lengths(df: DataFrame, fields: Sequence[str], null_as_empty: bool) -> DataFrame:
-    """``(field, x, n)``: rows per length in code points of each text field.
+def text_lengths(df: DataFrame, fields: Sequence[str], null_as_empty: bool = False) -> DataFrame:
+    """``(field, x, n, n_blank)``: rows per length in code points of each text field.
 
-    Nulls count as empty texts or are left out.
+    ``n_blank`` counts null and white-space-only texts. Nulls have a length of
+    their own, null, or count as empty texts.
     """
-    def size(name: str) -> Column:
-        return F.length(text_or_empty(F.col(name)) if null_as_empty else F.col(name))
+    def entry(name: str) -> Column:
+        text = text_or_empty(F.col(name)) if null_as_empty else F.col(name)
+        return F.struct(
+            F.lit(name).alias("field"),
+            F.length(text).alias("x"),
+            is_blank(F.col(name)).alias("blank"),
+        )
 
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), size(f).alias("x")) for f in fields])
-    return value_frequencies(df.select(F.inline(pairs)), F.col("x"), ["field"])
+    pairs = df.select(F.inline(F.array(*[entry(f) for f in fields])))
+    return pairs.groupBy("field", "x").agg(
+        F.count("*").alias("n"), F.count_if("blank").alias("n_blank")
+    )
 
 
 def summary(freq: DataFrame, by: Sequence[str]) -> DataFrame:
     """min, max, mean and exact median per group of a frequency table."""
+    weight = F.when(F.col("x").isNotNull(), F.col("n"))
+    blank = [F.sum("n_blank").alias("n_blank")] if "n_blank" in freq.columns else []
     return freq.groupBy(*by).agg(
-        F.sum("n").alias("n_rows"),
         F.min("x").alias("min"),
         F.max("x").alias("max"),
-        (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("mean"),
+        (F.sum(F.col("x") * weight) / F.sum(weight)).alias("mean"),
         F.percentile("x", 0.5, F.col("n")).alias("median"),
+        *blank,
     )
 
 
-def blank_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """``(field, n_blank)``: null or white-space-only texts."""
-    counted = df.agg(*[F.count_if(is_blank(F.col(f))).alias(f) for f in fields])
-    return counted.unpivot([], list(fields), "field", "n_blank")
+def length_stats(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Per text field: min, max, mean, median length and blank rows, from one pass."""
+    return summary(text_lengths(df, fields), ["field"])
 
 
-def length_stats(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Per text field: min, max, mean, median length and blank rows."""
-    stats = summary(text_lengths(df, fields, null_as_empty=False), ["field"])
-    return blank_counts(df, fields).join(stats.drop("n_rows"), "field", "left")
+def pinned(freq: DataFrame) -> DataFrame:
+    """The frequencies on shared storage: steps that use them repeatedly scan the source once."""
+    return stage(freq.where("x is not null"), "frequencies")
 
 
 def medians(freq: DataFrame, by: str) -> DataFrame:
@@ -69,6 +78,7 @@ def medians(freq: DataFrame, by: str) -> DataFrame:
 
 def box_stats(freq: DataFrame, by: str) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and outlier rows, per class."""
+    freq = pinned(freq)
     quartiles = freq.groupBy(by).agg(F.percentile("x", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
     spread = F.col("q")[2] - F.col("q")[0]
     low, high = F.col("q")[0] - 1.5 * spread, F.col("q")[2] + 1.5 * spread
@@ -115,6 +125,7 @@ def ranges(freq: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def histogram(freq: DataFrame, by: Sequence[str], bins: int = 40) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins included."""
+    freq = pinned(freq)
     edges = ranges(freq, by).select(*by, "low", "high")
     bucket = F.least(F.width_bucket(F.col("x").cast("double"), "low", "high", F.lit(bins)), F.lit(bins))
     filled = freq.join(edges, list(by)).groupBy(*by, bucket.alias("bin")).agg(F.sum("n").alias("n"))
@@ -136,6 +147,7 @@ def density_curve(freq: DataFrame, by: Sequence[str], bins: int = 40) -> DataFra
     over the fixed grid, so the work is distinct values times 200, and
     partial aggregation brings it back to 200 rows per group and task.
     """
+    freq = pinned(freq)
     centred = F.col("x") - F.col("sum_x") / F.col("total")
     stats = ranges(freq, by)
     spread = (

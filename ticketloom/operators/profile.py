@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.functions.text import key_hash
+from ticketloom.session import stage
 
 LEVELS = ["category_level_1", "category_level_2", "category_level_3"]
 
@@ -106,15 +107,15 @@ def class_balance(df: DataFrame, classes: Sequence[str] = LEVELS) -> DataFrame:
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str] | None = None) -> DataFrame:
     """Counts of ``row`` by ``col``, absent pairs 0; ``values`` fixes the columns if known.
 
-    Rows are counted per pair first, so finding the columns reads those counts
-    and not the table.
+    Rows are counted per pair first; finding the columns then reads the staged
+    counts and not the table.
     """
     pairs = (
         df.select(row, col).where(F.col(row).isNotNull() & F.col(col).isNotNull())
         .groupBy(row, col).agg(F.count("*").alias("n"))
     )
     if values is None:
-        wide = pairs.groupBy(row).pivot(col)
+        wide = stage(pairs, "pairs").groupBy(row).pivot(col)
     else:
         wide = pairs.groupBy(row).pivot(col, list(values))
     return wide.agg(F.sum("n")).na.fill(0)

@@ -111,7 +111,7 @@ def first_taxonomy_violations(df: DataFrame, taxonomy: DataFrame, k: int = 10) -
 def lengths(df: DataFrame) -> DataFrame:
     """Mean, median, min and max characters of title and description (null as empty)."""
     freq = text_lengths(records(df), [TITLE, DESCRIPTION], null_as_empty=True)
-    return summary(freq, ["field"]).drop("n_rows")
+    return summary(freq.drop("n_blank"), ["field"])
 
 
 def hierarchy_counts(df: DataFrame) -> DataFrame:

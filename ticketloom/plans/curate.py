@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ticketloom.functions.fields import flatten_json, parse_json
 from ticketloom.operators.dedupe import vary_duplicates
 from ticketloom.operators.enrich import postprocess
 from ticketloom.operators.quality import report
 from ticketloom.operators.repair import repair_lines
-from ticketloom.session import prepare
+from ticketloom.session import prepare, stage
 from ticketloom.sources.lines import read_parts
 from ticketloom.sources.tables import project, write_jsonl, write_report
 from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy
@@ -40,7 +39,9 @@ def vary_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -
 def report_parts(spark: SparkSession, glob: str, out: str | None = None) -> DataFrame:
     """Quality report of all parts as text lines; written if ``out`` is given."""
     prepare(spark)
-    lines = report(read_tickets(spark, glob), built_in_taxonomy(spark))
+    # parsed once; the report's passes then read only the columns they need
+    tickets = stage(read_tickets(spark, glob).drop("raw"), "tickets")
+    lines = report(tickets, built_in_taxonomy(spark))
     if out:
         write_report(lines, out)
     return lines
