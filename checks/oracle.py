@@ -103,6 +103,7 @@ def codes_cte(name: str, tickets: str, json: bool = False, strict: bool = False)
         ", CASE WHEN NOT regexp_matches(ticket_id, '^TCKT-\\d+(-\\d+)?$') THEN 'strict:ticket_id_format' END"
         ", CASE WHEN NOT (regexp_matches(created_at, '(Z|[+-]\\d{2}:\\d{2})$')"
         " AND regexp_matches(updated_at, '(Z|[+-]\\d{2}:\\d{2})$')) THEN 'strict:timestamp_zone' END"
+        ", CASE WHEN labels_json.tags IS DISTINCT FROM tags THEN 'strict:labels_differ' END"
         if strict
         else ""
     )
@@ -111,6 +112,7 @@ def codes_cte(name: str, tickets: str, json: bool = False, strict: bool = False)
       CASE WHEN sentiment NOT IN ('positive','neutral','negative','mixed') THEN 'bad:sentiment' END,
       {ranges},
       CASE WHEN try_cast(created_at AS TIMESTAMPTZ) IS NULL OR try_cast(updated_at AS TIMESTAMPTZ) IS NULL
+        OR (length(created_at) = 10) <> (length(updated_at) = 10)
         THEN 'bad:timestamp'
         WHEN try_cast(updated_at AS TIMESTAMPTZ) < try_cast(created_at AS TIMESTAMPTZ) THEN 'bad:updated_at<created_at' END,
       CASE WHEN category_path IS DISTINCT FROM category_level_1 || ' > ' || category_level_2 || ' > ' || category_level_3
@@ -177,9 +179,8 @@ def on_everything(select: str) -> str:
     return f"WITH {taxonomy_cte()},\n{both_views()}\n{select}"
 
 
-def on_validated(select: str, strict: bool = False) -> str:
-    codes = codes_cte("val", "tickets", strict=strict)
-    return f"WITH {taxonomy_cte()},\n{documents_view()},\n{codes}\n{select}"
+def on_validated(select: str) -> str:
+    return f"WITH {taxonomy_cte()},\n{documents_view()},\n{codes_cte('val', 'tickets')}\n{select}"
 
 
 def on_json(select: str) -> str:
@@ -218,7 +219,14 @@ ORACLE["rejected_listing"] = on_validated(
     "SELECT coalesce(nullif(ticket_id, ''), 'documents:' || pos) AS row_id,"
     " replace(reason, ',', ', ') AS causes FROM val WHERE reason <> ''"
 )
-ORACLE["strict_contract"] = on_validated("SELECT pos, ticket_id, reason FROM val", strict=True)
+STRICT_VIEW = """odd AS (SELECT * REPLACE (tags[1:CAST(1 + pos % 4 AS INT)] AS tags,
+    CASE WHEN pos % 17 = 0 THEN replace(ticket_id, '-', '_') ELSE ticket_id END AS ticket_id,
+    CASE WHEN pos % 13 = 0 THEN split_part(created_at, 'T', 1) ELSE created_at END AS created_at) FROM tickets)"""
+ORACLE["strict_contract"] = (
+    f"WITH {taxonomy_cte()},\n{documents_view()},\n{STRICT_VIEW},\n"
+    + codes_cte("val", "odd", strict=True)
+    + "\nSELECT pos, ticket_id, reason FROM val"
+)
 ORACLE["canonical_columns"] = on_everything(f"SELECT {flat_columns(pos=False)} FROM everything")
 ORACLE["preview_head"] = on_tickets(f"SELECT {flat_columns()} FROM tickets ORDER BY pos LIMIT 5")
 ORACLE["taxonomy_coverage"] = on_everything(
@@ -314,6 +322,7 @@ UNION ALL
 SELECT l.part, last_line + first_line, l.text, l.origin, true
 FROM latest l JOIN ends USING (part)
 WHERE NOT EXISTS (SELECT 1 FROM targets t WHERE t.part = l.part AND t.id_key = l.id_key)"""
+ORACLE["fix_version"] = f"SELECT part, line, text, origin FROM ({ORACLE['fix_merge']})"
 ORACLE["fix_orphans"] = f"""WITH {FIX_VIEWS}
 SELECT stem || '_fixed.jsonl' AS part, line, id_key, origin FROM fixes
 WHERE stem || '.jsonl' NOT IN (SELECT part FROM parts)"""
@@ -402,7 +411,7 @@ ORACLE["dq_first10_taxonomy"] = on_tickets(UNKNOWN)
 
 def lengths_sql(view: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{f}' AS field, min(length({f})) AS min, max(length({f})) AS max,"
+        f"SELECT '{f}' AS field, CAST(min(length({f})) AS INT) AS min, CAST(max(length({f})) AS INT) AS max,"
         f" round(avg(length({f})), 4) AS mean, round(median(length({f})), 4) AS median FROM {view}"
         for f in ("title_ar", "description_ar")
     )
@@ -416,7 +425,7 @@ def top_sql(view: str, keys: dict[str, str]) -> str:
         f"SELECT '{name}' AS table_name, {key} AS key, count(*) AS n FROM {view} GROUP BY 2"
         for name, key in keys.items()
     )
-    return f"""SELECT table_name, key, n, rank FROM (SELECT *,
+    return f"""SELECT table_name, key, n, CAST(rank AS INT) AS rank FROM (SELECT *,
       row_number() OVER (PARTITION BY table_name ORDER BY n DESC, key) AS rank FROM ({counts})) WHERE rank <= 10"""
 
 
@@ -716,7 +725,7 @@ def crosstab_sql(col: str, values: list[str]) -> str:
 ORACLE["crosstab_sentiment"] = crosstab_sql("sentiment", ["angry", "mixed", "negative", "neutral", "positive"])
 ORACLE["crosstab_dialect"] = crosstab_sql("dialect", ["de", "en", "es", "fr"])
 ORACLE["length_columns"] = on_tickets(
-    f"SELECT pos, length(title_ar) AS title_len, length(description_ar) AS desc_len,"
+    f"SELECT pos, CAST(length(title_ar) AS INT) AS title_len, CAST(length(description_ar) AS INT) AS desc_len,"
     f" {strip('description_ar')} = '' AS desc_blank FROM tickets"
 )
 LENGTH_ROWS = """len AS (SELECT 'title_ar' AS field, length(title_ar) AS x FROM tickets
@@ -745,7 +754,7 @@ FROM grid JOIN freq USING (field) GROUP BY field, j, point""",
 ORACLE["length_stats"] = on_everything(
     " UNION ALL ".join(
         f"SELECT '{f}' AS field, count(*) FILTER ({f} IS NULL OR {strip(f)} = '') AS n_blank,"
-        f" min(length({f})) AS min, max(length({f})) AS max, round(avg(length({f})), 4) AS mean,"
+        f" CAST(min(length({f})) AS INT) AS min, CAST(max(length({f})) AS INT) AS max, round(avg(length({f})), 4) AS mean,"
         f" round(median(length({f})), 4) AS median FROM everything"
         for f in ("title_ar", "description_ar")
     )

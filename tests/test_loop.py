@@ -76,3 +76,27 @@ def test_report_file(spark, parts, tmp_path):
     files = [p for p in (tmp_path / "report").iterdir() if p.name.startswith("part-")]
     assert len(files) == 1
     write_report(lines, str(tmp_path / "report"))
+
+
+def test_merged_version_keeps_order(spark, tmp_path):
+    from ticketloom.sources.lines import number_lines, read_parts
+    from ticketloom.sources.tables import write_version
+    from ticketloom.session import stage
+
+    parts = tmp_path / "parts"
+    parts.mkdir()
+    for name, n in (("part_1.jsonl", 50), ("part_2.jsonl", 400)):
+        lines = [json.dumps({"ticket_id": f"{name}-{i}", "n": i}) for i in range(n)]
+        (parts / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    (parts / "part_1_fixed.jsonl").write_text(
+        '{"ticket_id":"new","n":-1}\n{"ticket_id":"part_1.jsonl-7","n":-7}\n', encoding="utf-8"
+    )
+    scanned = stage(plan.scan_with_fixes(spark, str(parts / "part_?.jsonl"), str(parts / "*_fixed.jsonl")), "lines")
+    merged = plan.apply_fixes(number_lines(scanned))
+    expected = [r.raw for r in merged.orderBy("pos").collect()]
+    assert len(expected) == 451
+    assert json.loads(expected[7])["n"] == -7 and json.loads(expected[50])["ticket_id"] == "new"
+    named = merged.selectExpr("regexp_extract(source, '[^/]+$', 0) AS part", "line", "raw")
+    write_version(named, str(tmp_path / "version"))
+    again = read_parts(spark, str(tmp_path / "version" / "*")).orderBy("pos")
+    assert [r.raw for r in again.collect()] == expected

@@ -74,27 +74,29 @@ WRAPPED = "wrapped"
 PARSED = "parsed"
 PARSE_OK = "parse_ok"
 KEYS = "keys"
+END_MARK = "end of line"
 
 
 def parse_json(lines: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``parsed`` (VARIANT), ``parse_ok`` and ``keys`` (null for non-objects).
 
     The parser stops after the first complete value and would let trailing
-    characters pass, so the text is parsed inside a frame that only closes
-    properly around one whole value.
+    characters pass. So the text is parsed inside a frame that only closes
+    properly, with its mark in place, around exactly one value.
     """
-    wrapped = F.concat(F.lit('[{"value":'), F.col(raw), F.lit("},0]"))
-    framed = lines.withColumn(WRAPPED, F.try_parse_json(wrapped))
-    whole = (
-        F.expr(f"try_variant_get({WRAPPED}, '$[1]', 'int')") == 0
-    ) & (F.expr(f"size(try_variant_get({WRAPPED}, '$[0]', 'map<string,variant>'))") == 1)
+    framed = F.concat(F.lit("[["), F.col(raw), F.lit(f'],"{END_MARK}"]'))
+
+    def inside(path: str, kind: str) -> Column:
+        return F.expr(f"try_variant_get({WRAPPED}, '{path}', '{kind}')")
+
+    closed = inside("$[1]", "string").eqNullSafe(END_MARK)
+    one_value = F.col(PARSED).isNotNull() & inside("$[0][1]", "variant").isNull()
     return (
-        framed.withColumn(PARSE_OK, F.coalesce(whole, F.lit(False)))
-        .withColumn(
-            PARSED,
-            F.when(F.col(PARSE_OK), F.expr(f"try_variant_get({WRAPPED}, '$[0].value', 'variant')")),
-        )
+        lines.withColumn(WRAPPED, F.try_parse_json(framed))
+        .withColumn(PARSED, F.when(closed, inside("$[0][0]", "variant")))
+        .withColumn(PARSE_OK, one_value)
         .drop(WRAPPED)
+        .withColumn(PARSED, F.when(F.col(PARSE_OK), F.col(PARSED)))
         .withColumn(KEYS, F.expr(f"map_keys(try_variant_get({PARSED}, '$', 'map<string,variant>'))"))
     )
 
@@ -193,3 +195,13 @@ def flatten_json(parsed: DataFrame, keep: list[str]) -> DataFrame:
         written.alias("priority_number"),
         *[columns[key].alias(key) for key in REQUIRED_KEYS],
     )
+
+
+def keep_records(flat: DataFrame) -> DataFrame:
+    """Drop rows that did not parse.
+
+    A plain filter would be pushed below the parsing and parse every line a
+    second time to decide; a generator is not.
+    """
+    row = F.struct(*flat.columns)
+    return flat.select(F.inline(F.when(F.col("is_record"), F.array(row))))

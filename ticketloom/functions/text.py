@@ -18,6 +18,12 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def strip_line(line: Column) -> Column:
+    """``strip`` for JSON lines: one that already starts and ends with a brace is left alone."""
+    bare = line.startswith("{") & line.endswith("}")
+    return F.when(bare, line).otherwise(strip(line))
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 from ticketloom.fixed import REQUIRED_KEYS
 from ticketloom.functions.fields import flatten_json, parse_json
 from ticketloom.functions.rules import clean_tags, expected_priority
-from ticketloom.functions.text import strip
 from ticketloom.operators.fixes import is_fix_part, merge_fixes, pair_fixes
 from ticketloom.operators.validate import check_json_rows, rejected_listing, resolve
 from ticketloom.session import prepare, stage
-from ticketloom.sources.lines import drop_blank, number_lines, position, scan_lines
+from ticketloom.sources.lines import number_lines, position, scan_lines
 from ticketloom.sources.tables import write_csv, write_json_text, write_rejects
 from ticketloom.sources.taxonomy import built_in_taxonomy, load_taxonomy
 
@@ -124,11 +123,10 @@ def checked_parts(
     numbers are added to the staged rows.
     """
     if fixes_glob is None:
-        scanned = scan_lines(spark, input_glob).withColumn("raw", strip(F.col("raw")))
-        staged = stage(checked_lines(scanned, taxonomy, profile), "checked")
+        staged = stage(checked_lines(scan_lines(spark, input_glob), taxonomy, profile), "checked")
         return number_lines(staged).where(F.col("raw") != "")
     scanned = stage(scan_with_fixes(spark, input_glob, fixes_glob), "lines")
-    merged = apply_fixes(drop_blank(number_lines(scanned)))
+    merged = apply_fixes(number_lines(scanned).where(F.col("raw") != ""))
     return stage(checked_lines(merged, taxonomy, profile), "checked")
 
 

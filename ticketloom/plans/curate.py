@@ -3,29 +3,39 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketloom.functions.fields import flatten_json, parse_json
+from ticketloom.functions.fields import flatten_json, keep_records, parse_json
 from ticketloom.operators.dedupe import vary_duplicates
 from ticketloom.operators.enrich import postprocess
 from ticketloom.operators.quality import report
 from ticketloom.operators.repair import repair_lines
 from ticketloom.session import prepare, stage
-from ticketloom.sources.lines import read_parts
+from ticketloom.sources.lines import number_lines, read_parts, scan_lines
 from ticketloom.sources.tables import project, write_jsonl, write_report
 from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy
 
-PLACE = ["source", "line", "pos", "raw"]
+def scan_tickets(spark: SparkSession, glob: str) -> DataFrame:
+    """Non-blank lines as typed columns; unparseable ones have ``is_record`` false."""
+    lines = scan_lines(spark, glob).where(F.col("raw") != "")
+    return flatten_json(parse_json(lines), ["source"])
 
 
 def read_tickets(spark: SparkSession, glob: str) -> DataFrame:
-    """Parts as typed columns with their place; unparseable lines have ``is_record`` false."""
-    return flatten_json(parse_json(read_parts(spark, glob)), PLACE)
+    """``scan_tickets`` with line numbers and ``pos``.
+
+    The text is parsed in the scan; typed columns are staged, and whatever
+    reads them again does so column by column.
+    """
+    lines = scan_lines(spark, glob).withColumn("is_blank", F.col("raw") == "")
+    typed = flatten_json(parse_json(lines), ["source", "block", "row_id", "is_blank"])
+    return number_lines(stage(typed, "tickets")).where(~F.col("is_blank")).drop("is_blank")
 
 
 def postprocess_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -> None:
-    """Remap, recompute priority and enrich short texts of all parts."""
+    """Remap, recompute priority and enrich short texts of all parts: one narrow pass."""
     prepare(spark)
-    tickets = read_tickets(spark, glob).where("is_record")
+    tickets = keep_records(scan_tickets(spark, glob))
     write_jsonl(project(postprocess(tickets, built_in_remap(spark), mode)), out)
 
 
@@ -39,9 +49,7 @@ def vary_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -
 def report_parts(spark: SparkSession, glob: str, out: str | None = None) -> DataFrame:
     """Quality report of all parts as text lines; written if ``out`` is given."""
     prepare(spark)
-    # parsed once; the report's passes then read only the columns they need
-    tickets = stage(read_tickets(spark, glob).drop("raw"), "tickets")
-    lines = report(tickets, built_in_taxonomy(spark))
+    lines = report(read_tickets(spark, glob), built_in_taxonomy(spark))
     if out:
         write_report(lines, out)
     return lines

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.joins import lookup_join
-from ticketloom.functions.text import strip
+from ticketloom.functions.text import strip_line
 from ticketloom.session import stage
 
 # pos = file number * 2^37 + line: 2^26 files of 2^37 lines each fit a bigint
@@ -18,7 +18,7 @@ FILES_PER_RANGE_BITS = 20
 
 
 def scan_lines(spark: SparkSession, glob: str) -> DataFrame:
-    """Lines of all matching text files as ``(source, block, row_id, raw)``.
+    """Stripped lines of all matching text files as ``(source, block, row_id, raw)``.
 
     ``row_id`` grows along each file split and is only meaningful once staged:
     add narrow columns if wanted, ``stage``, then ``number_lines``.
@@ -27,7 +27,7 @@ def scan_lines(spark: SparkSession, glob: str) -> DataFrame:
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row_id"),
-        F.col("value").alias("raw"),
+        strip_line(F.col("value")).alias("raw"),
     )
 
 
@@ -82,11 +82,9 @@ def number_lines(staged: DataFrame) -> DataFrame:
     )
 
 
-def drop_blank(lines: DataFrame) -> DataFrame:
-    """Strip each line and drop those with nothing left; numbers stay physical."""
-    return lines.withColumn("raw", strip(F.col("raw"))).where(F.col("raw") != "")
-
-
 def read_parts(spark: SparkSession, glob: str) -> DataFrame:
-    """Non-blank lines of all parts as ``(source, raw, file_no, line, pos)``."""
-    return drop_blank(number_lines(stage(scan_lines(spark, glob), "lines")))
+    """Non-blank lines of all parts as ``(source, raw, file_no, line, pos)``.
+
+    Blank ones are dropped after numbering: numbers are physical.
+    """
+    return number_lines(stage(scan_lines(spark, glob), "lines")).where(F.col("raw") != "")

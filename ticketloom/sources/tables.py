@@ -57,6 +57,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     flatten_nested(project(df)).write.mode("overwrite").csv(path, emptyValue="", **CSV_OPTIONS)
 
 
+def write_version(lines: DataFrame, path: str) -> None:
+    """A new version of parts ``(part, line, raw)``: one folder per part, lines in order.
+
+    Range partitions keep the order across the files of a part, so a scan of
+    ``path/*`` numbers the lines as they stand. A large part spans many tasks.
+    """
+    ordered = lines.repartitionByRange("part", "line").sortWithinPartitions("part", "line")
+    ordered.select("part", "raw").write.mode("overwrite").partitionBy("part").text(path)
+
+
 def reject_json(rejected: DataFrame) -> DataFrame:
     """``{source, line, reason, ticket | raw}`` as one JSON text per rejected line.
 
