@@ -115,20 +115,18 @@ def json_key_text(key: str, root: str = PARSED) -> Column:
     return F.to_json(json_value(key, "variant", root))
 
 
-def json_integer(key: str, kind: Column) -> Column:
+def integer_of(value: Column, kind: Column) -> Column:
     """The value of a JSON integer; null for anything else.
 
     Booleans count as 0 and 1; ``3.0`` and ``"3"`` are no integers. Integers
-    beyond 64 bits arrive as DECIMAL(p,0) and are clipped, which keeps them
-    out of range.
+    beyond 64 bits arrive as DECIMAL(p,0) with 19 digits or more; a stand-in
+    keeps them out of range.
     """
-    edge = F.lit(9.2e18).cast("decimal(38,0)")
-    number = json_value(key, "decimal(38,0)")
-    huge = kind.rlike(r"^DECIMAL\(\d+,0\)$") & (F.abs(number) > edge)
+    text = F.try_variant_get(value, "$", "string")
+    huge = kind.startswith("DECIMAL") & kind.endswith(",0)") & (F.length(text) >= 19)
     return (
-        F.when(kind == "BIGINT", json_value(key, "bigint"))
-        .when(kind == "BOOLEAN", json_value(key, "boolean").cast("bigint"))
-        .when(huge, F.signum(number).cast("bigint") * F.lit(2**62))
+        F.when(kind.isin("BIGINT", "BOOLEAN"), F.try_variant_get(value, "$", "bigint"))
+        .when(huge, F.when(text.startswith("-"), F.lit(-(2**62))).otherwise(F.lit(2**62)))
     )
 
 
@@ -138,14 +136,21 @@ def read_json_fields(parsed: DataFrame) -> DataFrame:
     Kinds and values are columns of their own, so each is worked out once per
     row however many rules look at it.
     """
-    kinds = {f"{k}_kind": json_type(k) for k in [*SCALE_KEYS, "tags"]}
+    kinds = {f"{k}_kind": json_type(k) for k in SCALE_KEYS}
     label_keys = F.expr(
         f"map_keys(try_variant_get({PARSED}, '$.labels_json', 'map<string,variant>'))"
     )
+    elements = json_value("tags", "array<variant>")
     values = {k: json_value(k, "string") for k in TEXT_KEYS}
-    values |= {k: json_integer(k, F.col(f"{k}_kind")) for k in SCALE_KEYS}
+    values |= {k: integer_of(json_value(k, "variant"), F.col(f"{k}_kind")) for k in SCALE_KEYS}
     values |= {
         "tags": json_value("tags", "array<string>"),
+        # A higher-order function also keeps this projection out of the span of
+        # generated code around it: reading and checking in one method would be
+        # too long for the JIT compiler.
+        "tags_ok": F.coalesce(
+            F.forall(elements, lambda e: F.schema_of_variant(e) == "STRING"), F.lit(False)
+        ),
         "labels_json": json_value("labels_json", LABELS_TYPE),
         "labels_missing": F.array_except(string_array(LABEL_KEYS), label_keys),
         "missing": F.array_except(string_array(REQUIRED_KEYS), F.col(KEYS)),
@@ -153,10 +158,7 @@ def read_json_fields(parsed: DataFrame) -> DataFrame:
             F.col(KEYS).isNotNull(), F.coalesce(json_key_text("ticket_id"), F.lit("null"))
         ),
     }
-    read = parsed.withColumns(kinds).withColumns(values)
-    # the element type of a list ignores its nulls; an empty one has no type
-    all_texts = F.col("tags_kind").isin("ARRAY<STRING>", "ARRAY<VOID>") & no_nulls(F.col("tags"))
-    return read.withColumn("tags_ok", all_texts).drop(*kinds)
+    return parsed.withColumns(kinds).withColumns(values).drop(*kinds)
 
 
 def json_fields() -> TicketFields:
