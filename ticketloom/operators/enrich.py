@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ticketloom import fixed
 from ticketloom.functions.picks import choose, digest_number, digit_picks
 from ticketloom.functions.rules import expected_priority, joined_path
-from ticketloom.functions.text import text_or_empty
+from ticketloom.functions.text import end_with_dot, text_or_empty
 from ticketloom.operators.dedupe import seed_digest
 
 LEVELS = ["category_level_1", "category_level_2", "category_level_3"]
@@ -52,14 +52,10 @@ def recompute_priority(df: DataFrame) -> DataFrame:
     return df.withColumn("priority", F.when(usable, computed).otherwise(F.col("priority")))
 
 
-def lengthened(mode: str) -> Column:
-    """The description and the first two to four of the sentences that fit its category.
-
-    Category sentences come first, then age and tone. Each has a known rank
-    for its category, so no array is built and cut.
-    """
-    digest = seed_digest(F.col("ticket_id"), mode)
-    os_pick, error, version_pick, code, ssid, floor, signal = digit_picks(
+def detail_sentences(digest: Column) -> Column:
+    """Sentences that fit the category, then the two general ones, as a list."""
+    l1, l2, l3 = (F.col(c) for c in LEVELS)
+    system, error, version, code, ssid, floor, signal = digit_picks(
         digest_number(digest),
         [
             len(fixed.OPERATING_SYSTEMS),
@@ -71,46 +67,49 @@ def lengthened(mode: str) -> Column:
             len(fixed.WIFI_SIGNALS),
         ],
     )
-    hours, tone, more = digit_picks(digest_number(digest, 1), [48, len(fixed.TONE_SENTENCES), 3])
-    wanted = more + 2
-    system = choose(fixed.OPERATING_SYSTEMS, os_pick)
-    version = choose(fixed.OFFICE_VERSIONS, version_pick)
-    l3 = F.col(LEVELS[2])
-
-    def category(first: str, second: str) -> Column:
-        return (F.col(LEVELS[0]) == first) & (F.col(LEVELS[1]) == second)
-
-    vpn, wifi = category("Network", "VPN"), category("Network", "WiFi")
-    office = category("Software", "Office Apps")
-    outlook = category("Software", "Email/Calendar") & (l3 == "Outlook Issue")
-    slow = category("Hardware", "Laptop/Desktop") & (l3 == "Performance")
-    first = (
-        F.when(vpn, F.format_string(fixed.VPN_SENTENCE, system, choose(fixed.VPN_ERRORS, error)))
-        .when(outlook, F.format_string(fixed.OUTLOOK_VERSION_SENTENCE, system, version))
-        .when(
-            wifi,
-            F.format_string(
-                fixed.WIFI_SENTENCE,
-                choose(fixed.WIFI_SSIDS, ssid),
-                floor + 1,
-                choose(fixed.WIFI_SIGNALS, signal),
-            ),
-        )
-        .when(slow, F.format_string(fixed.PERFORMANCE_SENTENCE, system))
-        .when(office, F.format_string(fixed.OFFICE_SENTENCE, version))
-    )
-    codes = F.format_string(fixed.OUTLOOK_CODE_SENTENCE, choose(fixed.OUTLOOK_ERRORS, code))
-    n_specific = F.when(outlook, 3).when(vpn | wifi | slow | office, 1).otherwise(0)
+    system = choose(fixed.OPERATING_SYSTEMS, system)
+    version = choose(fixed.OFFICE_VERSIONS, version)
+    hours, tone, _ = general_picks(digest)
+
+    def in_l2(first: str, second: str) -> Column:
+        return (l1 == first) & (l2 == second)
+
+    outlook = in_l2("Software", "Email/Calendar") & (l3 == "Outlook Issue")
+    by_category = [
+        (in_l2("Network", "VPN"),
+         F.format_string(fixed.VPN_SENTENCE, system, choose(fixed.VPN_ERRORS, error))),
+        (outlook, F.format_string(fixed.OUTLOOK_VERSION_SENTENCE, system, version)),
+        (outlook, F.lit(fixed.OUTLOOK_PROFILE_SENTENCE)),
+        (outlook, F.format_string(fixed.OUTLOOK_CODE_SENTENCE, choose(fixed.OUTLOOK_ERRORS, code))),
+        (in_l2("Network", "WiFi"),
+         F.format_string(fixed.WIFI_SENTENCE, choose(fixed.WIFI_SSIDS, ssid), floor + 1,
+                         choose(fixed.WIFI_SIGNALS, signal))),
+        (in_l2("Hardware", "Laptop/Desktop") & (l3 == "Performance"),
+         F.format_string(fixed.PERFORMANCE_SENTENCE, system)),
+        (in_l2("Software", "Office Apps"), F.format_string(fixed.OFFICE_SENTENCE, version)),
+    ]
+    general = [
+        F.format_string(fixed.AGE_SENTENCE, hours + 1),
+        choose(fixed.TONE_SENTENCES, tone),
+    ]
+    return F.array_compact(F.array(*[F.when(fits, text) for fits, text in by_category], *general))
+
+
+def general_picks(digest: Column) -> list[Column]:
+    """Age in hours, tone, and how many sentences to add."""
+    return digit_picks(digest_number(digest, 1), [48, len(fixed.TONE_SENTENCES), 3])
+
+
+def lengthened(mode: str) -> Column:
+    """The description and the first two to four of its detail sentences.
+
+    The array functions keep this long expression out of the span of generated
+    code around it, which would otherwise grow past what the JIT compiles.
+    """
+    digest = seed_digest(F.col("ticket_id"), mode)
+    extra = F.slice(detail_sentences(digest), 1, (general_picks(digest)[2] + 2).cast("int"))
     base = F.rtrim(text_or_empty(F.col("description_ar")), F.lit("."))
-    return F.concat_ws(
-        " ",
-        F.concat(base, F.lit(".")),
-        first,
-        F.when(outlook, F.lit(fixed.OUTLOOK_PROFILE_SENTENCE)),
-        F.when(outlook & (wanted >= 3), codes),
-        F.when(n_specific < wanted, F.format_string(fixed.AGE_SENTENCE, hours + 1)),
-        F.when(n_specific + 1 < wanted, choose(fixed.TONE_SENTENCES, tone)),
-    )
+    return F.array_join(F.transform(F.concat(F.array(base), extra), end_with_dot), " ")
 
 
 def enrich_short(df: DataFrame, mode: str = "spread") -> DataFrame:
