@@ -55,6 +55,16 @@ def test_strip_is_unicode_wide(spark):
     assert [r[0] for r in df.select(strip(F.col("t"))).collect()] == ["a b", "", "x"]
 
 
+def test_strip_at_every_edge(spark):
+    """All white space and look-alikes by their bytes, at either end and alone."""
+    letters = [" ", "\t", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000",
+               "a", ".", "\x7f", "é", "ß", "Å", "à", "ت", "۝", "\u07ff", "\u0800", "\u200b", "\u20ac", "漢", "\ufeff", "😀"]
+    texts = ["", *letters, *[x + y for x in letters for y in letters], *[x + "m m" + y for x in letters for y in letters]]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    got = {r.n: r.s for r in df.select("n", strip(F.col("t")).alias("s")).collect()}
+    assert got == {n: t.strip() for n, t in enumerate(texts)}
+
+
 def test_key_hash_keeps_tuples_apart(spark):
     pairs = [("a", "bc"), ("ab", "c"), ("", "abc"), (None, "abc"), ("1:a", ""), ("a", None), ("a", ""), ("-", ""), (None, "")]
     df = spark.createDataFrame(pairs, "a string, b string")

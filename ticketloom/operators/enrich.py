@@ -115,9 +115,10 @@ def lengthened(mode: str) -> Column:
 def enrich_short(df: DataFrame, mode: str = "spread") -> DataFrame:
     """Add two to four sentences to descriptions under 90 characters."""
     text = text_or_empty(F.col("description_ar"))
+    # characters are counted only where the bytes leave it open
+    is_short = (F.octet_length(text) < 4 * SHORT) & (F.length(text) < SHORT)
     return df.withColumn(
-        "description_ar",
-        F.when(F.length(text) < SHORT, lengthened(mode)).otherwise(F.col("description_ar")),
+        "description_ar", F.when(is_short, lengthened(mode)).otherwise(F.col("description_ar"))
     )
 
 
