@@ -24,3 +24,26 @@ def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.columns == ["pos", "ticket_id", "reason"]
     assert rows.count() == 200
+
+
+# rows, clean, rejected, repaired and rows per code of the ticket view, worked out beforehand
+ANCHORS = {
+    "sf0.001": ((200, 163, 37, 10), (7, 5, 9, 5, 5, 7, 19, 3)),
+    "sf0.01": ((1000, 809, 191, 44), (35, 24, 44, 25, 27, 33, 94, 16)),
+    "sf0.1": ((10000, 8151, 1849, 423), (345, 233, 435, 244, 264, 323, 939, 164)),
+}
+CODES = [
+    "bad:channel", "bad:sentiment", "bad:range:priority", "bad:timestamp",
+    "bad:updated_at<created_at", "bad:category_not_allowed", "bad:priority_rule",
+]
+
+
+@pytest.mark.parametrize("sf", ANCHORS)
+def test_anchor_numbers(spark, sf):
+    registered = contract.queries()
+    folder = f"/root/testdata/{sf}"
+    summary, codes = ANCHORS[sf]
+    assert tuple(registered["run_summary"](spark, folder).first()) == summary
+    counted = {r.code: r.n for r in registered["validate_codes"](spark, folder).collect()}
+    assert counted == dict(zip(CODES, codes))
+    assert registered["duplicate_ids"](spark, folder).count() == codes[-1]
