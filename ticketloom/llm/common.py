@@ -56,7 +56,8 @@ def semi(rows: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> Da
 
 
 def by_bucket(bucket: np.ndarray, columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket that has entries: its entries of each column, packed."""
+    """One row for each bucket that has entries: its entries of each column, packed
+    by byte planes (all lowest bytes first, and so on), which compress well."""
     if not len(bucket):
         return
     order = np.argsort(bucket, kind="stable")
@@ -66,12 +67,23 @@ def by_bucket(bucket: np.ndarray, columns: list[np.ndarray], names: list[str]) -
     data = [pa.array(bucket[at].astype(np.int32))]
     for column in columns:
         column = np.ascontiguousarray(column[order])
-        data.append(pa.array([column[a:b].tobytes() for a, b in zip(at, to, strict=True)], type=pa.binary()))
+        planes = column.view(np.uint8).reshape(len(column), column.dtype.itemsize)
+        data.append(pa.array([planes[a:b].T.tobytes() for a, b in zip(at, to, strict=True)], type=pa.binary()))
     yield pa.RecordBatch.from_arrays(data, names=["bucket", *names])
 
 
-def unpacked(table: pa.Table, name: str, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=dtype)
+def packed(column: np.ndarray) -> bytes:
+    column = np.ascontiguousarray(column)
+    return column.view(np.uint8).reshape(len(column), column.dtype.itemsize).T.tobytes()
+
 
+def unpack(blob: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(blob, np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
-__all__ = ["stage"]
+
+def unpacked(table: pa.Table, name: str, dtype) -> np.ndarray:
+    """The entries of all rows of a packed column."""
+    blobs = table.column(name).to_pylist()
+    return np.concatenate([unpack(x, dtype) for x in blobs]) if blobs else np.zeros(0, dtype)
