@@ -8,9 +8,10 @@ toxic together, and the other way round.
 
 Trained on a sample of labelled rows of at most about ``per_label`` rows for
 each label (a documented bound), by Adam on the driver over the sample's packed
-hashes; terms in fewer than ``least`` sampled rows carry no weight, so a rare
-word of a long text cannot collide with a toxic one. Scoring reads every text
-once, in the scan, and needs no shuffle.
+hashes. Terms in fewer than ``least`` sampled rows, and terms whose chi-square
+with the label is under ``evidence``, carry no weight: neither do the rare words
+of a long text collide with a toxic one, nor do many neutral words add up.
+Scoring reads every text once, in the scan, and needs no shuffle.
 
 Defined cases: null and empty texts have no terms and score the bias; a label
 other than 0 or 1 or null is not learned; a document with several labels is
@@ -61,11 +62,11 @@ def interactions(weight: np.ndarray, factor: np.ndarray, at: np.ndarray, owner:
     return summed(weight[at], owner, n) + 0.5 * ((total * total).sum(axis=1) - squares)
 
 
-def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int = 6, least: int = 5, epochs: int = 8, batch: int = 256,
-        rate: float = 0.02, decay: float = 2e-5, seed: int = 5) -> Machine:
+def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int = 6, least: int = 5, evidence: float = 20.0, epochs: int = 8, batch: int = 256,
+        rate: float = 0.02, decay: float = 3e-4, seed: int = 5) -> Machine:
     """Adam on the logistic loss; both labels count alike in the loss up to a factor of 3."""
     y = labels.astype(np.float64)
-    vocab = vocabulary(hashes, least)
+    vocab = telling(y, bounds, hashes, vocabulary(hashes, least), evidence)
     share = float(y.mean()) if len(y) else 0.0
     if not len(vocab) or share in (0.0, 1.0):
         bias = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
@@ -106,6 +107,18 @@ def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int =
     return Machine(vocab, bias, weight, factor)
 
 
+def telling(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarray, evidence: float) -> np.ndarray:
+    """Terms whose chi-square with the label is ``evidence`` or more; the others are noise."""
+    at, on = known(hashes, vocab)
+    label = np.repeat(y, np.diff(bounds))[on]
+    both = np.bincount(at[on], label, len(vocab))
+    n = np.bincount(at[on], minlength=len(vocab)).astype(np.float64)
+    share = y.mean() if len(y) else 0.0
+    spread = n * share * (1 - share) * (1 - n / max(len(y), 1))
+    chi = np.square(both - n * share) / np.maximum(spread, 1e-9)
+    return vocab[chi >= evidence]
+
+
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 8000, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Machine:
     """Learns only rows whose id's crc32 mod 5 is not 0. ``per_label`` bounds the sample."""
     ready(docs.sparkSession)
