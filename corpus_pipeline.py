@@ -6,32 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import exact_dedup, poisson_mix
-from ticketloom.llm.common import ready
+from ticketloom.llm import decontaminate, exact_dedup, ngram_jaccard, poisson_mix, toxicity
+from ticketloom.llm.common import read, ready
 from ticketloom.session import stage
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine predicts toxic go."""
+    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
     return exact_dedup.dedup(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the smallest id stays."""
+    return ngram_jaccard.keep_one(docs)
+
+
+def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with a benchmark item go."""
+    return decontaminate.keep_clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources weigh the square root of their documents; copies are numbered."""
     return poisson_mix.replicate(docs, power=0.5, size=1.0, seed=17)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", not_toxic),
     ("exact dedup", exact_copies),
-    ("mixing sources to target weights", mix),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", not_in_benchmark),
+    ("mixing sources to target weights", mixed),
 ]
 
-#: Learned weights decide the first stage, which SQL cannot express; tests compare with brute force.
+#: The first stage decides by learned weights, which SQL cannot express; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-").lower())
     return STAGES[-1][1](spark, docs, sf_dir)

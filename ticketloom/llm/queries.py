@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, exact_dedup, language, license_scan, poisson_mix, quality, suffix_dedup, suffix_tree, toxicity
+from ticketloom.llm import decontaminate, exact_dedup, language, license_scan, ngram_jaccard, poisson_mix, quality, suffix_dedup, suffix_tree, toxicity
 from ticketloom.llm.common import read
 
 
@@ -51,10 +51,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_grade, op2_suffix_tree_lm, op3_exact_dedup, op4_suffix_dedup, op5_license_scan, op6_poisson_mix, op7_toxicity,
-    op8_decontaminate, op10_language_id)}
+    op8_decontaminate, op9_ngram_jaccard, op10_language_id)}
