@@ -62,7 +62,7 @@ def interactions(weight: np.ndarray, factor: np.ndarray, at: np.ndarray, owner:
     return summed(weight[at], owner, n) + 0.5 * ((total * total).sum(axis=1) - squares)
 
 
-def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int = 6, least: int = 5, evidence: float = 20.0, epochs: int = 8, batch: int = 256,
+def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int = 6, least: int = 3, evidence: float = 15.0, epochs: int = 8, batch: int = 256,
         rate: float = 0.02, decay: float = 3e-4, seed: int = 5) -> Machine:
     """Adam on the logistic loss; both labels count alike in the loss up to a factor of 3."""
     y = labels.astype(np.float64)
