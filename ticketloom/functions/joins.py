@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.session import stage
+from ticketloom.session import stage, stored_bytes
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 
 
 def lookup_join(
@@ -23,13 +24,14 @@ def lookup_join(
 
     Planning both sides at once would shuffle the wide rows before anyone
     knows how few keys matter. So the lookup is staged first. With
-    ``fixed_width`` (ids, hashes and numbers) its counted rows decide on a
-    broadcast; otherwise Catalyst decides by the size of the staged files.
+    ``fixed_width`` (ids, hashes and numbers) its counted rows and the bytes of
+    its staged files decide on a broadcast; otherwise Catalyst decides by the
+    size of the staged files.
     Beyond either limit it is a shuffle join, where AQE splits hot keys: the
     lookup's side of a split key is a single row, so splitting costs nothing.
     """
     staged = stage(lookup, name)
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if fixed_width and staged.count() <= limit:
+    if fixed_width and staged.count() <= limit and stored_bytes(staged) <= BROADCAST_BYTES:
         staged = F.broadcast(staged)
     return rows.join(staged, on, how)

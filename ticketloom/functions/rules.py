@@ -20,9 +20,11 @@ NOT_OBJECT = "bad:not_object"
 # fixed value: accepted timestamp spelling (date, then optional time, fraction, zone)
 TIMESTAMP_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?$"
+    r"([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 )
-ZONE_PATTERN = r"(Z|[+-]\d{2}:\d{2})$"
+# a date alone ends in a minus and four digits of no zone, so the time must be there
+ZONE_PATTERN = r":\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:?\d{2})$"
+BARE_ZONE = r"([+-]\d{2})(\d{2})$"
 
 # fixed value: both spellings of a ticket id, TCKT-000001 and TCKT-001-001
 TICKET_ID_PATTERN = r"^TCKT-\d+(-\d+)?$"
@@ -57,7 +59,8 @@ def expected_priority(impact: Column, urgency: Column) -> Column:
 
 def instant(text: Column) -> Column:
     """The timestamp of an accepted spelling, else null; offset-less means UTC."""
-    return F.when(text.rlike(TIMESTAMP_PATTERN), text.try_cast("timestamp"))
+    bare = F.when(text.contains("T") | text.contains(" "), F.regexp_replace(text, BARE_ZONE, "$1:$2")).otherwise(text)
+    return F.when(text.rlike(TIMESTAMP_PATTERN), bare.try_cast("timestamp"))
 
 
 def has_zone(text: Column) -> Column:

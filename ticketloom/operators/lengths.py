@@ -153,7 +153,7 @@ def density_curve(freq: DataFrame, by: Sequence[str], bins: int = 40) -> DataFra
     spread = (
         freq.join(stats, list(by))
         .groupBy(*by)
-        .agg(F.sqrt(F.sum(F.col("n") * centred * centred) / (F.first("total") - 1)).alias("std"))
+        .agg(F.sqrt(F.try_divide(F.sum(F.col("n") * centred * centred), F.first("total") - 1)).alias("std"))
     )
     shape = stats.join(spread, list(by)).select(
         *by,

@@ -10,6 +10,7 @@ from ticketloom.functions.fields import flatten_json, json_value, parse_json, PA
 from ticketloom.functions.joins import lookup_join
 from ticketloom.functions.rules import clean_tags, expected_priority, has_zone, instant
 from ticketloom.functions.text import strip, text_or_empty
+from ticketloom.session import stage
 from ticketloom.sources.tables import project
 
 LEVELS = ["category_level_1", "category_level_2", "category_level_3"]
@@ -101,16 +102,21 @@ def repaired_tags() -> Column:
 
 
 def repaired_id() -> Column:
-    """The given id, or six digits drawn from where the row stood."""
-    place = F.concat_ws(":", "source", "line")
-    number = F.crc32(place) % 1_000_000
-    made = F.concat(F.lit("TCKT-"), F.lpad(number.cast("string"), 6, "0"))
+    """The given id, or one made of 60 bits of a digest of where the ticket first stood.
+
+    The place is the reject's own ``source`` and ``line`` where it has them: the
+    file it was found in is named anew in every run.
+    """
+    place = F.concat_ws(":", F.coalesce("told_source", "source"), F.coalesce("told_line", "line"))
+    number = F.conv(F.substring(F.sha2(place, 256), 1, 15), 16, 10)
+    made = F.concat(F.lit("TCKT-"), F.lpad(number, F.greatest(F.lit(6), F.length(number)), F.lit("0")))
     return F.when(strip(text_or_empty(F.col("ticket_id"))) == "", made).otherwise(F.col("ticket_id"))
 
 
 def repair(rejects: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Repair typed rows ``(source, line, ticket columns)``; every row gives one row."""
-    placed = repair_category(rejects, taxonomy)
+    told = {c: F.lit(None).cast(k) for c, k in (("told_source", "string"), ("told_line", "bigint")) if c not in rejects.columns}
+    placed = repair_category(stage(rejects.withColumns(told), "rejects"), taxonomy)
     columns = {
         "ticket_id": repaired_id(),
         **repaired_times(),
@@ -142,9 +148,10 @@ def unwrap(lines: DataFrame) -> DataFrame:
     Lines that are no JSON at all keep one row too, with every field missing.
     """
     parsed = parse_json(lines)
-    inner = parsed.withColumn(PARSED, F.coalesce(json_value("ticket", "variant"), F.col(PARSED)))
     keys = F.expr(f"map_keys(try_variant_get({PARSED}, '$', 'map<string,variant>'))")
-    return flatten_json(inner.withColumn("keys", keys), ["source", "line"])
+    told = {"told_source": json_value("source", "string"), "told_line": json_value("line", "bigint")}
+    wrapped = parsed.withColumns(told).withColumn(PARSED, F.coalesce(json_value("ticket", "variant"), F.col(PARSED)))
+    return flatten_json(wrapped.withColumn("keys", keys), ["source", "line", *told])
 
 
 def repair_lines(lines: DataFrame, taxonomy: DataFrame) -> DataFrame:

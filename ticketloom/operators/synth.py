@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ticketloom import fixed
 from ticketloom.functions.picks import choose, digest_number, digit_picks
 from ticketloom.functions.rules import expected_priority
-from ticketloom.sources.tables import project
+from ticketloom.sources.tables import in_order, project, write_jsonl
+from ticketloom.sources.taxonomy import renumbered
 
 TRIPLE = ["l1", "l2", "l3"]
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
@@ -52,11 +53,12 @@ def synthesize(
 ) -> DataFrame:
     """One ticket per ``seq`` of the given frame, in the canonical columns plus ``pos``.
 
-    ``taxonomy`` numbers its leaves 0..n-1 in ``k``. Reruns, retries and other
+    ``k`` orders the leaves of ``taxonomy``; gaps in it are closed. Reruns, retries and other
     partition counts give the same rows.
     """
     spark = seqs.sparkSession
     texts = built_in_texts(spark) if texts is None else texts
+    taxonomy = renumbered(taxonomy)
     n_leaves = taxonomy.count()
     digest = F.col("digest")
     leaf, day, hour, minute, add_hours, add_minutes = digit_picks(
@@ -125,3 +127,8 @@ def synthesize(
 def synthesize_batch(spark, taxonomy: DataFrame, n: int = 500, **options) -> DataFrame:
     """``n`` tickets numbered from 1."""
     return synthesize(spark.range(1, n + 1).withColumnRenamed("id", "seq"), taxonomy, **options)
+
+
+def write_batch(spark, taxonomy: DataFrame, path: str, n: int = 500, **options) -> None:
+    """``n`` tickets as JSON lines, in the order of their numbers."""
+    write_jsonl(project(in_order(synthesize_batch(spark, taxonomy, n, **options))), path)

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.fixed import REQUIRED_KEYS
-from ticketloom.functions.fields import flatten_json, parse_json
+from ticketloom.functions.fields import flatten_json, parse_json, patch_members
 from ticketloom.functions.rules import clean_tags, expected_priority
 from ticketloom.operators.fixes import is_fix_part, merge_fixes, pair_fixes
 from ticketloom.operators.validate import check_json_rows, rejected_listing, resolve
 from ticketloom.session import prepare, stage
 from ticketloom.sources.lines import number_lines, position, scan_lines
-from ticketloom.sources.tables import write_csv, write_json_text, write_rejects
+from ticketloom.sources.tables import in_order, write_csv, write_json_text, write_rejects
 from ticketloom.sources.taxonomy import built_in_taxonomy, load_taxonomy
 
 
@@ -36,28 +36,27 @@ def checked_lines(lines: DataFrame, taxonomy: DataFrame, profile: str) -> DataFr
 def clean_json(validated: DataFrame) -> DataFrame:
     """``(pos, json)`` of accepted lines.
 
-    The original object with its key order, extra keys and odd value types;
-    only the repaired priority and the trimmed tags are new.
+    The line as it is, byte for byte, unless its priority was repaired or its
+    tags need trimming; then only those two members are new.
     """
     accepted = validated.where(F.size("reason") == 0)
-    members = F.from_json("raw", "map<string,variant>")
-    numbers = {k: F.expr(f"try_variant_get(members['{k}'], '$', 'bigint')") for k in ("impact", "urgency")}
+    member = "try_variant_get(try_parse_json(raw), '$.{}', '{}')"
+    numbers = {k: F.expr(member.format(k, "bigint")) for k in ("impact", "urgency")}
     priority = F.when(
-        F.col("autofix"), expected_priority(numbers["impact"], numbers["urgency"]).cast("variant")
-    ).otherwise(F.col("members")["priority"])
-    tags = F.to_variant_object(clean_tags(F.expr("try_variant_get(members['tags'], '$', 'array<string>')")))
-    changed = F.transform_values(
-        "members",
-        lambda key, value: F.when(key == "priority", priority).when(key == "tags", tags).otherwise(value),
-    )
-    return accepted.withColumn("members", members).select(
-        "pos", F.to_json(changed, {"ignoreNullFields": "false"}).alias("json")
+        F.col("autofix"), expected_priority(numbers["impact"], numbers["urgency"]).cast("string")
     )
+    tags = F.expr(member.format("tags", "array<string>"))
+    trimmed = F.when(~tags.eqNullSafe(clean_tags(tags)), F.to_json(clean_tags(tags)))
+    rows = accepted.select("pos", "raw", priority.alias("new_priority"), trimmed.alias("new_tags"))
+    changed = patch_members(F.col("raw"), {"priority": F.col("new_priority"), "tags": F.col("new_tags")})
+    same = F.col("new_priority").isNull() & F.col("new_tags").isNull()
+    return rows.select("pos", F.when(same, F.col("raw")).otherwise(changed).alias("json"))
 
 
 def typed_lines(lines: DataFrame) -> DataFrame:
-    """Typed ticket columns of JSON text lines ``raw``."""
-    return flatten_json(parse_json(lines), []).select(*REQUIRED_KEYS)
+    """Typed ticket columns of JSON text lines ``raw``; ``pos`` stays if there is one."""
+    place = [c for c in ("pos",) if c in lines.columns]
+    return flatten_json(parse_json(lines), place).select(*place, *REQUIRED_KEYS)
 
 
 def with_id_key(lines: DataFrame) -> DataFrame:
@@ -97,6 +96,9 @@ def apply_fixes(lines: DataFrame) -> DataFrame:
     """
     keyed = stage(with_id_key(lines.withColumnRenamed("source", "part")), "fix-lines")
     is_fix = is_fix_part(F.col("part"))
+    stray = keyed.where(~is_fix & ~F.col("in_input")).select("part").limit(1).collect()
+    if stray:
+        raise ValueError(f"no fixes of a part by its name (X_fixed.jsonl): {stray[0].part}")
     parts = keyed.where(~is_fix)
     paired, orphans = pair_fixes(parts, keyed.where(is_fix))
     merged = merge_fixes(parts, paired, ["raw"], ["file_no"])
@@ -147,10 +149,10 @@ def build(
     taxonomy = load_taxonomy(spark, taxonomy_path) if taxonomy_path else built_in_taxonomy(spark)
     validated = resolve(checked_parts(spark, input_glob, taxonomy, fixes_glob, profile))
     built = Built(validated, f"{out_dir}/clean_jsonl", f"{out_dir}/clean_csv", f"{out_dir}/rejected")
-    write_json_text(clean_json(validated), built.clean_jsonl)
-    clean = spark.read.text(built.clean_jsonl).withColumnRenamed("value", "raw")
-    write_csv(typed_lines(clean), built.clean_csv)
-    write_rejects(rejected(validated), built.rejected)
+    clean = stage(clean_json(validated), "clean")
+    write_json_text(in_order(clean), built.clean_jsonl)
+    write_csv(in_order(typed_lines(clean.withColumnRenamed("json", "raw"))), built.clean_csv)
+    write_rejects(in_order(rejected(validated)), built.rejected)
     return built
 
 

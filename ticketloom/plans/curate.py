@@ -2,61 +2,114 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.functions.fields import flatten_json, keep_records, parse_json
+from ticketloom.functions.fields import flatten_json, json_string, parse_json, patch_members
+from ticketloom.functions.rules import NOT_OBJECT, UNPARSEABLE
 from ticketloom.operators.dedupe import vary_duplicates
-from ticketloom.operators.enrich import postprocess
+from ticketloom.operators.enrich import LEVELS, postprocess
 from ticketloom.operators.quality import report
 from ticketloom.operators.repair import repair_lines
-from ticketloom.session import prepare, stage
+from ticketloom.session import prepare, stage, staging
 from ticketloom.sources.lines import number_lines, read_parts, scan_lines
-from ticketloom.sources.tables import project, write_jsonl, write_report
-from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy
+from ticketloom.sources.tables import in_order, project, write_json_text, write_jsonl, write_rejects, write_report
+from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy, load_taxonomy
+
 
-def scan_tickets(spark: SparkSession, glob: str) -> DataFrame:
-    """Non-blank lines as typed columns; unparseable ones have ``is_record`` false."""
-    lines = scan_lines(spark, glob).where(F.col("raw") != "")
-    return flatten_json(parse_json(lines), ["source"])
+PLACE = ["source", "block", "row_id"]
 
 
-def read_tickets(spark: SparkSession, glob: str) -> DataFrame:
-    """``scan_tickets`` with line numbers and ``pos``.
+def read_tickets(spark: SparkSession, glob: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Non-blank lines as typed columns with line numbers and ``pos``.
 
     The text is parsed in the scan; typed columns are staged, and whatever
-    reads them again does so column by column.
+    reads them again does so column by column. Unparseable lines have
+    ``is_record`` false. ``keep`` names further columns of the parsed lines.
     """
     lines = scan_lines(spark, glob).withColumn("is_blank", F.col("raw") == "")
-    typed = flatten_json(parse_json(lines), ["source", "block", "row_id", "is_blank"])
+    typed = flatten_json(parse_json(lines), [*PLACE, "is_blank", *keep])
     return number_lines(stage(typed, "tickets")).where(~F.col("is_blank")).drop("is_blank")
 
 
-def postprocess_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -> None:
-    """Remap, recompute priority and enrich short texts of all parts: one narrow pass."""
+@dataclass(frozen=True)
+class Passed:
+    """Where a pass wrote its lines and the lines it could not read, and how many those are."""
+
+    lines: str
+    rejected: str
+    n_rejected: int
+
+
+def patched_lines(after: DataFrame, keys: list[str]) -> DataFrame:
+    """``(pos, json)``: lines with new members where a key differs from ``old_`` of it;
+    a line without any difference stays as it is, byte for byte."""
+
+    def text(key: str) -> Column:
+        kind = after.schema[key].dataType.typeName()
+        value = json_string(F.col(key)) if kind == "string" else F.col(key).cast("string")
+        value = F.to_json(key, {"ignoreNullFields": "false"}) if kind in ("struct", "array") else value
+        return F.when(~F.col(key).eqNullSafe(F.col(f"old_{key}")), F.coalesce(value, F.lit("null")))
+
+    marked = after.select("pos", "raw", *[text(k).alias(k) for k in keys])
+    same = F.coalesce(*[F.col(k) for k in keys]).isNull()
+    patched = patch_members(F.col("raw"), {k: F.col(k) for k in keys})
+    return marked.select("pos", F.when(same, F.col("raw")).otherwise(patched).alias("json"))
+
+
+def run_pass(spark: SparkSession, glob: str, out: str, keys: list[str], change: Callable[[DataFrame], DataFrame]) -> Passed:
+    """Change the members ``keys`` of every object and write all lines in input order.
+
+    Lines that are no JSON object are written beside, as a build's rejects are.
+    """
+    with staging(spark):
+        lines = read_tickets(spark, glob, ("raw", "parse_ok"))
+        kept = [f"old_{k}" for k in keys]
+        # what was read stands beside what becomes of it, so nothing is joined
+        records = lines.where("is_record").withColumns({o: F.col(k) for o, k in zip(kept, keys, strict=True)})
+        done = stage(patched_lines(change(records), keys), "passed")
+        write_json_text(in_order(done), out)
+        bad = lines.where(~F.col("is_record"))
+        cause = F.when(F.col("parse_ok"), F.lit(NOT_OBJECT)).otherwise(F.lit(UNPARSEABLE))
+        bad = stage(bad.select("pos", "source", "line", "raw", "parse_ok", F.array(cause).alias("reason")), "unread")
+        write_rejects(in_order(bad), f"{out}_rejected")
+        return Passed(out, f"{out}_rejected", bad.count())
+
+
+def postprocess_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -> Passed:
+    """Remap, recompute priority and enrich short texts of all parts."""
     prepare(spark)
-    tickets = keep_records(scan_tickets(spark, glob))
-    write_jsonl(project(postprocess(tickets, built_in_remap(spark), mode)), out)
+    keys = [*LEVELS, "category_path", "labels_json", "priority", "description_ar"]
+    return run_pass(spark, glob, out, keys, lambda df: postprocess(df, built_in_remap(spark), mode))
 
 
-def vary_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -> None:
+def vary_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -> Passed:
     """Tell repeated texts apart in all parts."""
     prepare(spark)
-    tickets = read_tickets(spark, glob).where("is_record")
-    write_jsonl(project(vary_duplicates(tickets, mode)), out)
+    return run_pass(spark, glob, out, ["description_ar"], lambda df: vary_duplicates(df, mode))
+
+
+def taxonomy_of(spark: SparkSession, path: str | None) -> DataFrame:
+    return load_taxonomy(spark, path) if path else built_in_taxonomy(spark)
 
 
-def report_parts(spark: SparkSession, glob: str, out: str | None = None) -> DataFrame:
+def report_parts(spark: SparkSession, glob: str, out: str | None = None, taxonomy_path: str | None = None) -> DataFrame:
     """Quality report of all parts as text lines; written if ``out`` is given."""
     prepare(spark)
-    lines = report(read_tickets(spark, glob), built_in_taxonomy(spark))
+    lines = report(read_tickets(spark, glob), taxonomy_of(spark, taxonomy_path))
     if out:
         write_report(lines, out)
     return lines
 
 
-def repair_rejects(spark: SparkSession, rejects_glob: str, out: str) -> None:
-    """Repair rejected lines by rule and write them as a fixed part."""
+def repair_rejects(spark: SparkSession, rejects_glob: str, out: str, taxonomy_path: str | None = None) -> None:
+    """Repair rejected lines by rule and write them as a fixed part, in order."""
     prepare(spark)
-    fixed = repair_lines(read_parts(spark, rejects_glob), built_in_taxonomy(spark))
-    write_jsonl(project(fixed), out)
+    with staging(spark):
+        lines = read_parts(spark, rejects_glob)
+        fixed = stage(repair_lines(lines, taxonomy_of(spark, taxonomy_path)), "repaired")
+        ordered = fixed.join(lines.select("source", "line", "pos"), ["source", "line"])
+        write_jsonl(project(in_order(ordered)), out)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # of repeated JSON keys the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -39,8 +43,43 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_RUNS: list[str] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Stage into a folder of this run's own and remove it when the run ends.
+
+    For runs that write their results: frames that read staged tables are of
+    no use afterwards. Runs may be nested; the outermost one's folder goes.
+    """
+    if _RUNS:
+        yield _RUNS[-1]
+        return
+    folder = f"{staging_root(spark)}/ticketloom/run-{uuid.uuid4().hex}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.pop()
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/ticketloom/{name}-{uuid.uuid4().hex}"
+    folder = _RUNS[-1] if _RUNS else f"{staging_root(spark)}/ticketloom"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a staged frame reads."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -42,6 +42,14 @@ def flatten_nested(df: DataFrame) -> DataFrame:
     return df.withColumns(nested)
 
 
+def in_order(df: DataFrame, pos: str = "pos") -> DataFrame:
+    """Rows in the order of ``pos`` over all files that are written of them.
+
+    Ranges are dealt by sampling ``df``, which is evaluated twice: stage costly ones.
+    """
+    return df.repartitionByRange(pos).sortWithinPartitions(pos)
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """One JSON object per line, UTF-8, nulls kept."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)

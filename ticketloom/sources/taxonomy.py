@@ -56,7 +56,15 @@ def load_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     )
     # one row per path, as joins on it expect: a repeated leaf keeps its first place
     first = F.min(F.struct("k", "l1", "l2", "l3", "path", "tags")).alias("leaf")
-    return rows.groupBy("path").agg(first).select("leaf.*")
+    leaves = rows.groupBy("path").agg(first).select("leaf.*")
+    return renumbered(leaves)
+
+
+def renumbered(taxonomy: DataFrame) -> DataFrame:
+    """``k`` without gaps, in its order. A taxonomy is a small dimension: one list sorts it."""
+    rows = F.array_sort(F.collect_list(F.struct("k", "l1", "l2", "l3", "path", "tags")))
+    numbered = taxonomy.agg(rows.alias("leaves")).select(F.posexplode("leaves").alias("n", "leaf"))
+    return numbered.select(F.col("n").alias("k"), *[f"leaf.{c}" for c in ("l1", "l2", "l3", "path", "tags")])
 
 
 def built_in_remap(spark: SparkSession) -> DataFrame:
