@@ -184,8 +184,11 @@ def on_validated(select: str) -> str:
 
 
 def on_json(select: str) -> str:
-    codes = codes_cte("val", "tickets", json=True)
-    return f"WITH {taxonomy_cte()},\n{documents_view()},\n{codes}\n{select}"
+    planted = """planted AS (SELECT * REPLACE (
+    CASE WHEN pos % 83 = 0 THEN 'Service > Incident > Outage' ELSE category_path END AS category_path,
+    CASE WHEN pos % 89 = 0 THEN 7 ELSE urgency END AS urgency) FROM tickets)"""
+    codes = codes_cte("val", "planted", json=True)
+    return f"WITH {taxonomy_cte()},\n{documents_view()},\n{planted},\n{codes}\n{select}"
 
 
 ORACLE: dict[str, str] = {}
@@ -379,7 +382,7 @@ ORACLE["repair_revalidated"] = on_validated("SELECT 1").replace(
     + f"\nSELECT reason, count(*) AS n FROM ({REVALIDATED}) GROUP BY 1",
 )
 READ_JSON = """given AS (SELECT pos,
-    CASE WHEN is_record THEN ticket_id ELSE 'new' END AS ticket_id,
+    CASE WHEN is_record THEN ticket_id ELSE 'TCKT-' || CAST(('0x' || substr(sha256('documents:' || pos), 1, 15))::BIGINT AS VARCHAR) END AS ticket_id,
     CASE WHEN is_record THEN created_at END AS created_at, CASE WHEN is_record THEN updated_at END AS updated_at,
     CASE WHEN is_record THEN channel END AS channel, CASE WHEN is_record THEN sentiment END AS sentiment,
     CASE WHEN is_record AND pos % 53 <> 0 THEN model END AS model, CASE WHEN is_record THEN dialect END AS dialect,

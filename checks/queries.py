@@ -328,19 +328,12 @@ def repair_revalidated(spark, sf_dir):
 
 @query
 def repair_json_rejects(spark, sf_dir):
-    """Reject lines, wrapped and bare, repaired: one row each, made-up ids not shown."""
+    """Reject lines, wrapped and bare, repaired: one row each, made-up ids included."""
     rejected = build.rejected(validated_json(spark, sf_dir))
     wrapped = F.concat(F.lit('{"reason":["x"],"ticket":'), "raw", F.lit("}"))
     bare = F.col("line") % 2 == 0
     lines_in = rejected.select("source", "line", F.when(bare, F.col("raw")).otherwise(wrapped).alias("raw"))
-    fixed = repair.repair_lines(lines_in, built_in_taxonomy(spark))
-    known = json_lines(spark, sf_dir).select(
-        F.col("pos").alias("line"), F.col("raw").startswith('{"').alias("has_id")
-    )
-    shown = fixed.join(known, "line").withColumn(
-        "ticket_id", F.when(F.col("has_id"), F.col("ticket_id")).otherwise("new")
-    )
-    return flat(shown.drop("has_id"))
+    return flat(repair.repair_lines(lines_in, built_in_taxonomy(spark)))
 
 
 # --- quality report ----------------------------------------------------------

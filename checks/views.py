@@ -109,8 +109,13 @@ def all_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document tickets as raw JSON lines ``(source, line, pos, raw)`` with planted JSON flaws."""
-    t = document_tickets(spark, sf_dir)
     i = F.col("pos")
+    t = document_tickets(spark, sf_dir).withColumns(
+        {
+            "category_path": F.when(i % 83 == 0, F.lit("Service > Incident > Outage")).otherwise(F.col("category_path")),
+            "urgency": F.when(i % 89 == 0, F.lit(7)).otherwise(F.col("urgency")),
+        }
+    )
     labels = F.col("labels_json")
 
     def members(*cols: Column | str) -> Column:
