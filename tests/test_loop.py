@@ -100,3 +100,91 @@ def test_merged_version_keeps_order(spark, tmp_path):
     write_version(named, str(tmp_path / "version"))
     again = read_parts(spark, str(tmp_path / "version" / "*")).orderBy("pos")
     assert [r.raw for r in again.collect()] == expected
+
+
+def test_passes_keep_what_they_do_not_change(spark, parts, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    ticket = next(o for o in map(parsed, (parts / "part_1.jsonl").read_text(encoding="utf-8").splitlines())
+                  if isinstance(o, dict) and "model" in o)
+    long = {"description_ar": "d" * 95}
+    lines = [
+        json.dumps({**ticket, **long, "ticket_id": "a"}, ensure_ascii=False)[:-1] + ', "big": ' + "1" * 42 + ', "x": [3.0, {"z": 1, "a": 2}]}',
+        json.dumps({k: v for k, v in ticket.items() if k != "model"} | long | {"ticket_id": "b"}),
+        json.dumps({**ticket, **long, "ticket_id": "c", "tags": ["a", {"k": 1}], "priority": "high", "impact": "abc"}),
+        "{bad", "[1]",
+        json.dumps({**ticket, "ticket_id": "d", "description_ar": "short", "extra": 3.0}),
+    ]
+    for name in ("part_b.jsonl", "part_a.jsonl", "part_c.jsonl"):
+        tagged = [line.replace('"ticket_id": "', f'"ticket_id": "{name[5]}-') for line in lines]
+        (folder / name).write_text("\n".join(tagged) + "\n", encoding="utf-8")
+    glob = str(folder / "*.jsonl")
+    for name, run in (("post", curate.postprocess_parts), ("vary", curate.vary_parts)):
+        done = run(spark, glob, str(tmp_path / name))
+        assert done.n_rejected == 6 and gathered(tmp_path / f"{name}_rejected").count("\n") == 6
+        rows = [json.loads(line) for line in gathered(tmp_path / name).splitlines()]
+        assert [r["ticket_id"] for r in rows] == [f"{p}-{i}" for p in "abc" for i in "abcd"]
+        for k, row in enumerate(rows):
+            assert list(row) == list(json.loads(lines[[0, 1, 2, 5][k % 4]]))
+        assert '"big":' in gathered(tmp_path / name) and "1" * 42 in gathered(tmp_path / name) and "[3.0," in gathered(tmp_path / name)
+        assert "model" not in rows[1] and rows[2]["tags"] == ["a", {"k": 1}]
+        assert rows[2]["priority"] == "high" and rows[2]["impact"] == "abc"
+        assert rows[3]["extra"] == 3.0 and isinstance(rows[3]["extra"], float)
+    shown = [json.loads(line)["description_ar"] for line in gathered(tmp_path / "post").splitlines()]
+    assert len(shown[3]) > 30 and shown[0] == "d" * 95
+    varied = [json.loads(line)["description_ar"] for line in gathered(tmp_path / "vary").splitlines()]
+    assert varied[0] == "d" * 95 and all(v != "d" * 95 for v in varied[4:7])
+
+
+def test_repeated_key_and_bare_zone(spark):
+    from pyspark.sql import functions as F
+
+    from ticketloom.functions.fields import parse_json, patch_members
+    from ticketloom.functions.rules import has_zone, instant
+    from ticketloom.session import prepare
+
+    prepare(spark)
+    row = parse_json(spark.createDataFrame([('{"a":1,"b":"x\\"y","a":2.50}',)], "raw string")).select(
+        "parse_ok", F.expr("try_variant_get(parsed, '$.a', 'double')").alias("a"),
+        patch_members(F.col("raw"), {"b": F.lit(None).cast("string"), "c": F.lit("[7]")}).alias("patched")).first()
+    assert row.parse_ok and row.a == 2.5 and json.loads(row.patched) == {"a": 2.5, "b": 'x"y', "c": [7]}
+    assert list(json.loads(row.patched)) == ["a", "b", "c"]
+    times = spark.createDataFrame([("2026-02-01T10:00:00+0300",), ("2026-02-01T10:00:00+03:00",), ("2026-02-01T10:00",), ("2026-02-01",)], "t string")
+    found = times.select(has_zone(F.col("t")).alias("z"), instant(F.col("t")).cast("bigint").alias("s")).collect()
+    assert [r.z for r in found] == [True, True, False, False]
+    assert found[0].s == found[1].s and all(r.s is not None for r in found)
+
+
+def test_repair_makes_the_same_ids_and_leaves_no_staging(spark, tmp_path):
+    from ticketloom.session import staging_root
+
+    rejects = tmp_path / "rejects"
+    runs = []
+    for k in range(2):
+        rejects.mkdir(exist_ok=True)
+        for p in rejects.iterdir():
+            p.unlink()
+        (rejects / f"random-{k}.jsonl").write_text(
+            '{"source":"part_1.jsonl","line":3,"reason":["x"],"ticket":{"title_ar":"t"}}\n'
+            '{"source":"part_1.jsonl","line":9,"reason":["x"],"raw":"{bad"}\n', encoding="utf-8")
+        curate.repair_rejects(spark, str(rejects), str(tmp_path / f"fixed{k}"))
+        runs.append([json.loads(line)["ticket_id"] for line in gathered(tmp_path / f"fixed{k}").splitlines()])
+    assert runs[0] == runs[1] and len(set(runs[0])) == 2
+    from pathlib import Path
+
+    staged = Path(staging_root(spark).removeprefix("file:")) / "ticketloom"
+    assert not [p for p in staged.glob("run-*")]
+
+
+def test_leaf_numbers_have_no_gaps(spark, tmp_path):
+    from ticketloom.operators.synth import synthesize_batch, write_batch
+    from ticketloom.sources.taxonomy import load_taxonomy
+
+    node = {"l1": "A", "l2": "B", "l3": ["x", "y", "x", "z"], "tags": ["p", "q"]}
+    (tmp_path / "taxonomy.json").write_text(json.dumps({"taxonomy": [node]}), encoding="utf-8")
+    taxonomy = load_taxonomy(spark, str(tmp_path / "taxonomy.json"))
+    assert sorted((r.k, r.l3) for r in taxonomy.collect()) == [(0, "x"), (1, "y"), (2, "z")]
+    rows = synthesize_batch(spark, taxonomy.withColumn("k", taxonomy["k"] * 2), 200).collect()
+    assert len(rows) == 200 and {r.category_level_3 for r in rows} == {"x", "y", "z"}
+    write_batch(spark, taxonomy, str(tmp_path / "batch"), 30)
+    assert gathered(tmp_path / "batch").count("\n") == 30
