@@ -39,7 +39,7 @@ def corpus():
     rows = [base, base.replace(" ", "  \n", 3), " ".join([*near[:50], "changed", *near[51:]]), None, "", " \t\n ", "one two three", "ONE two\tthree",
             "x", "é" * 60, "a" * 400, "a" * 90, prose(3, 40) + " " + passage, passage + " " + prose(4, 45), prose(5, 3000),
             "Released under the MIT License. " + prose(6, 30), "This is the apache license and the general public license. " + prose(7, 20),
-            "Released under teh MIT Licence " + prose(8, 20), passage, passage + " tail", base[:200], "日本語のテキスト " * 12]
+            "Released under te MIT Licence " + prose(8, 20), passage, passage + " tail", base[:200], "日本語のテキスト " * 12]
     # a family of near copies that all share most shingles
     rows += [" ".join([*near[:k], f"swap{k}", *near[k + 1 :]]) for k in range(3, 115, 6)]
     rows += [prose(20 + k, 25) + " " + passage for k in range(12)]

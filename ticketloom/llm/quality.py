@@ -6,7 +6,8 @@ value less threshold k. That gives an expected grade and a tail probability
 P(grade >= g) to select by.
 
 Trained on at most about ``per_grade`` rated rows of each grade (a documented
-bound); scoring reads each text once in the scan, without a shuffle.
+bound); features whose chi-square with every threshold is under ``evidence``
+carry no weight. Scoring reads each text once in the scan, without a shuffle.
 
 Defined cases: null and empty texts have no features and get the value 0, which
 the thresholds turn into the grades' prior; null ratings are not learned; of
@@ -25,10 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready, stage
-from ticketloom.llm.features import collected, known, sampled, summed, terms_and_shapes, vocabulary
+from ticketloom.llm.features import collected, known, sampled, summed, telling, terms_and_shapes, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
 
 FOLDS = 5
+#: Steps of training at least.
+STEPS = 300
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
@@ -57,14 +60,15 @@ def values(weight: np.ndarray, at: np.ndarray, owner: np.ndarray, n: int) -> np.
     return summed(weight[at].astype(np.float64), owner, n) / np.sqrt(np.maximum(sizes, 1))
 
 
-def fit(grades: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, least: int = 5, epochs: int = 12, batch: int = 256, rate: float = 0.05,
+def fit(grades: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, least: int = 3, evidence: float = 12.0, epochs: int = 12, batch: int = 256, rate: float = 0.05,
         decay: float = 1e-5, seed: int = 11) -> Scale:
     """Adam on the likelihood of the grades. Steps between thresholds are kept
     positive as exponentials, so the order of the grades always holds."""
     k = int(grades.max()) + 1 if len(grades) else 1
     if k < 2:
         return Scale(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    vocab = vocabulary(hashes, least)
+    common = vocabulary(hashes, least)
+    vocab = np.unique(np.concatenate([telling((grades > c).astype(np.float64), bounds, hashes, common, evidence) for c in range(k - 1)]))
     at_all, on = known(hashes, vocab)
     kept = np.concatenate([[0], np.cumsum(on)])[bounds]
     at_all = at_all[on].astype(np.int32)
@@ -77,7 +81,8 @@ def fit(grades: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, least: int =
     rng = np.random.default_rng(seed)
     padded = lambda c: np.concatenate([[-np.inf], c, [np.inf]])
     step = 0
-    for _ in range(epochs):
+    # a small sample takes more rounds, to make as many steps
+    for _ in range(max(epochs, -(-STEPS * batch // len(grades)))):
         order = rng.permutation(len(grades))
         for low in range(0, len(order), batch):
             rows = np.sort(order[low : low + batch])

@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
 from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready, stage
-from ticketloom.llm.features import collected, known, sampled, summed, terms, vocabulary
+from ticketloom.llm.features import collected, known, sampled, summed, telling, terms, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
 
 FOLDS = 5
+#: Steps of training at least.
+STEPS = 300
 
 
 @dataclass
@@ -81,7 +83,8 @@ def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int =
     bias = float(np.log(share / (1 - share)))
     importance = np.where(y > 0, min(3.0, (1 - share) / share), 1.0)
     step = 0
-    for _ in range(epochs):
+    # a small sample takes more rounds, to make as many steps
+    for _ in range(max(epochs, -(-STEPS * batch // len(y)))):
         order = rng.permutation(len(y))
         for low in range(0, len(order), batch):
             rows = np.sort(order[low : low + batch])
@@ -107,18 +110,6 @@ def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int =
     return Machine(vocab, bias, weight, factor)
 
 
-def telling(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarray, evidence: float) -> np.ndarray:
-    """Terms whose chi-square with the label is ``evidence`` or more; the others are noise."""
-    at, on = known(hashes, vocab)
-    label = np.repeat(y, np.diff(bounds))[on]
-    both = np.bincount(at[on], label, len(vocab))
-    n = np.bincount(at[on], minlength=len(vocab)).astype(np.float64)
-    share = y.mean() if len(y) else 0.0
-    spread = n * share * (1 - share) * (1 - n / max(len(y), 1))
-    chi = np.square(both - n * share) / np.maximum(spread, 1e-9)
-    return vocab[chi >= evidence]
-
-
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 8000, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Machine:
     """Learns only rows whose id's crc32 mod 5 is not 0. ``per_label`` bounds the sample."""
     ready(docs.sparkSession)
