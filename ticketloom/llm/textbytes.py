@@ -181,7 +181,12 @@ def shingles(words: Words, hashes: np.ndarray, n: int, size: int) -> tuple[np.nd
 
 def distinct_pairs(text: np.ndarray, hashes: np.ndarray, weights: bool = False):
     """Distinct (text, hash), ascending; with ``weights`` their numbers too."""
-    order = np.lexsort((hashes, text))
+    # one sort by the text and 44 bits of the hash; where those tie for different hashes, by all bits
+    key = (text.astype(np.uint64) << np.uint64(44)) | (hashes >> np.uint64(20))
+    order = np.argsort(key)
+    key, ordered = key[order], hashes[order]
+    if len(text) and (text.max() >> 20 or ((key[1:] == key[:-1]) & (ordered[1:] != ordered[:-1])).any()):
+        order = np.lexsort((hashes, text))
     text, hashes = text[order], hashes[order]
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
