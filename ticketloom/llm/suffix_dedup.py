@@ -6,7 +6,7 @@ starts in a document with a smaller id. Windows are judged on the input.
 1. Texts that are equal to one with a smaller id go whole, by digest.
 2. The windows of the rest are dealt by their smallest ``GRAM``-byte hash: equal
    windows have equal hashes, and a run of windows with the same one is a segment
-   (some 85 bytes for 18 windows). An entry is two hashes, the document and the
+   (some 63 bytes for 14 windows). An entry is two hashes, the document and the
    place, not the bytes. Of entries with equal segments only the smallest id's
    stays (each task drops repeats before the shuffle, so a passage that a third
    of all documents share leaves one entry a task); the others' windows go.
@@ -38,19 +38,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, packed, parts_for, ready, unpack, unpacked
-from ticketloom.llm.textbytes import Texts, pieces, prefix_hash, slice_hash
+from ticketloom.llm.textbytes import Texts, hash_slices, pieces, prefix_hash, slice_hash
 from ticketloom.session import stage
 
 WIDTH = 50
-GRAM = 16
+GRAM = 24
 #: Windows in a segment at most.
 LONGEST = 64
 #: Different segments of one hash that are compared in one collection.
-CROWD = 2000
-#: Bytes of text whose entries make up one bucket; bytes of strings in a collection.
-BUCKET, COLLECTION = 16 << 20, 1 << 20
+CROWD = 50_000
+#: Bytes of text whose entries make up one bucket; bytes of strings dealt to one task,
+#: and in one collection of them (small enough for the processor's cache).
+BUCKET, DEALT, COLLECTION = 16 << 20, 4 << 20, 96 << 10
 #: Entries a task holds back to drop repeats.
-HELD = 1_500_000
+HELD = 600_000
 NO_SYMBOL = 256
 LAST_ID = (1 << 63) - 1
 
@@ -182,19 +183,32 @@ def _found_schema() -> pa.Schema:
 
 
 class Columns:
-    """The columns of a collection in files of a folder; each is read and written whole, in order."""
+    """A collection's columns in two files, each read and written whole, in order, once a
+    round: the suffixes (string, length and the symbol before it, in one number), and
+    the common prefixes. Files only grow, so they are written over in place."""
 
-    KINDS = {"bwt": np.uint16, "lcp": np.uint8, "string": np.int32, "length": np.uint16}
+    FIELDS = {"string": (32, 0xFFFFFFFF), "length": (16, 0xFFFF), "bwt": (0, 0xFFFF)}
 
     def __init__(self, folder: str):
-        self.folder = Path(folder)
+        self.files = {k: open(Path(folder) / k, "w+b", buffering=0) for k in ("suffix", "lcp")}  # noqa: SIM115
+        self.n = 0
 
-    def write(self, **columns: np.ndarray) -> None:
-        for name, values in columns.items():
-            values.astype(self.KINDS[name], copy=False).tofile(self.folder / name)
+    def write(self, suffix: np.ndarray, lcp: np.ndarray) -> None:
+        self.n = len(suffix)
+        for name, values in (("suffix", suffix), ("lcp", lcp)):
+            self.files[name].seek(0)
+            self.files[name].write(values.data)
 
     def read(self, name: str) -> np.ndarray:
-        return np.fromfile(self.folder / name, dtype=self.KINDS[name])
+        if name in self.FIELDS:
+            shift, mask = self.FIELDS[name]
+            return ((self.read("suffix") >> np.uint64(shift)) & np.uint64(mask)).astype(np.int64)
+        self.files[name].seek(0)
+        return np.frombuffer(bytearray(self.files[name].read()), np.uint8 if name == "lcp" else np.uint64)[: self.n]
+
+    def close(self) -> None:
+        for f in self.files.values():
+            f.close()
 
 
 def range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -214,44 +228,38 @@ def range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
 
 
 def construct(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, folder: str, width: int = WIDTH) -> Columns:
-    """Transform, common prefixes with the rank before (up to ``width``), string and
+    """Symbol before it, common prefix with the rank before (up to ``width``), string and
     length of every suffix of the strings ``buf[start : start + size]``, in their order."""
     columns, m = Columns(folder), len(starts)
-    columns.write(bwt=np.full(m, NO_SYMBOL), lcp=np.zeros(m), string=np.arange(m), length=np.zeros(m))
+    no_symbol, symbol_bits = np.uint64(NO_SYMBOL), np.uint64(0xFFFF)
+    columns.write((np.arange(m, dtype=np.uint64) << np.uint64(32)) | no_symbol, np.zeros(m, np.uint8))
     rank = np.arange(m)
     for t in range(int(sizes.max()) if m else 0):
         active = np.flatnonzero(sizes > t)
-        bwt, lcp = columns.read("bwt"), columns.read("lcp")
-        bwt[rank[active]] = buf[starts[active] + sizes[active] - 1 - t]
-        order = np.argsort(bwt, kind="stable")
-        order = order[: len(bwt) - np.count_nonzero(bwt == NO_SYMBOL)]
-        place = np.empty(len(bwt), dtype=np.int64)
+        suffix, lcp = columns.read("suffix"), columns.read("lcp")
+        suffix[rank[active]] ^= buf[starts[active] + sizes[active] - 1 - t].astype(np.uint64) ^ no_symbol
+        symbol = (suffix & symbol_bits).astype(np.uint16)
+        order = np.argsort(symbol, kind="stable")
+        order = order[: np.searchsorted(symbol[order], NO_SYMBOL)]
+        place = np.empty(len(suffix), dtype=np.int64)
         place[order] = np.arange(m, m + len(order))
-        rank = rank.copy()
         rank[active] = place[rank[active]]
         new = np.zeros(m + len(order), dtype=bool)
         new[rank[active]] = True
-        spread = {}
-        for name, old, fresh in (("bwt", bwt, NO_SYMBOL), ("lcp", lcp, 0), ("string", columns.read("string"), None), ("length", columns.read("length"), t + 1)):
-            column = np.empty(len(new), dtype=Columns.KINDS[name])
-            column[~new] = old
-            if fresh is None:
-                column[rank[active]] = active
-            else:
-                column[new] = fresh
-            spread[name] = column
-        touched = new.copy()
-        touched[1:] |= new[:-1]
-        at = np.flatnonzero(touched)
-        at = at[at >= m]
+        old = np.flatnonzero(~new)
+        wider, prefixes = np.empty(len(new), np.uint64), np.empty(len(new), np.uint8)
+        wider[old], prefixes[old] = suffix, lcp
+        wider[rank[active]] = (active.astype(np.uint64) << np.uint64(32)) | np.uint64((t + 1) << 16) | no_symbol
+        # a new suffix and the one after it have new neighbours before them
+        at = np.union1d(rank[active], rank[active] + 1)
+        at = at[at < len(new)]
         j = at - m
         before = order[np.maximum(j - 1, 0)]
-        alike = (j > 0) & (bwt[order[j]] == bwt[before])
+        alike = (j > 0) & (symbol[order[j]] == symbol[before])
         values = np.zeros(len(at), dtype=np.uint8)
-        low, high = before[alike] + 1, order[j[alike]]
-        values[alike] = np.minimum(range_minima(lcp, low, high).astype(np.int64) + 1, width)
-        spread["lcp"][at] = values
-        columns.write(**spread)
+        values[alike] = np.minimum(range_minima(lcp, before[alike] + 1, order[j[alike]]).astype(np.int64) + 1, width)
+        prefixes[at] = values
+        columns.write(wider, prefixes)
     return columns
 
 
@@ -259,14 +267,15 @@ def equal_windows(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: n
     """(string, offset) of the windows that a string with a smaller id has too."""
     with tempfile.TemporaryDirectory() as folder:
         columns = construct(buf, starts, sizes, folder, width)
-        lcp, string, length = columns.read("lcp"), columns.read("string"), columns.read("length").astype(np.int64)
+        lcp, string, length = columns.read("lcp"), columns.read("string"), columns.read("length")
+        columns.close()
     at = np.flatnonzero(lcp < width)
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     smallest = np.minimum.reduceat(ids[string], at)
     group = np.cumsum(lcp < width) - 1
     hit = np.flatnonzero((ids[string] > smallest[group]) & (length >= width))
-    return string[hit].astype(np.int64), sizes[string[hit]] - length[hit]
+    return string[hit], sizes[string[hit]] - length[hit]
 
 
 def strings(rows: DataFrame, buckets: int) -> DataFrame:
@@ -274,7 +283,7 @@ def strings(rows: DataFrame, buckets: int) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, t in pieces(batches):
-            bucket, owner, at, size, data = [], [], [], [], []
+            code_of, owner, at, size = [], [], [], []
             for d in range(t.n):
                 text = t.buf[t.bounds[d] : t.bounds[d + 1] - 1]
                 hashes, start, windows, crowded = (
@@ -283,18 +292,20 @@ def strings(rows: DataFrame, buckets: int) -> DataFrame:
                 one = np.flatnonzero(crowded)
                 many = windows[one]
                 inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                alone = np.repeat(start[one], many) + inner
-                code = np.array([int.from_bytes(hashlib.blake2b(text[a : a + WIDTH].tobytes(), digest_size=8).digest(), "little") for a in alone], np.uint64)
+                alone = np.sort(np.repeat(start[one], many) + inner)
+                code = hash_slices(text, alone, alone + WIDTH)
                 plain = crowded == 0
                 starts = np.concatenate([start[plain], alone])
                 sizes = np.concatenate([windows[plain] + WIDTH - 1, np.full(len(alone), WIDTH)])
-                bucket.append((np.concatenate([hashes[plain], code]) % np.uint64(buckets)).astype(np.int64))
+                code_of.append(np.concatenate([hashes[plain], code]))
                 owner.append(np.full(len(starts), d))
                 at.append(starts)
                 size.append(sizes)
-            bucket, owner, at, size = (np.concatenate(x).astype(np.int64) for x in (bucket, owner, at, size))
+            code_of = np.concatenate(code_of)
+            owner, at, size = (np.concatenate(x).astype(np.int64) for x in (owner, at, size))
+            bucket = (code_of % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            bucket, owner, at, size = bucket[order], owner[order], at[order], size[order]
+            bucket, code_of, owner, at, size = bucket[order], code_of[order], owner[order], at[order], size[order]
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
             ids, nth = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             ends = np.append(cut[1:], len(bucket)) if len(bucket) else []
@@ -304,18 +315,29 @@ def strings(rows: DataFrame, buckets: int) -> DataFrame:
                 blobs.append(b"".join(t.buf[x : x + n].tobytes() for x, n in zip(begin, size[a:b], strict=True)))
             pack = lambda x, k: pa.array([packed(x[a:b].astype(k)) for a, b in zip(cut, ends, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut].astype(np.int32) if len(bucket) else [], pa.int32()), pack(ids[owner], np.int64), pack(nth[owner], np.int32),
-                 pack(at, np.int32), pack(size, np.uint8), pa.array(blobs, pa.binary())], names=["bucket", "id", "nth", "start", "size", "data"])
+                [pa.array(bucket[cut].astype(np.int32) if len(bucket) else [], pa.int32()), pack(code_of, np.uint64), pack(ids[owner], np.int64), pack(nth[owner], np.int32),
+                 pack(at, np.int32), pack(size, np.uint8), pa.array(blobs, pa.binary())], names=["bucket", "hash", "id", "nth", "start", "size", "data"])
 
-    return rows.mapInArrow(task, "bucket int, id binary, nth binary, start binary, size binary, data binary")
+    return rows.mapInArrow(task, "bucket int, hash binary, id binary, nth binary, start binary, size binary, data binary")
 
 
-def collection(table: pa.Table) -> pa.Table:
-    """The windows of one collection that go, as FOUND rows."""
-    ids, nth = unpacked(table, "id", np.int64), unpacked(table, "nth", np.int32)
+def collections_of(table: pa.Table) -> pa.Table:
+    """The windows of the strings dealt to a task that go, as FOUND rows. Strings of one
+    hash are in one collection; a collection has ``COLLECTION`` bytes and one hash more."""
+    hashes, ids, nth = unpacked(table, "hash", np.uint64), unpacked(table, "id", np.int64), unpacked(table, "nth", np.int32)
     at, sizes = unpacked(table, "start", np.int32).astype(np.int64), unpacked(table, "size", np.uint8).astype(np.int64)
     buf = np.frombuffer(b"".join(table.column("data").to_pylist()), np.uint8)
-    string, offset = equal_windows(buf, np.cumsum(sizes) - sizes, sizes, ids)
+    begin = np.cumsum(sizes) - sizes
+    order = np.argsort(hashes, kind="stable")
+    before = np.cumsum(sizes[order]) - sizes[order]
+    heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])) if len(order) else np.zeros(0, np.int64)
+    parts = np.repeat(before[heads] // COLLECTION, np.diff(np.append(heads, len(order))))
+    string, offset = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for part in np.split(order, np.flatnonzero(parts[1:] != parts[:-1]) + 1) if len(order) else []:
+        found, place = equal_windows(buf, begin[part], sizes[part], ids[part])
+        string.append(part[found])
+        offset.append(place)
+    string, offset = np.concatenate(string), np.concatenate(offset)
     batches = found_rows(True, ids[string], nth[string], at[string] + offset, np.ones(len(string), np.int64))
     return pa.Table.from_batches(batches, schema=_found_schema())
 
@@ -324,7 +346,7 @@ def _checked(small: DataFrame, width: int) -> DataFrame:
     return F.broadcast(small) if small.count() * width <= BROADCAST_BYTES else small
 
 
-def trim(docs: DataFrame, id_col: str = "doc_id", text: str = "text", collection_bytes: int = COLLECTION) -> DataFrame:
+def trim(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dealt_bytes: int = DEALT) -> DataFrame:
     """One row for each row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256,
     and ``spans`` (start and end of each removed run, in bytes; ends are exclusive)."""
     ready(docs.sparkSession)
@@ -347,8 +369,8 @@ def trim(docs: DataFrame, id_col: str = "doc_id", text: str = "text", collection
     asked = stage(asked, "suffix-asked")
     volume = asked.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     needy = left.join(_checked(asked.select("id"), 8), "id", "left_semi").dropDuplicates(["id", "nth"]).join(asked.drop("size"), ["id", "nth"])
-    more = strings(needy.select("id", "nth", "text", "hash", "start", "windows", "crowded"), parts_for(volume, collection_bytes))
-    extra = stage(more.groupBy("bucket").applyInArrow(collection, FOUND), "suffix-extra")
+    more = strings(needy.select("id", "nth", "text", "hash", "start", "windows", "crowded"), parts_for(volume, dealt_bytes))
+    extra = stage(more.groupBy("bucket").applyInArrow(collections_of, FOUND), "suffix-extra")
     gone = found.where("gone").unionByName(extra).groupBy("id", "nth").agg(F.collect_list("start").alias("start"), F.collect_list("windows").alias("windows"))
     gone = stage(gone, "suffix-gone")
     hit = left.join(_checked(gone.select("id"), 8), "id", "left_semi").dropDuplicates(["id", "nth"]).join(gone, ["id", "nth"])
