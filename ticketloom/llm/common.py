@@ -77,13 +77,14 @@ def packed(column: np.ndarray) -> bytes:
     return column.view(np.uint8).reshape(len(column), column.dtype.itemsize).T.tobytes()
 
 
-def unpack(blob: bytes, dtype) -> np.ndarray:
+def unpack(blob: bytes | pa.Buffer, dtype) -> np.ndarray:
     size = np.dtype(dtype).itemsize
     planes = np.frombuffer(blob, np.uint8).reshape(size, -1)
     return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
 def unpacked(table: pa.Table, name: str, dtype) -> np.ndarray:
-    """The entries of all rows of a packed column."""
-    blobs = table.column(name).to_pylist()
-    return np.concatenate([unpack(x, dtype) for x in blobs]) if blobs else np.zeros(0, dtype)
+    """The entries of all rows of a packed column; no copy but the one returned."""
+    pa.default_memory_pool().release_unused()
+    parts = [unpack(x.as_buffer(), dtype) for x in table.column(name)]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype)

@@ -51,8 +51,8 @@ SHORT = 8
 #: From so many classes on, shingles are equally common for the order of step 2.
 COMMON = 64
 #: Bytes of text whose prefix entries make up one bucket.
-BUCKET = 16 << 20
-HELD = 1_500_000
+BUCKET = 5 << 20
+HELD = 300_000
 LAST_ID = (1 << 63) - 1
 
 
@@ -77,7 +77,7 @@ def needed(n, m, percent: int = PERCENT):
 
 def digests(rows: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t in pieces(batches):
+        for batch, t in pieces(batches, limit=1 << 20):
             bounds, _, node = sets(t)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds).astype(np.int64)), pa.array(node)], names=["id", "n", "node"])
 
@@ -138,7 +138,7 @@ def short_lists(rows: DataFrame, buckets: int) -> DataFrame:
             yield from by_bucket(bucket, [h, np.concatenate([node, none, touched]), np.concatenate([n, none - 1, np.full(len(touched), -2)]).astype(np.int32),
                                           np.concatenate([at, none, np.zeros(len(touched), np.int64)]).astype(np.int32)], ["h", "node", "n", "at"])
 
-        for _, t in pieces(batches):
+        for _, t in pieces(batches, limit=1 << 20):
             bounds, values, node = sets(t)
             n = np.diff(bounds)
             which = np.flatnonzero(seen.fresh(node, n))
@@ -213,7 +213,7 @@ def ordered_prefixes(rows: DataFrame, buckets: int) -> DataFrame:
             bucket = np.concatenate([bucket, (marks % np.uint64(buckets)).astype(np.int64)])
             yield from by_bucket(bucket, [np.concatenate([h, marks]), np.concatenate([node, none]), np.concatenate([n, none - 1]).astype(np.int32)], ["h", "node", "n"])
 
-        for _, t in pieces(batches):
+        for _, t in pieces(batches, limit=1 << 20):
             bounds, values, node = sets(t)
             n = np.diff(bounds)
             which = np.flatnonzero(seen.fresh(node, n))
@@ -280,7 +280,7 @@ class Verifier:
         ids = stage(self.homes.join(nodes, "node").select("id").distinct(), "jaccard-ids")
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, t in pieces(batches):
+            for _, t in pieces(batches, limit=1 << 20):
                 bounds, values, node = sets(t)
                 lists = pa.LargeListArray.from_arrays(bounds.astype(np.int64), pa.array(values.view(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(node), lists], names=["node", "items"])
