@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import narrow
-from ticketloom.llm.textbytes import WORD_ALNUM, Texts, distinct_pairs, find_words, hash_slices, lowered, pieces, word_hashes
+from ticketloom.llm.textbytes import WORD_ALNUM, Texts, distinct_pairs, hash_slices, pieces, word_hashes
 
 #: Letters, digits and everything else, for the shape of a word.
 SHAPE = np.arange(256, dtype=np.uint8)
@@ -116,6 +116,3 @@ def summed(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
         out[owner[at]] = np.add.reduceat(values, at, axis=0)
     return out
-
-
-__all__ = ["find_words", "lowered"]

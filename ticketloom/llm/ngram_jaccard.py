@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, packed, parts_for, ready, text_bytes, unpack, unpacked
+from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, parts_for, ready, text_bytes, unpacked
 from ticketloom.llm.components import components
 from ticketloom.llm.textbytes import Texts, distinct_pairs, mix64, pieces, shingles, word_hashes
 from ticketloom.session import stage
@@ -397,6 +397,3 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     gone = stage(found.where(f"component_id <> {id_col}").select(F.col(id_col).alias("gone")).distinct(), "jaccard-gone")
     marks = _checked(gone, 8)
     return docs.join(marks, F.col(id_col) == F.col("gone"), "left_anti")
-
-
-__all__ = ["packed", "unpack"]

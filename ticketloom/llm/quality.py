@@ -25,9 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready, stage
+from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready
 from ticketloom.llm.features import collected, known, sampled, summed, telling, terms_and_shapes, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
+from ticketloom.session import stage
 
 FOLDS = 5
 #: Steps of training at least.

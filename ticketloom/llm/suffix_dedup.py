@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, packed, parts_for, ready, unpack, unpacked
+from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, packed, parts_for, ready, unpacked
 from ticketloom.llm.textbytes import Texts, hash_slices, pieces, prefix_hash, slice_hash
 from ticketloom.session import stage
 
@@ -408,6 +408,3 @@ def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(spans, kind)],
                                          names=["id", "nth", "n_removed", "kept_sha256", "spans"])
-
-
-__all__ = ["unpack"]

@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
-from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready, stage
+from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready
 from ticketloom.llm.features import collected, known, sampled, summed, telling, terms, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
+from ticketloom.session import stage
 
 FOLDS = 5
 #: Steps of training at least.
