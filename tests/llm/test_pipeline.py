@@ -17,8 +17,9 @@ def stages(spark, sf_dir):
     out = [docs.collect()]
     kept = docs
     for _, step in corpus_pipeline.STAGES:
-        kept = spark.createDataFrame(step(spark, kept, sf_dir).collect(), step(spark, kept, sf_dir).schema)
-        out.append(kept.collect())
+        done = step(spark, kept, sf_dir)
+        out.append(done.collect())
+        kept = spark.createDataFrame(out[-1], done.schema)
     return out
 
 
