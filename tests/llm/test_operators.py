@@ -187,6 +187,21 @@ def test_ngram_jaccard_awkward(awkward):
     assert {r.doc_id for r in kept.select("doc_id").collect()} >= {0, 3, None}
 
 
+def test_ngram_jaccard_keeps_by_row(spark):
+    """An id under a linked and a clean text, near copies and equal sets without an id, repeated rows."""
+    near = lambda k: " ".join([*prose(60, 80).split()[:k], "changed", *prose(60, 80).split()[k + 1 :]])
+    lone = prose(61, 50)
+    rows = [(1, prose(60, 80)), (5, near(4)), (5, prose(62, 70)), (None, near(40)), (None, near(75)), (None, lone), (None, lone.upper()),
+            (None, lone + " tail"), (8, prose(63, 40)), (8, prose(63, 40)), (9, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("node", F.lit("x")).withColumn("first", F.lit(1)).repartition(3)
+    kept = ngram_jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    lones = {k: n for k, n in found.items() if k[0] is None}
+    assert len(lones) == 1 and set(lones.values()) == {1} and lowered(next(iter(lones))[1]).startswith(lone)
+    assert found - collections.Counter(lones) == collections.Counter([(1, rows[0][1]), (5, rows[2][1]), (8, rows[8][1]), (9, None), (9, "")])
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 11), (7, 3), (20, 20), *[(100, k) for k in range(101, 160)], *[(k, k + 1) for k in range(200, 230)]]
     labels = {r.node: r.label for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

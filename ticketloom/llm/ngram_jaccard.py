@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, parts_for, ready, text_bytes, unpacked
 from ticketloom.llm.components import components
@@ -391,9 +392,28 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, unchanged.
-    Rows that repeat the kept id with an equal set all stay."""
-    found = join(docs, id_col, text)
-    gone = stage(found.where(f"component_id <> {id_col}").select(F.col(id_col).alias("gone")).distinct(), "jaccard-gone")
-    marks = _checked(gone, 8)
-    return docs.join(marks, F.col(id_col) == F.col("gone"), "left_anti")
+    """One row of each component of ``docs``, unchanged: that of the smallest (id, class), a
+    null id last. Rows are told apart by id and class, so of an id's texts only the
+    linked ones go. Rows without shingles link with nothing and all stay."""
+    base, edges = links(docs, id_col, text)
+    rows = base.where("n > 0").groupBy("id", "node").agg(F.count(F.lit(1)).alias("rows"))
+    rows = rows.join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    heads = rows.groupBy("label").agg(F.min(F.struct("id", "node")).alias("head"))
+    rows = rows.join(heads, "label").withColumn("first", F.struct("id", "node") == F.col("head"))
+    marks = stage(rows.where("NOT first OR rows > 1").select("id", "node", "first"), "jaccard-marks")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, t in pieces(batches, limit=1 << 20):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets(t)[2])], names=["row", "node"])
+
+    whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    found = whole.mapInArrow(task, whole.select("row").schema.add("node", LongType()))
+    found = found.withColumn("id", F.coalesce(F.col(f"row.{id_col}").cast("bigint"), F.lit(LAST_ID)))
+    stays = found.join(_checked(marks.where("NOT first").select("id", "node"), 16), ["id", "node"], "left_anti")
+    again = marks.where("first").select("id", "node")
+    if again.isEmpty():
+        return stays.select("row.*")
+    again = _checked(again, 16)
+    once = stays.join(again, ["id", "node"], "left_anti").select("row")
+    repeated = stays.join(again, ["id", "node"], "left_semi").groupBy("id", "node").agg(F.first("row").alias("row")).select("row")
+    return once.unionByName(repeated).select("row.*")
