@@ -187,6 +187,25 @@ def test_ngram_jaccard_awkward(awkward):
     assert {r.doc_id for r in kept.select("doc_id").collect()} >= {0, 3, None}
 
 
+def brute_links(corpus, percent=75):
+    """For each id the number of other sets that its set links with."""
+    sets = {}
+    for i, text, *_ in corpus:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    classes = {s for s in sets.values() if s}
+    return {i: (sum(s != o and 100 * len(s & o) >= percent * len(s | o) for o in classes) if s else 0,) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_ngram_jaccard_counts_links(docs, corpus, monkeypatch, block):
+    """A family of 21 different near copies, in one block and dealt over several."""
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
+    monkeypatch.setattr(ngram_jaccard, "DENSE", 9)
+    expected = brute_links(corpus)
+    assert max(expected.values()) > (8,) and by_id(ngram_jaccard.join(docs), "n_links") == expected
+
+
 def test_ngram_jaccard_keeps_by_row(spark):
     """An id under a linked and a clean text, near copies and equal sets without an id, repeated rows."""
     near = lambda k: " ".join([*prose(60, 80).split()[:k], "changed", *prose(60, 80).split()[k + 1 :]])

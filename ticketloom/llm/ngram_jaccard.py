@@ -20,6 +20,11 @@ are one class, found by digest; only classes are compared.
    compared only across components, in blocks that sizes and positions allow.
 4. Candidates are verified by intersecting the whole sets; linked classes give
    connected components, whose id is the smallest document id in them.
+5. Numbers of links. Step 1 verifies every link of a class without a crowded
+   shingle. Links among the others lie within components: their whole sets meet
+   in blocks of ``BLOCK`` classes of one component, each two blocks in a task of
+   their own, where shared shingles of all pairs are counted. This is the square
+   of a component's classes with a crowded shingle.
 
 A task drops what it knows to be crowded before the shuffle: a shingle that many
 of its own classes share leaves a mark, not entries.
@@ -41,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, parts_for, ready, text_bytes, unpacked
+from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, packed, parts_for, ready, text_bytes, unpack, unpacked
 from ticketloom.llm.components import components
 from ticketloom.llm.textbytes import Texts, distinct_pairs, mix64, pieces, shingles, word_hashes
 from ticketloom.session import stage
@@ -54,6 +59,10 @@ COMMON = 64
 #: Bytes of text whose prefix entries make up one bucket.
 BUCKET = 5 << 20
 HELD = 300_000
+#: Classes of a component that meet in one task to count links.
+BLOCK = 2048
+#: From so many classes of a block on, a shingle is counted by a matrix product.
+DENSE = 32
 LAST_ID = (1 << 63) - 1
 
 
@@ -307,9 +316,10 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.where("coalesce(la, a) <> coalesce(lb, b)").drop("la", "lb")
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``base`` (id, n, node for each row; staged) and ``edges`` (a, b, n, m, common):
-    verified links between classes that connect every pair of linked classes."""
+def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``base`` (id, n, node for each row; staged), ``edges`` (a, b, n, m, common):
+    verified links between classes that connect every pair of linked classes, and
+    ``crowd`` (node): between two of these, not every link is an edge."""
     ready(docs.sparkSession)
     rows = narrow(docs, id=F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)), text=text)
     base = stage(digests(rows), "jaccard-base")
@@ -359,7 +369,88 @@ def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[
     across = across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
     done = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
     across = stage(across.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    return base, stage(edges.unionByName(verifier.linked(across)), "jaccard-edges")
+    return base, stage(edges.unionByName(verifier.linked(across)), "jaccard-edges"), crowd
+
+
+def common(owner: np.ndarray, items: np.ndarray, k: int) -> np.ndarray:
+    """How many items each two of ``k`` sets share; the diagonal is left open."""
+    order = np.lexsort((owner, items))
+    owner, start = owner[order], firsts(items[order])
+    length = np.diff(np.append(start, len(owner)))
+    number = np.repeat(np.arange(len(start)), length)
+    out = np.zeros((k, k), np.float32)
+    many = np.flatnonzero(length >= DENSE)
+    for low in range(0, len(many), 1024):
+        part = many[low : low + 1024]
+        column = np.full(len(start), -1)
+        column[part] = np.arange(len(part))
+        on = column[number] >= 0
+        has = np.zeros((k, len(part)), np.float32)
+        has[owner[on], column[number[on]]] = 1
+        out += has @ has.T
+    rest = np.flatnonzero(length[number] < DENSE)
+    for step in range(1, DENSE):
+        rest = rest[rest + step < len(owner)]
+        rest = rest[number[rest] == number[rest + step]]
+        keys, counts = np.unique(owner[rest] * k + owner[rest + step], return_counts=True)
+        out.ravel()[keys] += counts
+        out.T[keys // k, keys % k] += counts
+    return out
+
+
+def degrees(docs: DataFrame, base: DataFrame, edges: DataFrame, crowd: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``node`` and ``n_links``, the number of classes it links with, for all that have links."""
+    inside = labels.join(crowd, "node").select("node", "label")
+    sizes = inside.groupBy("label").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    homes = base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
+    placed = stage(inside.join(sizes, "label").join(homes, "node").withColumn("blocks", F.ceil(F.col("k") / BLOCK)), "jaccard-placed")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, t in pieces(batches, limit=1 << 20):
+            bounds, values, node = sets(t)
+            items = [packed(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(items, pa.binary())], names=["id", "node", "items"])
+
+    rows = narrow(docs, id=F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)), text=text)
+    rows = rows.join(_checked(placed.select("id").distinct(), 8), "id", "left_semi").select("id", "text")
+    found = rows.mapInArrow(task, "id bigint, node bigint, items binary").join(_checked(placed, 40), ["id", "node"])
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    # small components share tasks; a block meets every block, the smaller number first
+    found = found.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    found = found.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    shared = parts_for(placed.count() * 1000, BUCKET)
+    deal = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("label"), F.lit(shared))).otherwise(F.col("label"))
+    found = found.withColumn("deal", deal).withColumn("whole", F.col("blocks") == 1)
+
+    def count(table: pa.Table) -> pa.Table:
+        nodes, label, side = (table.column(k).to_numpy() for k in ("node", "label", "own"))
+        two = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        order = np.lexsort((nodes, label))
+        order = order[firsts(label[order], nodes[order])]  # repeated rows send a class again
+        out = np.zeros(len(order), np.int64)
+        start = firsts(label[order])
+        items = table.column("items")
+        for a, b in zip(start, np.append(start[1:], len(order)), strict=True):
+            part = order[a:b]
+            own = [unpack(items[i].as_buffer(), np.uint64) for i in part.tolist()]
+            n = np.array([len(x) for x in own])
+            c = common(np.repeat(np.arange(len(part)), n), np.concatenate(own), len(part)).astype(np.float64)
+            linked = 100 * c >= PERCENT * (n[:, None] + n[None, :] - c)
+            np.fill_diagonal(linked, False)
+            if two:
+                linked &= side[part][:, None] != side[part][None, :]
+            out[a:b] = linked.sum(axis=1)
+        return pa.table({"node": nodes[order], "n_links": out})
+
+    found = found.select("whole", "deal", "low", "high", "own", "label", "node", "items")
+    counted = found.groupBy("whole", "deal", "low", "high").applyInArrow(count, "node bigint, n_links bigint")
+    # every link with a class outside the crowd is an edge
+    both = crowd.withColumn("in", F.lit(True))
+    outer = edges.join(both.select(F.col("node").alias("a"), F.col("in").alias("ia")), "a", "left")
+    outer = outer.join(both.select(F.col("node").alias("b"), F.col("in").alias("ib")), "b", "left").where("ia IS NULL OR ib IS NULL")
+    one = F.lit(1).cast("bigint").alias("n_links")
+    ends = outer.select(F.col("a").alias("node"), one).unionByName(outer.select(F.col("b").alias("node"), one))
+    return stage(ends.unionByName(counted).groupBy("node").agg(F.sum("n_links").alias("n_links")), "jaccard-degrees")
 
 
 def _room(a: str, b: str, ordered: bool = True):
@@ -373,11 +464,10 @@ def _room(a: str, b: str, ordered: bool = True):
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, class_id (the
-    smallest id with an equal set), n_links (verified links of its class)."""
-    base, edges = links(docs, id_col, text)
+    smallest id with an equal set), n_links (how many other classes its class links with)."""
+    base, edges, crowd = links(docs, id_col, text)
     labels = components(edges)
-    both = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node")))
-    degree = both.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = degrees(docs, base, edges, crowd, labels, id_col, text)
     classes = base.where("n > 0").groupBy("node").agg(F.min("id").alias("class_id"))
     classes = classes.join(labels, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = classes.groupBy("label").agg(F.min("class_id").alias("component_id"))
@@ -395,7 +485,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     """One row of each component of ``docs``, unchanged: that of the smallest (id, class), a
     null id last. Rows are told apart by id and class, so of an id's texts only the
     linked ones go. Rows without shingles link with nothing and all stay."""
-    base, edges = links(docs, id_col, text)
+    base, edges, _ = links(docs, id_col, text)
     rows = base.where("n > 0").groupBy("id", "node").agg(F.count(F.lit(1)).alias("rows"))
     rows = rows.join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = rows.groupBy("label").agg(F.min(F.struct("id", "node")).alias("head"))
