@@ -403,6 +403,20 @@ def test_toxicity_learns_pairs():
     assert (score >= 0.5).tolist() == [True, False, False, True]
 
 
+def test_toxicity_learns_pairs_in_texts():
+    """The same among filler words, with the defaults that ``train`` uses, on texts not learned from."""
+    rng = np.random.default_rng(4)
+    rows, y = [], []
+    for i in range(2500):
+        a, b = rng.integers(0, 2, 2)
+        rows.append(f"{prose(5000 + i, 30)} {'alpha' if a else 'beta'} {'gamma' if b else 'delta'}")
+        y.append(int(a == b))
+    owner, hashes = toxicity.terms(texts(pa.array(rows[:2000])))
+    model = toxicity.fit(np.array(y[:2000]), np.searchsorted(owner, np.arange(2001)), hashes)
+    score = model.score(texts(pa.array(rows[2000:])))
+    assert np.mean((score >= 0.5) == np.array(y[2000:])) > 0.95
+
+
 def test_toxicity_without_labels(spark, awkward):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     rows = toxicity.predict(awkward, none)

@@ -97,6 +97,13 @@ def known(hashes: np.ndarray, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, vocab[at] == hashes
 
 
+def rows_of(bounds: np.ndarray, hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds and hashes of some of the rows, in their order."""
+    sizes = bounds[rows + 1] - bounds[rows]
+    place = np.repeat(bounds[rows], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.concatenate([[0], np.cumsum(sizes)]), hashes[place]
+
+
 def telling(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarray, evidence: float) -> np.ndarray:
     """Terms whose chi-square with the label is ``evidence`` or more; the others are noise."""
     at, on = known(hashes, vocab)

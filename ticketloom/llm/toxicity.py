@@ -8,9 +8,13 @@ toxic together, and the other way round.
 
 Trained on a sample of labelled rows of at most about ``per_label`` rows for
 each label (a documented bound), by Adam on the driver over the sample's packed
-hashes. Terms in fewer than ``least`` sampled rows, and terms whose chi-square
-with the label is under ``evidence``, carry no weight: neither do the rare words
-of a long text collide with a toxic one, nor do many neutral words add up.
+hashes. Terms in fewer than ``least`` sampled rows carry no weight. Of the others
+those do that have ``evidence``, a chi-square with the label: by themselves, or by
+the company they keep. For the latter a machine over all terms learns one half of
+the sample, and in the other half the pairs that it sees of a term are tested
+against what the terms telling by themselves leave unexplained; and the other way
+round. So neither do the rare words of a long text collide with a toxic one, nor do
+many neutral words add up.
 Scoring reads every text once, in the scan, and needs no shuffle.
 
 Defined cases: null and empty texts have no terms and score the bias; a label
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
 from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready
-from ticketloom.llm.features import collected, known, sampled, summed, telling, terms, vocabulary
+from ticketloom.llm.features import collected, known, rows_of, sampled, summed, telling, terms, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
 from ticketloom.session import stage
 
@@ -69,7 +73,48 @@ def fit(labels: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, rank: int =
         rate: float = 0.02, decay: float = 3e-4, seed: int = 5) -> Machine:
     """Adam on the logistic loss; both labels count alike in the loss up to a factor of 3."""
     y = labels.astype(np.float64)
-    vocab = telling(y, bounds, hashes, vocabulary(hashes, least), evidence)
+    every = vocabulary(hashes, least)
+    vocab = telling(y, bounds, hashes, every, evidence)
+    if evidence > 0 and len(vocab) < len(every):
+        company = together(y, bounds, hashes, every, vocab, evidence, rank=rank, epochs=epochs, batch=batch, rate=rate, decay=decay, seed=seed)
+        vocab = np.union1d(vocab, company)
+    return learn(y, bounds, hashes, vocab, rank, epochs, batch, rate, decay, seed)
+
+
+def together(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarray, single: np.ndarray, evidence: float, **how) -> np.ndarray:
+    """Terms whose pairs with other terms of a text tell the label in rows not learned
+    from, beyond what the terms ``single`` say."""
+    order = np.random.default_rng(how["seed"]).permutation(len(y))
+    halves = [np.sort(order[::2]), np.sort(order[1::2])]
+    found = [np.zeros(0, np.uint64)]
+    for one, other in (halves, halves[::-1]):
+        if len(set(y[one])) < 2 or len(set(y[other])) < 2:
+            continue
+        b, h = rows_of(bounds, hashes, one)
+        whole = learn(y[one], b, h, vocab, **how)
+        alone = learn(y[one], b, h, single, **how)
+        b, h = rows_of(bounds, hashes, other)
+        owner = np.repeat(np.arange(len(other)), np.diff(b))
+        at, on = known(h, alone.vocab)
+        p = logistic(alone.bias + interactions(alone.weight, alone.factor, at[on], owner[on], len(other)))
+        rest = y[other] - p
+        rest -= rest.mean()
+        at, on = known(h, vocab)
+        at, owner = at[on], owner[on]
+        own = whole.factor[at]
+        pull = ((summed(own, owner, len(other))[owner] - own) * own).sum(axis=1).astype(np.float64)
+        n = np.maximum(np.bincount(at, minlength=len(vocab)), 1)
+        # within a term's rows: does the pull of its pairs go with the label?
+        pull -= (np.bincount(at, pull, len(vocab)) / n)[at]
+        within = rest[owner] - (np.bincount(at, rest[owner], len(vocab)) / n)[at]
+        both = np.bincount(at, pull * within, len(vocab))
+        spread = np.bincount(at, pull * pull * within * within, len(vocab))
+        found.append(vocab[(both > 0) & (both * both >= evidence * np.maximum(spread, 1e-12))])
+    return np.unique(np.concatenate(found))
+
+
+def learn(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarray, rank: int, epochs: int, batch: int, rate: float, decay: float, seed: int) -> Machine:
+    """The machine over the terms of ``vocab``."""
     share = float(y.mean()) if len(y) else 0.0
     if not len(vocab) or share in (0.0, 1.0):
         bias = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
