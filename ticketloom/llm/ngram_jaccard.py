@@ -17,7 +17,8 @@ are one class, found by digest; only classes are compared.
 3. Answers from relations. A family's list is not expanded. Its smallest set
    leads: members are verified against the leader, and what is linked to it is
    in one component without further comparison. Between what is left, pairs are
-   compared only across components, in blocks that sizes and positions allow.
+   compared only across components, as far as sizes and positions allow; each pair
+   of a list is formed for that test.
 4. Candidates are verified by intersecting the whole sets; linked classes give
    connected components, whose id is the smallest document id in them.
 5. Numbers of links. Step 1 verifies every link of a class without a crowded
