@@ -47,6 +47,15 @@ def narrow(docs: DataFrame, **columns: str | Column) -> DataFrame:
     return docs.select(*[(F.col(c) if isinstance(c, str) else c).alias(k) for k, c in columns.items()])
 
 
+def unstaged(frame: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    jvm, conf = frame.sparkSession._jvm, frame.sparkSession._jsc.hadoopConfiguration()
+    folders = {name.rsplit("/", 1)[0] for name in frame.inputFiles()}
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def semi(rows: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """Semi or anti join to staged fixed-width ids: sent to every executor up to
     ``BROADCAST_BYTES`` counted bytes, shuffled beyond."""

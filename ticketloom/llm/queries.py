@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, exact_dedup, language, license_scan, ngram_jaccard, poisson_mix, quality, suffix_dedup, suffix_tree, toxicity
+from ticketloom.llm import (
+    clustering, decontaminate, exact_dedup, language, license_scan, ngram_jaccard, poisson_mix, quality, suffix_dedup, suffix_tree, toxicity, url_filter,
+    whitening,
+)
 from ticketloom.llm.common import read
 
 
@@ -59,6 +62,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(read(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64, seed=1)
+
+
+#: The rules of the URL filter: verdict, host, start of the path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), url_filter.rules_of(spark, URL_RULES))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_grade, op2_suffix_tree_lm, op3_exact_dedup, op4_suffix_dedup, op5_license_scan, op6_poisson_mix, op7_toxicity,
-    op8_decontaminate, op9_ngram_jaccard, op10_language_id)}
+    op8_decontaminate, op9_ngram_jaccard, op10_language_id, op11_embedding_whitening, op12_centroid_clustering, op13_url_filter)}
