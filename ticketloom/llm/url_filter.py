@@ -212,4 +212,5 @@ def decisions(listed: DataFrame, linked: DataFrame, ruled: DataFrame, labels: Da
 
 def rules_of(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
     """A table of rules from (verdict, host, path) texts."""
-    return spark.createDataFrame(rules, "verdict string, host string, path string")
+    named = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("verdict", "host", "path"), r, strict=True)]) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*named)))
