@@ -3,6 +3,7 @@
 import json
 import math
 import random
+import re
 import statistics
 from collections import Counter, defaultdict
 
@@ -74,7 +75,7 @@ def test_key_hash_keeps_tuples_apart(spark):
 @pytest.mark.parametrize("text,good", [
     ("2026-02-10", True), ("2026-02-10T09:15", True), ("2026-02-10 09:15:01.123456Z", True),
     ("2026-02-10T09:15:00+03:00", True), ("2026-02-30", False), ("2026", False), ("2026-02", False),
-    ("T09:15", False), ("2026-02-10T25:00", False), ("2026-02-10T09:15:00+0300", False), ("", False),
+    ("T09:15", False), ("2026-02-10T25:00", False), ("2026-02-10T09:15:00+0300", True), ("2026-02-10T09:15:00+030", False), ("2026-02-10+0300", False), ("", False),
 ])
 def test_timestamp_spelling(spark, text, good):
     value = spark.range(1).select(instant(F.lit(text))).first()[0]
@@ -333,7 +334,7 @@ def test_repair_lines(spark):
     assert (one.created_at, one.updated_at) == ("2026-02-10T00:00:00+00:00", "2026-02-10T00:00:00+00:00")
     assert one.tags == ["vpn", "tunnel"] == one.labels_json.tags
     assert rows[2].ticket_id == "B" and rows[2].tags == ["x", "5"]
-    assert all(rows[n].ticket_id.startswith("TCKT-") and len(rows[n].ticket_id) == 11 for n in (3, 4))
+    assert all(re.fullmatch(r"TCKT-\d{6,19}", rows[n].ticket_id) for n in (3, 4))
     assert rows[3].ticket_id != rows[4].ticket_id
 
 
