@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.fixed import LABEL_KEYS, REQUIRED_KEYS, SCALE_KEYS
+from ticketloom.functions.spans import json_string, patch_members  # noqa: F401  part of this interface
 
 LABELS_TYPE = "struct<l1:string,l2:string,l3:string,tags:array<string>>"
 
@@ -197,40 +198,3 @@ def flatten_json(parsed: DataFrame, keep: list[str]) -> DataFrame:
         written.alias("priority_number"),
         *[columns[key].alias(key) for key in REQUIRED_KEYS],
     )
-
-
-def json_string(text: Column) -> Column:
-    """The text as a JSON string, quotes and all."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
-
-
-def patch_members(raw: Column, new: dict[str, Column]) -> Column:
-    """The JSON object ``raw`` with other values for some members.
-
-    ``new`` gives JSON text by key; a null keeps what is there. All else stays:
-    key order, members nobody knows, numbers as they are written (``3.0``,
-    integers of any length), nulls and missing keys. A key that ``raw`` lacks is
-    added at the end; of a repeated key the last value counts, in the first place.
-    """
-    texts, kinds = F.from_json(raw, "map<string,string>"), F.from_json(raw, "map<string,variant>")
-    names = F.map_keys(texts)
-    given = F.map_from_arrays(F.array(*[F.lit(k) for k in new]), F.array(*new.values()))
-
-    def member(key: Column) -> Column:
-        last = (F.size(names) + 1 - F.array_position(F.reverse(names), key)).cast("int")
-        text, kind = F.element_at(F.map_values(texts), last), F.element_at(F.map_values(kinds), last)
-        kept = (
-            F.when(text.isNull(), F.lit("null"))
-            .when(F.schema_of_variant(kind) == "STRING", json_string(text))
-            .otherwise(text)
-        )
-        return F.concat(json_string(key), F.lit(":"), F.coalesce(F.try_element_at(given, key), kept))
-
-    added = F.filter(F.map_keys(given), lambda key: F.try_element_at(given, key).isNotNull())
-    fresh = F.transform(
-        F.array_except(added, names),
-        lambda key: F.concat(json_string(key), F.lit(":"), F.try_element_at(given, key)),
-    )
-    members = F.concat(F.transform(F.array_distinct(names), member), fresh)
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))

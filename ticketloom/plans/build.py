@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.fixed import REQUIRED_KEYS
-from ticketloom.functions.fields import flatten_json, parse_json, patch_members
+from ticketloom.functions.fields import flatten_json, parse_json
 from ticketloom.functions.rules import clean_tags, expected_priority
+from ticketloom.functions.spans import patch_members
 from ticketloom.operators.fixes import is_fix_part, merge_fixes, pair_fixes
 from ticketloom.operators.validate import check_json_rows, rejected_listing, resolve
 from ticketloom.session import prepare, stage

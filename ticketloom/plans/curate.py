@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.functions.fields import flatten_json, json_string, parse_json, patch_members
+from ticketloom.functions.fields import flatten_json, parse_json
 from ticketloom.functions.rules import NOT_OBJECT, UNPARSEABLE
+from ticketloom.functions.spans import json_string, patch_members
 from ticketloom.operators.dedupe import vary_duplicates
 from ticketloom.operators.enrich import LEVELS, postprocess
 from ticketloom.operators.quality import report
