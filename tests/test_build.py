@@ -116,7 +116,7 @@ def read_lines(folder):
 
     return [
         json.loads(line)
-        for f in sorted(Path(folder).glob("part-*"))
+        for f in sorted(f for f in Path(folder).rglob("part-*") if "_manifest" not in f.parts)
         for line in f.read_text(encoding="utf-8").split("\n")
         if line
     ]

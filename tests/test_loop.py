@@ -20,7 +20,8 @@ def parts(spark, sf_dir, tmp_path_factory):
 
 
 def gathered(folder):
-    files = sorted(p for p in folder.iterdir() if p.name.startswith("part-"))
+    files = sorted(folder.rglob("part-*"), key=lambda p: (p.parent != folder, str(p)))
+    files = [p for p in files if "_manifest" not in p.parts]
     return "".join(p.read_text(encoding="utf-8") for p in files)
 
 

@@ -19,6 +19,7 @@ def lookup_join(
     name: str = "lookup",
     fixed_width: bool = True,
     broadcast_rows: int | None = None,
+    moved: list[str] | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup``, which holds one row per key.
 
@@ -29,9 +30,12 @@ def lookup_join(
     size of the staged files.
     Beyond either limit it is a shuffle join, where AQE splits hot keys: the
     lookup's side of a split key is a single row, so splitting costs nothing.
+    ``moved`` gets ``name`` unless the rows are sure to stay in their tasks.
     """
     staged = stage(lookup, name)
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     if fixed_width and staged.count() <= limit and stored_bytes(staged) <= BROADCAST_BYTES:
         staged = F.broadcast(staged)
+    elif moved is not None:
+        moved.append(name)
     return rows.join(staged, on, how)

@@ -45,10 +45,10 @@ def duplicate_groups(df: DataFrame, pos: str = "pos") -> DataFrame:
     return repeated_groups(df.withColumn(KEY, trimmed_key()), pos)
 
 
-def mark_repeats(df: DataFrame, key: Column, pos: str = "pos") -> DataFrame:
-    """Add ``is_repeat``: an earlier row has the same key."""
+def mark_repeats(df: DataFrame, key: Column, pos: str = "pos", moved: list[str] | None = None) -> DataFrame:
+    """Add ``is_repeat``: an earlier row has the same key. ``moved`` as in ``lookup_join``."""
     keyed = df.withColumn(KEY, key)
-    joined = lookup_join(keyed, repeated_groups(keyed, pos), KEY, "left", "repeated-texts")
+    joined = lookup_join(keyed, repeated_groups(keyed, pos), KEY, "left", "repeated-texts", moved=moved)
     late = F.coalesce(F.col(pos) > F.col("first_pos"), F.lit(False))
     return joined.withColumn("is_repeat", late).drop(KEY, "first_pos", "copies")
 
@@ -92,7 +92,7 @@ def repeat_tail(ticket_id: Column, mode: str) -> Column:
     return F.concat_ws(" ", choose(REPEAT_SENTENCES, remark), stamp)
 
 
-def vary_duplicates(df: DataFrame, mode: str = "spread", pos: str = "pos") -> DataFrame:
+def vary_duplicates(df: DataFrame, mode: str = "spread", pos: str = "pos", moved: list[str] | None = None) -> DataFrame:
     """Append a sentence to every later copy of a (title, description)."""
     varied = F.concat_ws(
         " ",
@@ -100,7 +100,7 @@ def vary_duplicates(df: DataFrame, mode: str = "spread", pos: str = "pos") -> Da
         repeat_tail(F.col("ticket_id"), mode),
     )
     text = F.when(F.col("is_repeat"), varied).otherwise(F.col("description_ar"))
-    marked = mark_repeats(df, trimmed_key(), pos)
+    marked = mark_repeats(df, trimmed_key(), pos, moved)
     return marked.withColumn("description_ar", text).drop("is_repeat")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.fixed import REQUIRED_KEYS
 from ticketloom.functions.fields import (
     TicketFields,
     json_fields,
@@ -58,9 +59,9 @@ def check_rows(
 
 
 def check_json_rows(parsed: DataFrame, taxonomy: DataFrame, profile: str = "code") -> DataFrame:
-    """Codes of rows that went through ``parse_json``; keeps their columns and the ticket id."""
+    """Codes of rows that went through ``parse_json``; keeps their columns and adds the ticket's."""
     checked = check_rows(read_json_fields(parsed), taxonomy, json_fields(), profile)
-    kept = checked.select(*parsed.columns, "ticket_id", "id_key", CODES)
+    kept = checked.select(*parsed.columns, *REQUIRED_KEYS, "id_key", CODES)
     return kept.withColumn(
         CODES,
         F.when(~F.col("parse_ok"), F.lit(UNPARSEABLE))
@@ -92,13 +93,14 @@ def first_accepted(checked: DataFrame) -> DataFrame:
     )
 
 
-def resolve(checked: DataFrame) -> DataFrame:
+def resolve(checked: DataFrame, moved: list[str] | None = None) -> DataFrame:
     """Duplicate ids and automatic priority repair: adds ``reason`` and ``autofix``.
 
     ``reason`` is what remains; an empty one means accepted. ``checked`` is
-    evaluated twice, so a costly or unstable one should be staged.
+    evaluated twice, so a costly or unstable one should be staged. ``moved`` gets
+    a name if there were too many repeated ids to leave the rows where they are.
     """
-    known = lookup_join(checked, first_accepted(checked), "id_key", "left", "accepted-ids")
+    known = lookup_join(checked, first_accepted(checked), "id_key", "left", "accepted-ids", fixed_width=True, moved=moved)
     late = F.coalesce(F.col("pos") > F.col("accepted_pos"), F.lit(False))
     codes = join_codes(F.nullif(F.col(CODES), F.lit("")), F.when(late, F.lit(DUPLICATE_ID)))
     autofix = codes == PRIORITY_RULE

@@ -16,16 +16,18 @@ from ticketloom.operators.enrich import LEVELS, postprocess
 from ticketloom.operators.quality import report
 from ticketloom.operators.repair import repair_lines
 from ticketloom.session import prepare, stage, staging
-from ticketloom.sources.lines import number_lines, read_parts, scan_lines
-from ticketloom.sources.tables import in_order, project, write_json_text, write_jsonl, write_rejects, write_report
+from ticketloom.sources.lines import SPLIT, number_lines, read_parts, scan_lines
+from ticketloom.sources.tables import in_order, project, reject_text, write_jsonl, write_ordered, write_report
 from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy, load_taxonomy
 
 
 PLACE = ["source", "block", "row_id"]
 
 
-def read_tickets(spark: SparkSession, glob: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Non-blank lines as typed columns with line numbers and ``pos``.
+def read_tickets(
+    spark: SparkSession, glob: str, keep: tuple[str, ...] = (), keep_split: bool = False, moved: list[str] | None = None
+) -> DataFrame:
+    """Non-blank lines as typed columns with line numbers and ``pos``, ``split`` if asked for.
 
     The text is parsed in the scan; typed columns are staged, and whatever
     reads them again does so column by column. Unparseable lines have
@@ -33,7 +35,8 @@ def read_tickets(spark: SparkSession, glob: str, keep: tuple[str, ...] = ()) ->
     """
     lines = scan_lines(spark, glob).withColumn("is_blank", F.col("raw") == "")
     typed = flatten_json(parse_json(lines), [*PLACE, "is_blank", *keep])
-    return number_lines(stage(typed, "tickets")).where(~F.col("is_blank")).drop("is_blank")
+    numbered = number_lines(stage(typed, "tickets"), keep_split=keep_split, moved=moved)
+    return numbered.where(~F.col("is_blank")).drop("is_blank")
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,7 @@ class Passed:
 
 
 def patched_lines(after: DataFrame, keys: list[str]) -> DataFrame:
-    """``(pos, json)``: lines with new members where a key differs from ``old_`` of it;
+    """``(pos, split, json)``: lines with new members where a key differs from ``old_`` of it;
     a line without any difference stays as it is, byte for byte."""
 
     def text(key: str) -> Column:
@@ -55,28 +58,32 @@ def patched_lines(after: DataFrame, keys: list[str]) -> DataFrame:
         value = F.to_json(key, {"ignoreNullFields": "false"}) if kind in ("struct", "array") else value
         return F.when(~F.col(key).eqNullSafe(F.col(f"old_{key}")), F.coalesce(value, F.lit("null")))
 
-    marked = after.select("pos", "raw", *[text(k).alias(k) for k in keys])
+    marked = after.select("pos", SPLIT, "raw", *[text(k).alias(k) for k in keys])
     same = F.coalesce(*[F.col(k) for k in keys]).isNull()
     patched = patch_members(F.col("raw"), {k: F.col(k) for k in keys})
-    return marked.select("pos", F.when(same, F.col("raw")).otherwise(patched).alias("json"))
+    return marked.select("pos", SPLIT, F.when(same, F.col("raw")).otherwise(patched).alias("json"))
 
 
-def run_pass(spark: SparkSession, glob: str, out: str, keys: list[str], change: Callable[[DataFrame], DataFrame]) -> Passed:
+def run_pass(
+    spark: SparkSession, glob: str, out: str, keys: list[str], change: Callable[[DataFrame, list[str]], DataFrame]
+) -> Passed:
     """Change the members ``keys`` of every object and write all lines in input order.
 
     Lines that are no JSON object are written beside, as a build's rejects are.
+    ``change`` tells in its second argument if it shuffled the lines.
     """
     with staging(spark):
-        lines = read_tickets(spark, glob, ("raw", "parse_ok"))
+        moved: list[str] = []
+        lines = read_tickets(spark, glob, ("raw", "parse_ok"), keep_split=True, moved=moved)
         kept = [f"old_{k}" for k in keys]
         # what was read stands beside what becomes of it, so nothing is joined
         records = lines.where("is_record").withColumns({o: F.col(k) for o, k in zip(kept, keys, strict=True)})
-        done = stage(patched_lines(change(records), keys), "passed")
-        write_json_text(in_order(done), out)
+        done = patched_lines(change(records, moved), keys)
+        write_ordered(done, out, ["json"], "text", bool(moved))
         bad = lines.where(~F.col("is_record"))
         cause = F.when(F.col("parse_ok"), F.lit(NOT_OBJECT)).otherwise(F.lit(UNPARSEABLE))
-        bad = stage(bad.select("pos", "source", "line", "raw", "parse_ok", F.array(cause).alias("reason")), "unread")
-        write_rejects(in_order(bad), f"{out}_rejected")
+        bad = bad.withColumn("reason", F.array(cause)).select("pos", SPLIT, reject_text().alias("json"))
+        write_ordered(bad, f"{out}_rejected", ["json"], "text", bool(moved))
         return Passed(out, f"{out}_rejected", bad.count())
 
 
@@ -84,13 +91,13 @@ def postprocess_parts(spark: SparkSession, glob: str, out: str, mode: str = "spr
     """Remap, recompute priority and enrich short texts of all parts."""
     prepare(spark)
     keys = [*LEVELS, "category_path", "labels_json", "priority", "description_ar"]
-    return run_pass(spark, glob, out, keys, lambda df: postprocess(df, built_in_remap(spark), mode))
+    return run_pass(spark, glob, out, keys, lambda df, moved: postprocess(df, built_in_remap(spark), mode))
 
 
 def vary_parts(spark: SparkSession, glob: str, out: str, mode: str = "spread") -> Passed:
     """Tell repeated texts apart in all parts."""
     prepare(spark)
-    return run_pass(spark, glob, out, ["description_ar"], lambda df: vary_duplicates(df, mode))
+    return run_pass(spark, glob, out, ["description_ar"], lambda df, moved: vary_duplicates(df, mode, moved=moved))
 
 
 def taxonomy_of(spark: SparkSession, path: str | None) -> DataFrame:

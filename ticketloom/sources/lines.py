@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,16 +12,16 @@ from ticketloom.session import stage
 
 # pos = file number * 2^37 + line: 2^26 files of 2^37 lines each fit a bigint
 LINE_BITS = 37
-RANGE_BITS = 6
-RANGES = 2**RANGE_BITS
-FILES_PER_RANGE_BITS = 20
+RANGES = 64
+SPLIT = "split"
 
 
-def scan_lines(spark: SparkSession, glob: str) -> DataFrame:
+def scan_lines(spark: SparkSession, glob: str | list[str]) -> DataFrame:
     """Stripped lines of all matching text files as ``(source, block, row_id, raw)``.
 
     ``row_id`` grows along each file split and is only meaningful once staged:
-    add narrow columns if wanted, ``stage``, then ``number_lines``.
+    add narrow columns if wanted, ``stage``, then ``number_lines``. ``source`` is
+    the path as Spark writes it, with %-codes; numbered lines have it decoded.
     """
     return spark.read.text(glob).select(
         F.col("_metadata.file_path").alias("source"),
@@ -31,55 +31,85 @@ def scan_lines(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
+def decoded_path(path: Column) -> Column:
+    """The path as a person writes it: ``_metadata.file_path`` has blanks and others as %-codes."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def position(file_no, line):
     return F.shiftleft(file_no, LINE_BITS) + line
 
 
 def number_files(sources: DataFrame) -> DataFrame:
-    """Give each ``source`` a number that grows with its path; not dense.
+    """Give each ``source`` its number in the order of all paths, from 0 without gaps.
 
-    Range partitions come sorted, so (partition, row in partition) packed into
-    one number is the order: no task sees more than its range.
+    Range partitions come sorted, so a file's number is its row in its partition
+    plus the files of all partitions before: no task sees more than its range.
     """
-    ranked = (
+    ranked = stage(
         sources.repartitionByRange(RANGES, "source")
         .sortWithinPartitions("source")
         .select("source", F.monotonically_increasing_id().alias("rank_id"))
+        .select("source", F.shiftright("rank_id", 33).alias("range"), F.col("rank_id").bitwiseAND(2**33 - 1).alias("nth")),
+        "ranked-files",
     )
-    in_range = F.col("rank_id").bitwiseAND(2**33 - 1)
-    fits = F.when(in_range < 2**FILES_PER_RANGE_BITS, in_range).otherwise(
-        F.raise_error(F.lit("too many input files to number"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a range
+    before = ranked.groupBy("range").agg(F.count("*").alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
-    file_no = F.shiftleft(F.shiftright("rank_id", 33), FILES_PER_RANGE_BITS) + fits.cast("bigint")
-    return ranked.select("source", file_no.alias("file_no"))
+    return ranked.join(F.broadcast(before), "range").select("source", (F.col("before") + F.col("nth")).alias("file_no"))
 
 
-def number_lines(staged: DataFrame) -> DataFrame:
-    """Turn ``(source, block, row_id)`` into ``file_no``, ``line`` and ``pos``.
+def number_lines(
+    staged: DataFrame, files: DataFrame | None = None, keep_split: bool = False, moved: list[str] | None = None
+) -> DataFrame:
+    """Turn ``(source, block, row_id)`` into ``source``, ``file_no``, ``line`` and ``pos``.
 
     Only per-split counts are shuffled; the rows themselves are joined to
     them (one row per 128 MB split, broadcast while that is proven small).
+    ``files`` tells which part a file belongs to where a part has several:
+    (file, part, ord), all paths decoded; else each file is a part.
+
+    ``keep_split`` needs a staged table and adds ``split``: the place of a row's
+    split, and of the piece of it that a task reads, among all of the input. It
+    sorts like ``pos``, and a piece's rows come from one task in order. ``moved``
+    gets a name if a join shuffled the rows, after which the latter no longer holds.
     """
+    if keep_split:
+        staged = staged.select("*", F.col("_metadata.file_block_start").alias("piece"))
     splits = staged.groupBy("source", "block").agg(
         F.min("row_id").alias("first_id"), F.count("*").alias("n_lines")
     )
-    splits = stage(splits, "splits")
-    files = stage(number_files(splits.select("source").distinct()), "files")
+    splits = stage(splits.withColumn("file", decoded_path(F.col("source"))), "splits")
+    if files is None:
+        splits = splits.withColumns({"part": F.col("file"), "ord": F.lit(0)})
+    else:
+        splits = splits.join(files.select("file", "part", "ord"), "file")
+    numbers = stage(number_files(splits.select(F.col("part").alias("source")).distinct()), "files")
     earlier = (
-        Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("part").orderBy("ord", "block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = splits.withColumn(
-        "lines_before", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0))
-    ).select("source", "block", (F.col("lines_before") - F.col("first_id") + 1).alias("shift"))
-    numbered = lookup_join(
-        staged, offsets.join(files, "source"), ["source", "block"], "inner", "offsets"
+    offsets = (
+        splits.withColumn("lines_before", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)))
+        .join(numbers.withColumnRenamed("source", "part"), "part")
+        .select(
+            "source", "block", "part", "file_no",
+            (F.col("lines_before") - F.col("first_id") + 1).alias("shift"),
+            *([ordinal("file_no", "ord", "block").alias(SPLIT)] if keep_split else []),
+        )
     )
+    numbered = lookup_join(staged, offsets, ["source", "block"], "inner", "offsets", moved=moved)
     line = F.col("row_id") + F.col("shift")
-    return (
-        numbered.withColumn("line", line)
-        .withColumn("pos", position(F.col("file_no"), F.col("line")))
-        .drop("block", "row_id", "shift")
-    )
+    columns = {"line": line, "pos": position(F.col("file_no"), line), "source": F.col("part")}
+    if keep_split:
+        columns[SPLIT] = F.concat_ws("-", SPLIT, F.lpad(F.col("piece").cast("string"), 15, "0"))
+    return numbered.withColumns(columns).drop("block", "row_id", "shift", "part", "piece")
+
+
+def ordinal(*numbers: str) -> Column:
+    """Numbers as one text that sorts as they do."""
+    return F.concat_ws("-", *[F.lpad(F.col(n).cast("string"), 15, "0") for n in numbers])
 
 
 def read_parts(spark: SparkSession, glob: str) -> DataFrame:
