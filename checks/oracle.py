@@ -296,7 +296,7 @@ ORACLE["scan_line_numbers"] = (
 )
 ORACLE["csv_roundtrip"] = on_everything(
     "SELECT "
-    + ", ".join(f"CAST(to_json({c}) AS VARCHAR) AS {c}" if c == "tags" else c for c in COLUMNS if c != "labels_json")
+    + ", ".join(f"CAST(to_json({c}) AS VARCHAR) AS {c}" if c in ("tags", "labels_json") else c for c in COLUMNS)
     + " FROM everything"
 )
 ORACLE["jsonl_roundtrip"] = on_everything(f"SELECT {flat_columns(pos=False)} FROM everything")
@@ -305,17 +305,19 @@ ORACLE["jsonl_roundtrip"] = on_everything(f"SELECT {flat_columns(pos=False)} FRO
 
 FIX_VIEWS = """parts AS (
   SELECT 'part_' || lang || '.jsonl' AS part, doc_id AS line,
-    'TCKT-' || lpad(CAST(doc_id AS VARCHAR), CAST(greatest(6, length(CAST(doc_id AS VARCHAR))) AS INT), '0') AS id_key,
+    CASE WHEN doc_id % 13 <> 0 THEN
+      'TCKT-' || lpad(CAST(doc_id - doc_id % 12 AS VARCHAR), CAST(greatest(6, length(CAST(doc_id - doc_id % 12 AS VARCHAR))) AS INT), '0') END AS id_key,
     text, source AS origin FROM documents),
 fixes AS (
   SELECT CASE role WHEN 'user' THEN 'part_en' WHEN 'assistant' THEN 'part_fr' ELSE 'part_other' END AS stem,
     conv_id * 1000 + turn AS line,
-    'TCKT-' || lpad(CAST(conv_id AS VARCHAR), CAST(greatest(6, length(CAST(conv_id AS VARCHAR))) AS INT), '0') AS id_key,
+    CASE WHEN turn <> 3 THEN
+      'TCKT-' || lpad(CAST(conv_id AS VARCHAR), CAST(greatest(6, length(CAST(conv_id AS VARCHAR))) AS INT), '0') END AS id_key,
     text, role AS origin FROM conversations)"""
 ORACLE["fix_merge"] = f"""WITH {FIX_VIEWS},
 latest AS (
   SELECT stem || '.jsonl' AS part, id_key, min(line) AS first_line, arg_max(text, line) AS text, arg_max(origin, line) AS origin
-  FROM fixes WHERE stem || '.jsonl' IN (SELECT part FROM parts) GROUP BY ALL),
+  FROM fixes WHERE id_key IS NOT NULL AND stem || '.jsonl' IN (SELECT part FROM parts) GROUP BY ALL),
 targets AS (SELECT p.part, p.id_key, min(p.line) AS line FROM parts p JOIN latest l USING (part, id_key) GROUP BY ALL),
 ends AS (SELECT part, max(line) AS last_line FROM parts GROUP BY 1)
 SELECT p.part, p.line, coalesce(l.text, p.text) AS text, coalesce(l.origin, p.origin) AS origin, l.part IS NOT NULL AS is_fix
@@ -816,3 +818,72 @@ ORACLE["sample8"] = on_tickets(
     "SELECT ticket_id, title_ar, category_level_1, category_level_2, category_level_3, sentiment"
     " FROM tickets ORDER BY md5('42:' || pos), pos LIMIT 8"
 )
+
+# --- file plans --------------------------------------------------------------
+
+NTH = "row_number() OVER (ORDER BY {}) AS nth, "
+ORACLE["build_clean_lines"] = on_json(
+    f"SELECT {NTH.format('pos')}"
+    + flat_columns(pos=False, priority=CLEAN_PRIORITY, tags=f"array_to_string({CLEAN_TAGS}, '|')")
+    + " FROM val WHERE reason = ''"
+)
+ORACLE["build_clean_csv"] = on_json(
+    "SELECT "
+    + ", ".join(
+        {"tags": f"CAST(to_json({CLEAN_TAGS}) AS VARCHAR) AS tags", "priority": f"{CLEAN_PRIORITY} AS priority",
+         "labels_json": "CAST(to_json(labels_json) AS VARCHAR) AS labels_json"}.get(c, c)
+        for c in COLUMNS
+    )
+    + " FROM val WHERE reason = ''"
+)
+ORACLE["build_reject_lines"] = on_json(
+    f"SELECT {NTH.format('pos')} reason, CASE WHEN is_record THEN ticket_id END AS ticket_id,"
+    " CASE WHEN is_record THEN description_ar END AS description_ar FROM val WHERE reason <> ''"
+)
+ORACLE["pass_postprocess_lines"] = on_mapped(
+    enriched_sql().replace("SELECT pos, ", "SELECT " + NTH.format("(dialect = 'chat'), pos"), 1)
+)
+ORACLE["pass_vary_lines"] = on_varied("spread", f"SELECT {NTH.format('pos')} ticket_id, description_ar FROM varied")
+
+LOOPED = """rejected AS (SELECT * FROM val WHERE reason <> ''),
+fixes AS (SELECT pos // 200 AS part, pos % 200 + 1 AS line, g.ticket_id, r.channel, r.priority, r.description_ar
+  FROM given g JOIN rep r ON r.line = g.pos),
+latest AS (SELECT part, ticket_id, min(line) AS first_line, arg_max(channel, line) AS channel,
+  arg_max(priority, line) AS priority, arg_max(description_ar, line) AS description_ar FROM fixes GROUP BY ALL),
+part_lines AS (SELECT pos // 200 AS part, pos % 200 + 1 AS line, CASE WHEN is_record THEN ticket_id END AS ticket_id,
+  is_record, pos, codes, channel, priority, impact, description_ar FROM val),
+targets AS (SELECT part, ticket_id, min(line) AS line FROM part_lines JOIN latest USING (part, ticket_id) GROUP BY ALL),
+merged AS (
+  SELECT p.part, p.line AS place, p.ticket_id, CASE WHEN l.part IS NULL THEN p.is_record ELSE true END AS is_record,
+    p.pos % 71 <> 0 AS parse_ok, CASE WHEN l.part IS NULL THEN p.codes ELSE '' END AS codes,
+    CASE WHEN l.part IS NULL THEN p.channel ELSE l.channel END AS channel,
+    CASE WHEN l.part IS NULL THEN p.priority ELSE l.priority END AS priority,
+    CASE WHEN l.part IS NULL THEN p.description_ar ELSE l.description_ar END AS description_ar
+  FROM part_lines p LEFT JOIN targets t ON t.part = p.part AND t.line = p.line
+  LEFT JOIN latest l ON l.part = t.part AND l.ticket_id = t.ticket_id
+  UNION ALL
+  SELECT part, 1000000 + first_line, ticket_id, true, true, '', channel, priority, description_ar FROM latest l
+  WHERE NOT EXISTS (SELECT 1 FROM targets t WHERE t.part = l.part AND t.ticket_id = l.ticket_id)),
+first_ok AS (SELECT ticket_id, min({'part': part, 'place': place}) AS fp FROM merged
+  WHERE is_record AND codes IN ('', 'bad:priority_rule') GROUP BY 1),
+after AS (SELECT m.*, concat_ws(',', nullif(codes, ''),
+    CASE WHEN is_record AND {'part': part, 'place': place} > fp THEN 'bad:duplicate_ticket_id' END) AS all_codes
+  FROM merged m LEFT JOIN first_ok f ON f.ticket_id = m.ticket_id)"""
+LOOP_ROWS = """SELECT part, row_number() OVER (PARTITION BY part ORDER BY place) AS line,
+  CASE WHEN length(ticket_id) > 12 THEN 'made' ELSE ticket_id END AS ticket_id,
+  CASE WHEN all_codes = 'bad:priority_rule' THEN '' ELSE all_codes END AS reason, parse_ok,
+  CASE WHEN is_record THEN description_ar END AS description_ar, CASE WHEN is_record THEN channel END AS channel,
+  CASE WHEN is_record THEN priority END AS priority FROM after"""
+
+
+def on_loop(select: str) -> str:
+    return on_json("SELECT 1").replace(
+        "\nSELECT 1", ",\n" + READ_JSON + ",\n" + repair_cte("given") + ",\n" + LOOPED + "\n" + select
+    )
+
+
+ORACLE["fix_loop"] = on_loop(LOOP_ROWS)
+ORACLE["fix_loop_versions"] = on_loop(
+    "SELECT part, count(*) AS n_lines, CAST(2 AS INT) AS version FROM merged GROUP BY 1"
+)
+ORACLE["synthesize_file"] = f"WITH {taxonomy_cte()},\n{synth_cte()}\nSELECT {flat_columns(pos=False)} FROM synth"

@@ -160,19 +160,19 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fix_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as part rows, one part per language."""
+    """Documents as part rows, one part per language; ids repeat, and some rows have none to go by."""
     docs = table(spark, sf_dir, "documents")
     return docs.select(
         F.concat(F.lit("part_"), "lang", F.lit(".jsonl")).alias("part"),
         F.col("doc_id").alias("line"),
-        F.concat(F.lit("TCKT-"), padded(F.col("doc_id"), 6)).alias("id_key"),
+        F.when(F.col("doc_id") % 13 != 0, F.concat(F.lit("TCKT-"), padded(F.col("doc_id") - F.col("doc_id") % 12, 6))).alias("id_key"),
         "text",
         F.col("source").alias("origin"),
     )
 
 
 def fix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as fixes: several per id, some ids new, system turns without a part."""
+    """Conversation turns as fixes: several per id, some without an id, some ids new, system turns without a part."""
     turns = table(spark, sf_dir, "conversations")
     part = (
         F.when(F.col("role") == "user", "part_en_fixed.jsonl")
@@ -182,7 +182,7 @@ def fix_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select(
         part.alias("part"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("line"),
-        F.concat(F.lit("TCKT-"), padded(F.col("conv_id"), 6)).alias("id_key"),
+        F.when(F.col("turn") != 3, F.concat(F.lit("TCKT-"), padded(F.col("conv_id"), 6))).alias("id_key"),
         "text",
         F.col("role").alias("origin"),
     )

@@ -8,17 +8,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketloom.fixed import REQUIRED_KEYS
 from ticketloom.functions.fields import flatten_json, parse_json
 from ticketloom.functions.rules import NOT_OBJECT, UNPARSEABLE
 from ticketloom.functions.spans import json_string, patch_members
 from ticketloom.operators.dedupe import vary_duplicates
 from ticketloom.operators.enrich import LEVELS, postprocess
+from ticketloom.operators.fixes import merge_fixes
 from ticketloom.operators.quality import report
 from ticketloom.operators.repair import repair_lines
+from ticketloom.plans.build import Built, build, build_version, rejected
 from ticketloom.session import prepare, stage, staging
 from ticketloom.sources.lines import SPLIT, number_lines, read_parts, scan_lines
 from ticketloom.sources.tables import in_order, project, reject_text, write_jsonl, write_ordered, write_report
 from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy, load_taxonomy
+from ticketloom.sources.versions import listed, replace_parts, start
 
 
 PLACE = ["source", "block", "row_id"]
@@ -113,6 +117,38 @@ def report_parts(spark: SparkSession, glob: str, out: str | None = None, taxonom
     return lines
 
 
+@dataclass(frozen=True)
+class Looped:
+    """The build before and after repair, and where the versions of the parts are."""
+
+    before: Built
+    after: Built
+    store: str
+    version: int
+
+
+def fix_loop(spark: SparkSession, input_glob: str, out: str, taxonomy_path: str | None = None, profile: str = "code") -> Looped:
+    """Build, repair what was rejected by rule, merge it into its parts and build again.
+
+    Repaired rows stay with the part they were rejected in, so nothing is paired by
+    name. Only parts with rejects are written anew, as a version in ``out``/parts. A
+    rejected line without an id stays as it is, and its repaired row is a new one.
+    """
+    prepare(spark)
+    store = f"{out}/parts"
+    before = build(spark, input_glob, f"{out}/before", taxonomy_path, profile=profile)
+    start(spark, store, listed(spark, input_glob))
+    bad = stage(rejected(before.validated).select("source", "line", "raw"), "rejects")
+    repaired = repair_lines(bad, taxonomy_of(spark, taxonomy_path))
+    ticket = F.to_json(F.struct(*REQUIRED_KEYS), {"ignoreNullFields": "false"})
+    fixes = repaired.select(F.col("source").alias("part"), "line", json_string(F.col("ticket_id")).alias("id_key"), ticket.alias("raw"))
+    lines = before.validated.select(F.col("source").alias("part"), "line", "id_key", "raw")
+    changed = stage(bad.select(F.col("source").alias("part")).distinct(), "changed")
+    merged = merge_fixes(stage(lines.join(changed, "part", "left_semi"), "part-lines"), stage(fixes, "fixes"), ["raw"])
+    version = replace_parts(spark, store, merged.select("part", "line", "raw"))
+    return Looped(before, build_version(spark, store, f"{out}/after", taxonomy_path, profile), store, version)
+
+
 def repair_rejects(spark: SparkSession, rejects_glob: str, out: str, taxonomy_path: str | None = None) -> None:
     """Repair rejected lines by rule and write them as a fixed part, in order."""
     prepare(spark)
