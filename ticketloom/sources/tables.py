@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticketloom.fixed import REQUIRED_KEYS, SCALE_KEYS
 from ticketloom.functions.fields import LABELS_TYPE
 from ticketloom.sources.lines import SPLIT, ordinal
+from ticketloom.sources.records import records
 
 CSV_SCHEMA = ", ".join(
     f"{key} {'int' if key in SCALE_KEYS else 'string'}" for key in REQUIRED_KEYS
@@ -26,8 +27,15 @@ def project(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A ticket CSV with header and quoted multi-line texts; tags and labels stay text."""
-    return spark.read.csv(path, schema=CSV_SCHEMA, multiLine=True, recursiveFileLookup=True, **CSV_OPTIONS)
+    """A ticket CSV with header and quoted multi-line texts; tags and labels stay text.
+
+    A file is read by as many tasks as it has splits, line ends in quotes or not.
+    Quotes in a field must be doubled and the field quoted, as CSV writers do.
+    """
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV_OPTIONS.items() if k != "header"}
+    rows = records(spark, path).where("not is_header")
+    # with multiLine the parser leaves line ends in quotes as they are
+    return rows.select(F.from_csv("record", CSV_SCHEMA, {**options, "multiLine": "true"}).alias("row")).select("row.*")
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
