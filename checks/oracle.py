@@ -782,6 +782,7 @@ FROM (SELECT {by}, CAST({value} AS DOUBLE) AS x FROM {view}) v JOIN (
 
 ORACLE["box_by_class"] = on_tickets(box_sql("category_level_1", "length(description_ar)", "tickets"))
 ORACLE["box_quantity"] = box_sql("l_returnflag", "l_quantity", "lineitem")
+ORACLE["box_price"] = box_sql("l_returnflag", "l_extendedprice", "lineitem")
 
 
 def shared_sql(col: str, count: str) -> str:

@@ -586,6 +586,14 @@ def box_quantity(spark, sf_dir):
     return rounded(lengths.box_stats(freq, "l_returnflag"), *BOX)
 
 
+@query
+def box_price(spark, sf_dir):
+    """Box statistics of a column with about as many values as rows."""
+    items = table(spark, sf_dir, "lineitem")
+    freq = lengths.value_frequencies(items, F.col("l_extendedprice"), ["l_returnflag"])
+    return rounded(lengths.box_stats(freq, "l_returnflag"), *BOX)
+
+
 @query
 def duplicate_membership(spark, sf_dir):
     return profile.duplicate_membership(document_tickets(spark, sf_dir))

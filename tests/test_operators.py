@@ -441,3 +441,21 @@ def test_sample_is_stable(spark, sf_dir):
     first = [tuple(r) for r in profile.sample_rows(tickets.repartition(5)).collect()]
     assert first == [tuple(r) for r in profile.sample_rows(tickets.coalesce(1)).collect()]
     assert len(first) == 8
+
+
+def test_quantiles_of_any_number_of_values(spark, monkeypatch):
+    """Ranks found by ranges give what numpy gives, for a class of most rows, ties, one row, and none."""
+    monkeypatch.setattr(lengths, "SMALL", 0)
+    rng = np.random.default_rng(4)
+    values = {"hot": rng.normal(0, 1e6, 6000), "ties": rng.integers(-3, 3, 900).astype(float), "one": np.array([7.5]), "two": np.array([1.0, 2.0])}
+    rows = [(g, float(x)) for g, xs in values.items() for x in xs] + [("null", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    freq = lengths.pinned(lengths.value_frequencies(df, F.col("x"), ["g"]))
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r.q for r in lengths.quantiles(freq, ["g"], shares).collect()}
+    assert set(got) == set(values)
+    for g, xs in values.items():
+        assert np.allclose(got[g], np.quantile(xs, shares), rtol=1e-12, atol=0)
+    plan = lengths.quantiles(freq, ["g"], shares)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
+    assert lengths.quantiles(freq.where("false"), ["g"], shares).collect() == []

@@ -1,8 +1,9 @@
-"""Length statistics, all computed from one narrow frequency table.
+"""Statistics of lengths and other numbers, all computed from one narrow frequency table.
 
-The heavy pass counts rows per (field, class, length): partial aggregation
-leaves at most one row per distinct length and task, whatever the skew. Every
-statistic below is exact and reads only those counts.
+The heavy pass counts rows per (field, class, value): partial aggregation
+leaves at most one row per distinct value and task, whatever the skew. Every
+statistic below is exact and reads only those counts, of which a continuous
+column may have as many as rows.
 """
 
 from __future__ import annotations
@@ -10,13 +11,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions.text import is_blank, text_or_empty
 from ticketloom.session import stage
 
 KDE_POINTS = 200
+#: Distinct values of all groups up to which quantiles are gathered by group; exact on both sides.
+SMALL = 10_000
 
 
 def value_frequencies(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
@@ -47,15 +50,54 @@ def text_lengths(df: DataFrame, fields: Sequence[str], null_as_empty: bool = Fal
 
 def summary(freq: DataFrame, by: Sequence[str]) -> DataFrame:
     """min, max, mean and exact median per group of a frequency table."""
+    freq = stage(freq, "frequencies")
     weight = F.when(F.col("x").isNotNull(), F.col("n"))
     blank = [F.sum("n_blank").alias("n_blank")] if "n_blank" in freq.columns else []
-    return freq.groupBy(*by).agg(
+    told = freq.groupBy(*by).agg(
         F.min("x").alias("min"),
         F.max("x").alias("max"),
         (F.sum(F.col("x") * weight) / F.sum(weight)).alias("mean"),
-        F.percentile("x", 0.5, F.col("n")).alias("median"),
         *blank,
     )
+    middle = quantiles(freq, by, [0.5]).select(*by, F.col("q")[0].alias("median"))
+    return told.join(middle, list(by), "left").select(*by, "min", "max", "mean", "median", *(["n_blank"] if blank else []))
+
+
+def quantiles(freq: DataFrame, by: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """``(by..., q)``: exact quantiles of each group of a staged table of (by..., x, n), interpolated.
+
+    Few distinct values are gathered by group. Beyond ``SMALL`` rows the table is dealt
+    into ranges of (by, x); the counts of these, added up, tell which range holds a
+    rank, and only rows of such ranges are counted through. A range is one task,
+    a group never is.
+    """
+    freq = freq.where("x is not null").select(*by, F.col("x").cast("double").alias("x"), "n")
+    if freq.count() <= SMALL:
+        return freq.groupBy(*by).agg(F.percentile("x", list(shares), F.col("n")).alias("q"))
+    ranged = freq.repartitionByRange(*by, "x").withColumn("range", F.spark_partition_id())
+    ranged = stage(ranged, "quantile-ranges")
+    before = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each group and range
+    counts = ranged.groupBy(*by, "range").agg(F.sum("n").alias("held"))
+    starts = stage(counts.withColumn("start", F.coalesce(F.sum("held").over(before), F.lit(0))), "range-starts")
+    totals = starts.groupBy(*by).agg(F.sum("held").alias("total"))
+    wanted = totals.select(*by, "total", F.posexplode(F.array(*[F.lit(float(s)) for s in shares])).alias("k", "share"))
+    place = (F.col("total") - 1) * F.col("share")
+    wanted = wanted.withColumns({"low": F.floor(place), "part": place - F.floor(place)})
+    ranks = wanted.select(*by, "k", "part", F.explode(F.array("low", F.least(F.col("low") + 1, F.col("total") - 1))).alias("rank"), "low")
+    ranks = ranks.withColumn("is_low", F.col("rank") == F.col("low"))
+    held = ranks.join(starts, list(by)).where("rank >= start and rank < start + held").distinct()
+    held = stage(held.select(*by, "range", "start", "k", "part", "rank", "is_low"), "ranks")
+    upto = Window.partitionBy(*by, "range").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.join(F.broadcast(held.select(*by, "range", "start").distinct()), [*by, "range"])
+    inside = inside.withColumn("first", F.col("start") + F.coalesce(F.sum("n").over(upto), F.lit(0))).drop("start")
+    found = inside.join(F.broadcast(held.drop("start")), [*by, "range"]).where("rank >= first and rank < first + n")
+    # of two ranks that are one, as at the end, both ends are that value
+    low, high = F.max(F.when(F.col("is_low"), F.col("x"))), F.max("x")
+    values = found.groupBy(*by, "k").agg(low.alias("low"), high.alias("high"), F.first("part").alias("part"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    listed = values.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("k", value.alias("v")))).alias("q"))
+    return listed.withColumn("q", F.transform("q", lambda x: x["v"]))
 
 
 def length_stats(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -70,16 +112,14 @@ def pinned(freq: DataFrame) -> DataFrame:
 
 def medians(freq: DataFrame, by: str) -> DataFrame:
     """Exact median per class, largest first."""
-    return (
-        freq.groupBy(by).agg(F.percentile("x", 0.5, F.col("n")).alias("median"))
-        .orderBy(F.desc("median"), by)
-    )
+    middle = quantiles(pinned(freq), [by], [0.5])
+    return middle.select(by, F.col("q")[0].alias("median")).orderBy(F.desc("median"), by)
 
 
 def box_stats(freq: DataFrame, by: str) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and outlier rows, per class."""
     freq = pinned(freq)
-    quartiles = freq.groupBy(by).agg(F.percentile("x", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
+    quartiles = quantiles(freq, [by], [0.25, 0.5, 0.75])
     spread = F.col("q")[2] - F.col("q")[0]
     low, high = F.col("q")[0] - 1.5 * spread, F.col("q")[2] + 1.5 * spread
     inside = F.col("x").between(low, high)
