@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ticketloom.fixed import CHANNELS, SENTIMENTS
 from ticketloom.functions.fields import flatten_json, json_value, parse_json, PARSED
 from ticketloom.functions.joins import lookup_join
+from ticketloom.functions.nearest import nearest
 from ticketloom.functions.rules import clean_tags, expected_priority, has_zone, instant
+from ticketloom.functions.spans import let
 from ticketloom.functions.text import strip, text_or_empty
 from ticketloom.session import stage
 from ticketloom.sources.tables import project
@@ -24,11 +26,8 @@ MIN_TAGS, MAX_TAGS = 2, 6
 
 def closest(value: Column, allowed: list[str]) -> Column:
     """The allowed value with the fewest edits, ties by name."""
-    given = F.lower(strip(value))
-    ranked = F.array(
-        *[F.struct(F.levenshtein(given, F.lit(a)).alias("d"), F.lit(a).alias("v")) for a in allowed]
-    )
-    return F.when(value.isin(*allowed), value).otherwise(F.array_min(ranked)["v"])
+    found = let(F.lower(strip(value)), lambda given: nearest(given, F.array(*[F.lit(a) for a in allowed])))
+    return F.when(value.isin(*allowed), value).otherwise(found)
 
 
 def repaired_enum(name: str, allowed: list[str]) -> Column:
@@ -75,15 +74,12 @@ def repair_category(df: DataFrame, taxonomy: DataFrame) -> DataFrame:
     )
     # the allowed paths as one list: the taxonomy is a small dimension
     paths = taxonomy.agg(F.collect_list("path")).scalar()
-    distance = F.transform(
-        "paths", lambda p: F.struct(F.levenshtein(F.col("bad_path"), p).alias("d"), p.alias("path"))
-    )
-    nearest = (
+    near = (
         marked.select("bad_path").where("bad_path is not null").distinct()
         .withColumn("paths", paths)
-        .select("bad_path", F.array_min(distance)["path"].alias("near_path"))
+        .select("bad_path", nearest(F.col("bad_path"), F.col("paths")).alias("near_path"))
     )
-    joined = lookup_join(marked, nearest, "bad_path", "left", "near-paths", fixed_width=False)
+    joined = lookup_join(marked, near, "bad_path", "left", "near-paths", fixed_width=False)
     chosen = joined.withColumn("path", F.coalesce("level_path", "near_path"))
     return (
         chosen.drop(*LEVELS, "category_path", "level_path", "near_path", "bad_path")
