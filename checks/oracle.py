@@ -401,6 +401,12 @@ ORACLE["repair_json_rejects"] = on_json(REPAIRED).replace(
     "\n" + REPAIRED, ",\n" + READ_JSON + ",\n" + repair_cte("given") + "\n" + REPAIRED
 )
 
+ORACLE["repair_free_ids"] = on_json(
+    "SELECT pos AS line, CASE WHEN is_record THEN ticket_id ELSE 'TCKT-' || CAST(('0x' || substr(sha256('documents:' || pos"
+    " || CASE WHEN pos % 4 = 0 THEN '#2' WHEN pos % 2 = 0 THEN '#1' ELSE '' END), 1, 15))::BIGINT AS VARCHAR) END AS ticket_id"
+    " FROM val WHERE reason <> ''"
+)
+
 # --- quality report ----------------------------------------------------------
 
 ORACLE["dq_violations"] = on_tickets("SELECT metric, n, pct FROM vio_long").replace(
@@ -573,6 +579,24 @@ ORACLE["residual_duplicates"] = on_varied(
     f" round(100.0 * sum(n - 1) / sum(n), 4) AS pct FROM ({groups_sql('varied', *STRIPPED)})",
 )
 
+NUMBERED = on_tickets("SELECT pos, ticket_id, description_ar FROM varied").replace(
+    "\nSELECT pos",
+    ",\n" + varied_cte("spread")
+    .replace(hex_number(digest_sql("spread")), "((copy_no - 1) % 138240 * 39119 % 138240)")
+    .replace("CASE WHEN pos > first_pos", "CASE WHEN copy_no > 0")
+    .replace(
+        "FROM tickets t JOIN grp ON",
+        f"FROM (SELECT *, row_number() OVER (PARTITION BY {STRIPPED[0]}, {STRIPPED[1]} ORDER BY pos) - 1 AS copy_no FROM tickets) t JOIN grp ON",
+    ).replace("SELECT t.* REPLACE", "SELECT t.* EXCLUDE (copy_no) REPLACE")
+    + "\nSELECT pos",
+)
+ORACLE["vary_duplicates_numbered"] = NUMBERED
+ORACLE["residual_numbered"] = NUMBERED.replace(
+    "\nSELECT pos, ticket_id, description_ar FROM varied",
+    "\nSELECT count(*) FILTER (n > 1) AS dup_groups, CAST(sum(n - 1) AS BIGINT) AS dup_records,"
+    f" round(100.0 * sum(n - 1) / sum(n), 4) AS pct FROM ({groups_sql('varied', *STRIPPED)})",
+)
+
 # --- post-processing ---------------------------------------------------------
 
 
@@ -820,6 +844,35 @@ ORACLE["sample8"] = on_tickets(
     " FROM tickets ORDER BY md5('42:' || pos), pos LIMIT 8"
 )
 
+ALL_TICKETS_COLUMNS = ["pos", *COLUMNS]
+
+
+def profile_all_sql() -> str:
+    tables = {f"counts_{n}": ("value", "n", ORACLE[f"value_counts_{n}"])
+              for n in ("l1", "l2", "l3", "sentiment", "channel", "dialect", "priority", "urgency", "impact")}
+    tables |= {f"shares_{n}": ("value", "n", ORACLE[f"class_shares_{n}"]) for n in ("l1", "sentiment")}
+    missing = " UNION ALL ".join(f"SELECT '{c}' AS c, count(*) FILTER ({c} IS NULL) AS n FROM tickets" for c in ALL_TICKETS_COLUMNS)
+    tables |= {
+        "overview": ("metric", "value", ORACLE["overview"]), "missing": ("c", "n", on_tickets(missing)),
+        "balance": ("level", "classes", ORACLE["class_balance"]), "length_boxes": ("category_level_1", "n_outliers", ORACLE["box_by_class"]),
+        "duplicates": ('"check"', "n", ORACLE["duplicate_membership"]), "tags": ("tag", "n", on_tickets(top_tags_sql("tags", "tickets"))),
+        "length_stats": ("field", '"max"', ORACLE["length_stats"].replace("FROM everything", "FROM tickets")),
+        "length_histogram": ("bin", "n", ORACLE["length_hist"]), "preview": ("ticket_id", "pos", ORACLE["preview_head"]),
+        "sample": ("ticket_id", "length(title_ar)", ORACLE["sample8"]),
+    }
+    for name in ("sentiment", "dialect"):
+        tables[f"crosstab_{name}"] = (
+            "category_level_1 || '/' || other", "n",
+            f"SELECT * FROM ({ORACLE[f'crosstab_{name}']}) UNPIVOT (n FOR other IN (* EXCLUDE (category_level_1)))",
+        )
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", CAST({key} AS VARCHAR) AS key, CAST({n} AS BIGINT) AS n FROM ({sql})"
+        for name, (key, n, sql) in tables.items()
+    )
+
+
+ORACLE["profile_all"] = profile_all_sql()
+
 # --- file plans --------------------------------------------------------------
 
 NTH = "row_number() OVER (ORDER BY {}) AS nth, "

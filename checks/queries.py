@@ -7,6 +7,7 @@ of two engines compare.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -336,6 +337,18 @@ def repair_json_rejects(spark, sf_dir):
     return flat(repair.repair_lines(lines_in, built_in_taxonomy(spark)))
 
 
+@query
+def repair_free_ids(spark, sf_dir):
+    """Made-up ids where every other one is in use already, and one of those too."""
+    lines_in = build.rejected(validated_json(spark, sf_dir)).select("source", "line", "raw")
+    place = F.concat_ws(":", "source", "line")
+    number = F.conv(F.substring(F.sha2(F.concat(place, F.col("tail")), 256), 1, 15), 16, 10)
+    planted = F.when(F.col("line") % 2 == 0, F.array(F.lit(""))).otherwise(F.array()).cast("array<string>")
+    planted = F.when(F.col("line") % 4 == 0, F.array(F.lit(""), F.lit("#1"))).otherwise(planted)
+    taken = lines_in.withColumn("tail", F.explode(planted)).select(F.concat(F.lit("TCKT-"), number).alias("ticket_id"))
+    return repair.repair_lines(lines_in, built_in_taxonomy(spark), taken).select("line", "ticket_id")
+
+
 # --- quality report ----------------------------------------------------------
 
 
@@ -412,6 +425,17 @@ def residual_duplicates(spark, sf_dir):
     return dedupe.residual_duplicates(dedupe.vary_duplicates(document_tickets(spark, sf_dir)))
 
 
+@query
+def vary_duplicates_numbered(spark, sf_dir):
+    varied = dedupe.vary_duplicates(document_tickets(spark, sf_dir), mode="numbered")
+    return varied.select("pos", "ticket_id", "description_ar")
+
+
+@query
+def residual_numbered(spark, sf_dir):
+    return dedupe.residual_duplicates(dedupe.vary_duplicates(document_tickets(spark, sf_dir), mode="numbered"))
+
+
 # --- post-processing ---------------------------------------------------------
 
 
@@ -594,6 +618,25 @@ def box_price(spark, sf_dir):
     return rounded(lengths.box_stats(freq, "l_returnflag"), *BOX)
 
 
+@query
+def profile_all(spark, sf_dir):
+    """Counts of every table of a profile as (table, key, n)."""
+    tables_of = profile.profile(document_tickets(spark, sf_dir))
+    shown = {name: ("value", "n") for name in tables_of if name.startswith(("counts_", "shares_"))}
+    shown |= {"overview": ("metric", "value"), "missing": ("column", "n_missing"), "balance": ("level", "classes"),
+              "length_boxes": ("category_level_1", "n_outliers"), "duplicates": ("check", "n"), "tags": ("tag", "n"),
+              "length_stats": ("field", "max"), "length_histogram": ("bin", "n"), "preview": ("ticket_id", "pos"), "sample": ("ticket_id", "length(title_ar)")}
+    parts = [
+        tables_of[name].select(F.lit(name).alias("table"), F.col(key).cast("string").alias("key"), F.expr(n).cast("bigint").alias("n"))
+        for name, (key, n) in shown.items()
+    ]
+    for name in ("crosstab_sentiment", "crosstab_dialect"):
+        wide = tables_of[name]
+        long = wide.unpivot(["category_level_1"], wide.columns[1:], "other", "n")
+        parts.append(long.select(F.lit(name).alias("table"), F.concat_ws("/", "category_level_1", "other").alias("key"), F.col("n").cast("bigint").alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def duplicate_membership(spark, sf_dir):
     return profile.duplicate_membership(document_tickets(spark, sf_dir))

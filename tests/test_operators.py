@@ -459,3 +459,70 @@ def test_quantiles_of_any_number_of_values(spark, monkeypatch):
     plan = lengths.quantiles(freq, ["g"], shares)._jdf.queryExecution().executedPlan().toString()
     assert "percentile" not in plan
     assert lengths.quantiles(freq.where("false"), ["g"], shares).collect() == []
+
+
+@pytest.mark.parametrize("tails,chunk", [(dedupe.TAILS, dedupe.CHUNK), (50, 8)])
+def test_numbered_copies_leave_no_duplicates(spark, monkeypatch, tails, chunk):
+    """A third of all rows share one text, blanks aside; capacity beyond one sentence is tested with few sentences."""
+    monkeypatch.setattr(dedupe, "TAILS", tails)
+    monkeypatch.setattr(dedupe, "CHUNK", chunk)
+    rows = [(n * 7, f"T{n % 5}", "t", " hot " if n % 3 == 0 and n % 2 else "hot" if n % 3 == 0 else f"text {n // 2}") for n in range(9000)]
+    rows += [(100_000, "x", None, None), (100_001, "y", None, ""), (100_002, "z", " ", "")]
+    df = spark.createDataFrame(rows, "pos bigint, ticket_id string, title_ar string, description_ar string").repartition(5)
+    out = dedupe.vary_duplicates(df, mode="numbered")
+    assert tuple(dedupe.residual_duplicates(out).first()) == (0, 0, 0.0)
+    got = {r.pos: r.description_ar for r in out.collect()}
+    assert len(got) == len(rows)
+    seen = set()
+    for pos, _, title, text in rows:
+        key = ((title or "").strip(), (text or "").strip())
+        assert (got[pos] == text) == (key not in seen)
+        assert got[pos] == text or got[pos].startswith(text or ".")
+        seen.add(key)
+    numbers = {r.pos: r.copy_no for r in dedupe.copy_numbers(df, dedupe.trimmed_key()).collect()}
+    hot = sorted(pos for pos, _, _, text in rows if (text or "").strip() == "hot")
+    assert [numbers.get(p) for p in hot] == [None, *range(1, len(hot))]
+
+
+def test_made_up_ids_are_free(spark):
+    """A taken id gives way to the next one, rows of one place get two, and two runs agree."""
+    import hashlib
+
+    def made(place):
+        return "TCKT-" + str(int(hashlib.sha256(place.encode()).hexdigest()[:15], 16)).zfill(6)
+
+    lines = [("s", n, "{}") for n in (1, 2, 3, 3)] + [("s", 9, json.dumps({"ticket_id": made("s:2")}))]
+    df = spark.createDataFrame(lines, "source string, line long, raw string")
+    taken = spark.createDataFrame([(made("s:1"),), (made("s:1#1"),), (None,), ("",)], "ticket_id string")
+    runs = []
+    for parts in (1, 4):
+        rows = repair.repair_lines(df.repartition(parts), built_in_taxonomy(spark), taken).collect()
+        runs.append(sorted((r.line, r.ticket_id) for r in rows))
+    assert runs[0] == runs[1] == sorted([
+        (1, made("s:1#2")), (2, made("s:2#1")), (3, made("s:3")), (3, made("s:3#1")), (9, made("s:2"))])
+
+
+def test_profile_and_report_read_their_table_once(spark, sf_dir, tmp_path):
+    """Tables of a profile equal those of its single functions, and come from the narrow table but for a few rows."""
+    path = str(tmp_path / "tickets")
+    document_tickets(spark, sf_dir).write.parquet(path)
+    df = spark.read.parquet(path)
+    tables = profile.profile(df)
+    assert len(tables) == 25
+    single = {"overview": profile.overview(df), "missing": profile.missing_by_column(df), "balance": profile.class_balance(df),
+              "duplicates": profile.duplicate_membership(df), "tags": profile.top_tags(df), "counts_l3": profile.value_counts(df, "category_level_3"),
+              "length_stats": lengths.length_stats(df, ["title_ar", "description_ar"]), "preview": profile.preview(df), "sample": profile.sample_rows(df)}
+    for name, frame in single.items():
+        assert collected(tables[name].select(*frame.columns)) == collected(frame), name
+    for name, frame in tables.items():
+        reads = any(path in f for f in frame.inputFiles())
+        assert reads == (name in ("preview", "sample")), name
+    lines = quality.report(df, built_in_taxonomy(spark))
+    assert not any(path in f for f in lines.inputFiles())
+
+
+def test_profile_of_nothing(spark, sf_dir):
+    tables = profile.profile(document_tickets(spark, sf_dir).where("false"))
+    assert {r.metric: r.value for r in tables["overview"].collect()}["total_rows"] == 0
+    for name in set(tables) - {"overview", "missing", "duplicates"}:
+        assert all(r.n_blank == 0 for r in tables[name].collect()) if name == "length_stats" else tables[name].collect() == [], name

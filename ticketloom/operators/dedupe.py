@@ -7,14 +7,15 @@ table is one aggregated row and not one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.fixed import OPERATING_SYSTEMS, REPEAT_SENTENCES, REPEAT_STAMP
 from ticketloom.functions.joins import lookup_join
-from ticketloom.functions.picks import choose, digest_number, digit_picks
+from ticketloom.functions.picks import choose, digest_number, digit_picks, whole_div
 from ticketloom.functions.text import (
     code_point_sum,
     end_with_dot,
@@ -22,6 +23,7 @@ from ticketloom.functions.text import (
     strip,
     text_or_empty,
 )
+from ticketloom.session import stage
 
 TEXT_KEYS = ["title_ar", "description_ar"]
 KEY = "text_key"
@@ -78,7 +80,11 @@ def two_digits(number: Column) -> Column:
 
 def repeat_tail(ticket_id: Column, mode: str) -> Column:
     """A remark and a stamp (time of day, floor, system) drawn from the ticket id."""
-    number = digest_number(seed_digest(ticket_id, mode))
+    return tail_of(digest_number(seed_digest(ticket_id, mode)))
+
+
+def tail_of(number: Column) -> Column:
+    """The remark and stamp that a number's digits name."""
     remark, hour, minute, floor, system = digit_picks(
         number, [len(REPEAT_SENTENCES), 24, 60, 6, len(OPERATING_SYSTEMS)]
     )
@@ -92,8 +98,58 @@ def repeat_tail(ticket_id: Column, mode: str) -> Column:
     return F.concat_ws(" ", choose(REPEAT_SENTENCES, remark), stamp)
 
 
+#: Different remarks with a stamp; a copy with a higher number gets two or more of them.
+TAILS = len(REPEAT_SENTENCES) * 24 * 60 * 6 * len(OPERATING_SYSTEMS)
+#: Has no factor in common with ``TAILS``, so neighbours differ and none repeats.
+STRIDE = 39_119
+CHUNK = 1 << 16
+
+
+def copy_numbers(df: DataFrame, key: Column, pos: str = "pos") -> DataFrame:
+    """``(pos, copy_no)`` of the later copies of each key, numbered from 1 in input order.
+
+    A key's rows are counted in chunks of positions and numbered inside a chunk, so
+    neither counting nor numbering holds more than a chunk of a key in one task;
+    the counts of a key's chunks, one row for ``CHUNK`` positions, are added up.
+    """
+    marked = stage(df.select(key.alias(KEY), F.col(pos).alias("pos")), "keys")
+    groups = repeated_groups(marked, "pos").select(KEY, "first_pos")
+    chunk = F.shiftright("pos", int(math.log2(CHUNK)))
+    late = lookup_join(marked, groups, KEY, "inner", "repeated-texts").where("pos > first_pos").withColumn("chunk", chunk)
+    late = stage(late.drop("first_pos"), "copies")
+    before = Window.partitionBy(KEY).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = late.groupBy(KEY, "chunk").agg(F.count("*").alias("n"))
+    starts = counts.select(KEY, "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = late.withColumn("nth", F.row_number().over(Window.partitionBy(KEY, "chunk").orderBy("pos")))
+    return within.join(starts, [KEY, "chunk"]).select("pos", (F.col("start") + F.col("nth")).alias("copy_no"))
+
+
+def numbered_tail(copy_no: Column) -> Column:
+    """Remarks and stamps that no other copy number has."""
+    number = copy_no - 1
+    more = whole_div(number, TAILS)
+    most = whole_div(more - 1, TAILS)
+    return F.concat_ws(
+        " ",
+        tail_of(number % TAILS * STRIDE % TAILS),
+        F.when(more > 0, tail_of((more - 1) % TAILS)),
+        F.when(most > 0, tail_of((most - 1) % TAILS)),
+    )
+
+
 def vary_duplicates(df: DataFrame, mode: str = "spread", pos: str = "pos", moved: list[str] | None = None) -> DataFrame:
-    """Append a sentence to every later copy of a (title, description)."""
+    """Append a sentence to every later copy of a (title, description).
+
+    ``spread`` and ``sum`` draw it from the ticket id, so in a large group some copies
+    draw alike. ``numbered`` gives each copy of a text its own: one sentence for the
+    first ``TAILS`` copies, more beyond.
+    """
+    if mode == "numbered":
+        tails = copy_numbers(df, trimmed_key(), pos).withColumnRenamed("pos", pos)
+        told = lookup_join(df, tails, pos, "left", "copy-numbers", moved=moved)
+        own = F.concat_ws(" ", end_with_dot(text_or_empty(F.col("description_ar"))), numbered_tail(F.col("copy_no")))
+        changed = F.when(F.col("copy_no").isNotNull(), own).otherwise(F.col("description_ar"))
+        return told.withColumn("description_ar", changed).drop("copy_no")
     varied = F.concat_ws(
         " ",
         end_with_dot(text_or_empty(F.col("description_ar"))),

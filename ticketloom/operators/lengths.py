@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.functions.text import is_blank, text_or_empty
+from ticketloom.operators.facts import blank_of, length_of
 from ticketloom.session import stage
 
 KDE_POINTS = 200
@@ -35,11 +35,11 @@ def text_lengths(df: DataFrame, fields: Sequence[str], null_as_empty: bool = Fal
     their own, null, or count as empty texts.
     """
     def entry(name: str) -> Column:
-        text = text_or_empty(F.col(name)) if null_as_empty else F.col(name)
+        length = length_of(df, name)
         return F.struct(
             F.lit(name).alias("field"),
-            F.length(text).alias("x"),
-            is_blank(F.col(name)).alias("blank"),
+            (F.coalesce(length, F.lit(0)) if null_as_empty else length).alias("x"),
+            blank_of(df, name).alias("blank"),
         )
 
     pairs = df.select(F.inline(F.array(*[entry(f) for f in fields])))

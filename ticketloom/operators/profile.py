@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketloom.functions.text import key_hash
+from ticketloom.operators import lengths
+from ticketloom.operators.facts import PREFIX, gathered, hash_of, length_of
 from ticketloom.session import stage
 
 LEVELS = ["category_level_1", "category_level_2", "category_level_3"]
@@ -137,7 +138,7 @@ def duplicate_membership(
 
 
 def group_sizes(df: DataFrame, col: str, count: Column) -> DataFrame:
-    groups = df.groupBy(key_hash(F.col(col)).alias("key")).agg(F.count("*").alias("n"))
+    groups = df.groupBy(hash_of(df, col).alias("key")).agg(F.count("*").alias("n"))
     n = F.coalesce(count, F.lit(0))
     pct = F.round(F.coalesce(F.try_divide(100.0 * n, F.sum("n")), F.lit(0.0)), 2)
     return groups.agg(F.lit(col).alias("check"), n.alias("n"), pct.alias("pct"))
@@ -172,3 +173,54 @@ def sample_rows(
 def preview(df: DataFrame, k: int = 5, pos: str = "pos") -> DataFrame:
     """The first rows in input order."""
     return df.orderBy(pos).limit(k)
+
+
+COUNTED = {"sentiment": "sentiment", "channel": "channel", "dialect": "dialect", **{f"l{n}": c for n, c in enumerate(LEVELS, 1)}}
+KEYED = ["priority", "urgency", "impact"]
+TEXTS = ["title_ar", "description_ar"]
+
+
+def missing_in_facts(facts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``missing_by_column`` of the table that the facts were gathered from."""
+    gaps = F.col(f"{PREFIX}gaps")
+    flags = facts.select(*[gaps[n].alias(c) for n, c in enumerate(columns)])
+    return missing_by_column(flags.select(*[F.when(~F.col(c), F.lit(1)).alias(c) for c in columns]))
+
+
+def rows_at(df: DataFrame, places: DataFrame, pos: str) -> DataFrame:
+    """Whole rows at a few positions."""
+    return df.join(F.broadcast(places.select(pos)), pos, "left_semi")
+
+
+def profile(df: DataFrame, id_col: str = "ticket_id", pos: str = "pos") -> dict[str, DataFrame]:
+    """All tables of a profile by name.
+
+    ``df`` is read once, into a narrow table of short columns, lengths and hashes
+    that every table is folded from; only ``preview`` and ``sample`` fetch their
+    few rows by position.
+    """
+    keep = [pos, id_col, *LEVELS, *COUNTED, *KEYED, "tags"]
+    facts = gathered(df, list(dict.fromkeys(keep)), TEXTS, [*TEXTS, id_col])
+    named = facts.select(pos, id_col, *LEVELS)
+    sizes = overview(named, id_col).where("metric <> 'total_columns'")
+    width = df.sparkSession.range(1).select(F.lit("total_columns").alias("metric"), F.lit(len(df.columns)).cast("bigint").alias("value"))
+    tables = {"overview": sizes.unionByName(width), "missing": missing_in_facts(facts, df.columns)}
+    tables |= {f"counts_{name}": value_counts(facts, column) for name, column in COUNTED.items()}
+    tables |= {f"counts_{name}": value_counts_by_key(facts, name) for name in KEYED}
+    tables |= {f"shares_{name}": class_shares(facts, column) for name, column in (("l1", LEVELS[0]), ("sentiment", "sentiment"))}
+    tables["balance"] = class_balance(facts)
+    tables |= {f"crosstab_{name}": crosstab(facts, LEVELS[0], name) for name in ("sentiment", "dialect")}
+    by_field = lengths.pinned(lengths.text_lengths(facts, TEXTS))
+    by_class = lengths.pinned(lengths.value_frequencies(facts, length_of(facts, "description_ar"), [LEVELS[0]]))
+    tables |= {
+        "length_stats": lengths.length_stats(facts, TEXTS),
+        "length_histogram": lengths.histogram(by_field, ["field"]),
+        "length_density": lengths.density_curve(by_field, ["field"]),
+        "length_medians": lengths.medians(by_class, LEVELS[0]),
+        "length_boxes": lengths.box_stats(by_class, LEVELS[0]),
+        "duplicates": duplicate_membership(facts, id_col=id_col),
+        "tags": top_tags(facts),
+        "preview": preview(rows_at(df, stage(preview(facts, pos=pos).select(pos), "preview"), pos), pos=pos),
+        "sample": sample_rows(rows_at(df, stage(sample_rows(facts, columns=[pos], pos=pos), "sample"), pos), pos=pos),
+    }
+    return tables

@@ -15,11 +15,9 @@ from ticketloom.functions.rules import (
     channel_ok,
     expected_priority,
     joined_path,
-    path_matches,
     sentiment_ok,
 )
-from ticketloom.functions.fields import TEXT_KEYS
-from ticketloom.functions.text import key_hash, strip, text_or_empty
+from ticketloom.operators.facts import gathered, path_ok_of, text_key_of
 from ticketloom.operators.lengths import summary, text_lengths
 
 LEVELS = ["category_level_1", "category_level_2", "category_level_3"]
@@ -67,16 +65,15 @@ def mark_unknown_leaves(df: DataFrame, taxonomy: DataFrame) -> DataFrame:
 def violations(df: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """``(metric, n, pct)``: the row total and each kind of violation, in one pass."""
     marked = mark_unknown_leaves(df, taxonomy)
-    text = {key: F.col(key) for key in TEXT_KEYS}
     record = or_true(df, "is_record")
     missing = F.size("missing") > 0 if "missing" in df.columns else F.lit(False)
     kinds = {
         "missing_keys": missing,
-        "bad_channel": ~channel_ok(text["channel"]),
-        "bad_sentiment": ~sentiment_ok(text["sentiment"]),
+        "bad_channel": ~channel_ok(F.col("channel")),
+        "bad_sentiment": ~sentiment_ok(F.col("sentiment")),
         "bad_priority": priority_differs(df),
         "bad_taxonomy": F.col("unknown_leaf"),
-        "bad_category_path": ~path_matches(text),
+        "bad_category_path": ~path_ok_of(df),
     }
     counted = marked.agg(
         F.count("*").alias("total"),
@@ -169,8 +166,7 @@ def top_keys(counts: DataFrame, k: int = 10) -> DataFrame:
 
 def text_groups(df: DataFrame) -> DataFrame:
     """Rows per trimmed (title, description), keyed by hash."""
-    key = key_hash(*[strip(text_or_empty(F.col(c))) for c in (TITLE, DESCRIPTION)])
-    return records(df).groupBy(key.alias("key")).agg(F.count("*").alias("n"))
+    return records(df).groupBy(text_key_of(df).alias("key")).agg(F.count("*").alias("n"))
 
 
 def duplicates(df: DataFrame) -> DataFrame:
@@ -209,8 +205,12 @@ LENGTH_PATTERN = "%s: mean %.1f, median %.1f, min %d, max %d"
 
 
 def report(df: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """The whole report as ``(ord, text)`` lines; some hundred rows at any data size."""
+    """The whole report as ``(ord, text)`` lines; some hundred rows at any data size.
+
+    ``df`` is read once, into a narrow table that every section is worked out from.
+    """
     spark = df.sparkSession
+    df = gathered(df, ["pos", "ticket_id", *LEVELS, *SCALARS, "priority_number", "is_record", "missing"])
 
     def fixed_lines(lines: dict[int, str]) -> DataFrame:
         pairs = [F.struct(F.lit(o).alias("ord"), F.lit(t).alias("text")) for o, t in lines.items()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,24 +99,57 @@ def repaired_tags() -> Column:
     return F.when(F.size(given) >= MIN_TAGS, given).otherwise(filled)
 
 
-def repaired_id() -> Column:
-    """The given id, or one made of 60 bits of a digest of where the ticket first stood.
+def has_id() -> Column:
+    return strip(text_or_empty(F.col("ticket_id"))) != ""
 
-    The place is the reject's own ``source`` and ``line`` where it has them: the
-    file it was found in is named anew in every run.
-    """
-    place = F.concat_ws(":", F.coalesce("told_source", "source"), F.coalesce("told_line", "line"))
+
+def made_id(attempt: int) -> Column:
+    """An id of 60 bits of a digest of where the ticket first stood; another one for each attempt."""
+    place = F.col("place") if attempt == 0 else F.concat("place", F.lit(f"#{attempt}"))
     number = F.conv(F.substring(F.sha2(place, 256), 1, 15), 16, 10)
-    made = F.concat(F.lit("TCKT-"), F.lpad(number, F.greatest(F.lit(6), F.length(number)), F.lit("0")))
-    return F.when(strip(text_or_empty(F.col("ticket_id"))) == "", made).otherwise(F.col("ticket_id"))
+    return F.concat(F.lit("TCKT-"), F.lpad(number, F.greatest(F.lit(6), F.length(number)), F.lit("0")))
 
 
-def repair(rejects: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Repair typed rows ``(source, line, ticket columns)``; every row gives one row."""
+def free_ids(rows: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+    """``(row_id, new_id)`` for staged rows without an id: made-up ids that no row has.
+
+    The place is the reject's own ``source`` and ``line`` where it has them: the
+    file it was found in is named anew in every run. A round makes one id for each
+    row left, takes out those in use, and of rows that made the same one leaves it to
+    the first by place; the rest try again. So ids are the same in every run, and
+    one round does unless ids collide.
+    """
+    place = F.concat_ws(":", F.coalesce("told_source", "source"), F.coalesce("told_line", "line"))
+    used = rows.where(has_id()).select("ticket_id")
+    if taken is not None:
+        used = used.unionByName(taken.select("ticket_id").where(has_id()))
+    left = stage(rows.where(~has_id()).select("row_id", place.alias("place"), "source", "line"), "without-id")
+    found: list[DataFrame] = []
+    attempt = 0
+    while not left.isEmpty():
+        tried = left.withColumn("ticket_id", made_id(attempt))
+        free = tried.join(used, "ticket_id", "left_anti")
+        for earlier in found:
+            free = free.join(earlier.select(F.col("new_id").alias("ticket_id")), "ticket_id", "left_anti")
+        first = F.min(F.struct("place", "source", "line", "row_id"))
+        won = free.groupBy("ticket_id").agg(first.alias("first")).select(F.col("first.row_id").alias("row_id"), F.col("ticket_id").alias("new_id"))
+        found.append(stage(won, "made-ids"))
+        left = stage(left.join(found[-1], "row_id", "left_anti"), "without-id")
+        attempt += 1
+    none = rows.sparkSession.createDataFrame([], "row_id bigint, new_id string")
+    return reduce(DataFrame.unionByName, found, none)
+
+
+def repair(rejects: DataFrame, taxonomy: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+    """Repair typed rows ``(source, line, ticket columns)``; every row gives one row.
+
+    Ids made for rows without one are neither another row's nor in ``taken`` (ticket_id).
+    """
     told = {c: F.lit(None).cast(k) for c, k in (("told_source", "string"), ("told_line", "bigint")) if c not in rejects.columns}
-    placed = repair_category(stage(rejects.withColumns(told), "rejects"), taxonomy)
+    rows = stage(rejects.withColumns({**told, "row_id": F.monotonically_increasing_id()}), "rejects")
+    named = lookup_join(repair_category(rows, taxonomy), free_ids(rows, taken), "row_id", "left", "free-ids")
     columns = {
-        "ticket_id": repaired_id(),
+        "ticket_id": F.coalesce("new_id", "ticket_id"),
         **repaired_times(),
         "channel": repaired_enum("channel", CHANNELS),
         "sentiment": repaired_enum("sentiment", SENTIMENTS),
@@ -126,7 +161,7 @@ def repair(rejects: DataFrame, taxonomy: DataFrame) -> DataFrame:
         "urgency": repaired_scale("urgency"),
         "tags": repaired_tags(),
     }
-    fixed_rows = placed.withColumns(columns)
+    fixed_rows = named.withColumns(columns)
     whole = fixed_rows.withColumns(
         {
             "priority": expected_priority(F.col("impact"), F.col("urgency")),
@@ -150,6 +185,6 @@ def unwrap(lines: DataFrame) -> DataFrame:
     return flatten_json(wrapped.withColumn("keys", keys), ["source", "line", *told])
 
 
-def repair_lines(lines: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """Repair reject lines ``(source, line, raw)``, wrapped or bare."""
-    return repair(unwrap(lines), taxonomy)
+def repair_lines(lines: DataFrame, taxonomy: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+    """Repair reject lines ``(source, line, raw)``, wrapped or bare; ``taken`` as in ``repair``."""
+    return repair(unwrap(lines), taxonomy, taken)

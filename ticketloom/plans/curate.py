@@ -139,7 +139,7 @@ def fix_loop(spark: SparkSession, input_glob: str, out: str, taxonomy_path: str
     before = build(spark, input_glob, f"{out}/before", taxonomy_path, profile=profile)
     start(spark, store, listed(spark, input_glob))
     bad = stage(rejected(before.validated).select("source", "line", "raw"), "rejects")
-    repaired = repair_lines(bad, taxonomy_of(spark, taxonomy_path))
+    repaired = repair_lines(bad, taxonomy_of(spark, taxonomy_path), before.validated.select("ticket_id"))
     ticket = F.to_json(F.struct(*REQUIRED_KEYS), {"ignoreNullFields": "false"})
     fixes = repaired.select(F.col("source").alias("part"), "line", json_string(F.col("ticket_id")).alias("id_key"), ticket.alias("raw"))
     lines = before.validated.select(F.col("source").alias("part"), "line", "id_key", "raw")
@@ -149,11 +149,17 @@ def fix_loop(spark: SparkSession, input_glob: str, out: str, taxonomy_path: str
     return Looped(before, build_version(spark, store, f"{out}/after", taxonomy_path, profile), store, version)
 
 
-def repair_rejects(spark: SparkSession, rejects_glob: str, out: str, taxonomy_path: str | None = None) -> None:
-    """Repair rejected lines by rule and write them as a fixed part, in order."""
+def repair_rejects(
+    spark: SparkSession, rejects_glob: str, out: str, taxonomy_path: str | None = None, parts_glob: str | None = None
+) -> None:
+    """Repair rejected lines by rule and write them as a fixed part, in order.
+
+    Ids made for lines without one differ from all in ``parts_glob``, if given.
+    """
     prepare(spark)
     with staging(spark):
         lines = read_parts(spark, rejects_glob)
-        fixed = stage(repair_lines(lines, taxonomy_of(spark, taxonomy_path)), "repaired")
+        taken = read_tickets(spark, parts_glob).select("ticket_id") if parts_glob else None
+        fixed = stage(repair_lines(lines, taxonomy_of(spark, taxonomy_path), taken), "repaired")
         ordered = fixed.join(lines.select("source", "line", "pos"), ["source", "line"])
         write_jsonl(project(in_order(ordered)), out)
