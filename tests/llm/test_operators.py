@@ -174,7 +174,6 @@ def test_ngram_jaccard(docs, corpus):
 
 def test_ngram_jaccard_local_marks(docs, corpus, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "HELD", 1)
-    monkeypatch.setattr(ngram_jaccard, "COMMON", 4)
     monkeypatch.setattr(ngram_jaccard, "SHORT", 3)
     assert by_id(ngram_jaccard.join(docs), "n_shingles", "component_id") == brute_components(corpus)
 

@@ -3,29 +3,35 @@
 Two sets link if 100 * |intersection| >= 75 * |union| (``PERCENT``). Equal sets
 are one class, found by digest; only classes are compared.
 
-1. Index. With shingles in hash order, linked sets share one of the first
+1. Index. With shingles in one order for all, linked sets share one of the first
    n - ceil(0.75 n) + 1 of each (the prefix). Prefix entries are dealt by shingle
    into lists sorted by set size, then position. A list is read in blocks by
    size: a block too large for a set ends the set's walk. A pair none of whose
    shared places leaves enough shingles behind it is skipped. Lists of up to
    ``SHORT`` classes give pairs; how often a pair comes up counts its common
    prefix shingles exactly, and too small a count rules the pair out.
-2. Crowded shingles. Classes with a prefix shingle of a longer list (a passage,
-   a line, a family of near copies) are joined among themselves with the
-   shingles ordered by how many of these classes have them, rarest first; a
-   passage then drops out of the prefixes. Lists still long are families.
-3. Answers from relations. A family's list is not expanded. Its smallest set
-   leads: members are verified against the leader, and what is linked to it is
-   in one component without further comparison. Between what is left, pairs are
-   compared only across components, as far as sizes and positions allow; each pair
-   of a list is formed for that test.
-4. Candidates are verified by intersecting the whole sets; linked classes give
+2. Rounds. The first order is by hash. Shingles with longer lists (a passage, a
+   line, a family of near copies) are crowded, and classes with one in their prefix
+   meet again, among themselves, in an order that puts crowded shingles last; so
+   a passage drops out of the prefixes. Only prefixes are shipped, and in later
+   rounds only those of the classes left. The order is told by a bit table of
+   bounded size: a shingle that it wrongly takes for crowded only stands later.
+3. Families. After ``ROUNDS`` rounds, a crowded list's smallest set leads it. Members
+   are verified against their leaders, and what is linked to it is in one component
+   without further comparison. Families that still fall into several components are
+   compared in blocks (below), each family once however many lists it has.
+4. Blocks. A family's classes are dealt by size class (linked sets are in the same or
+   neighbouring ones) and by hash into blocks of at most ``BLOCK`` classes and
+   ``BLOCK_BYTES``; two blocks meet in a task of their own. There a pair's answer is
+   derived from both sets' counts with the task's smallest set where these decide it;
+   sets with an open answer are intersected. A block gives a spanning forest of
+   the links, not pairs.
+5. Candidates are verified by intersecting the whole sets; linked classes give
    connected components, whose id is the smallest document id in them.
-5. Numbers of links. Step 1 verifies every link of a class without a crowded
-   shingle. Links among the others lie within components: their whole sets meet
-   in blocks of ``BLOCK`` classes of one component, each two blocks in a task of
-   their own, where shared shingles of all pairs are counted. This is the square
-   of a component's classes with a crowded shingle.
+6. Numbers of links. The index verifies every link of a class that is in no family.
+   Links within families lie within components, whose blocks count them as in
+   step 4: the square of a component's classes that are in families in array
+   work, and their number in rows.
 
 A task drops what it knows to be crowded before the shuffle: a shingle that many
 of its own classes share leaves a mark, not entries.
@@ -39,11 +45,12 @@ gives way to any other id. Shingles and classes are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -54,14 +61,17 @@ from ticketloom.session import stage
 
 SIZE = 5
 PERCENT = 75
-SHORT = 8
-#: From so many classes on, shingles are equally common for the order of step 2.
-COMMON = 64
+SHORT = 16
+#: Orders of shingles that are tried before lists count as families.
+ROUNDS = 4
+#: Bits that tell crowded shingles; the table goes to the driver and to every task.
+BITS = 1 << 23
 #: Bytes of text whose prefix entries make up one bucket.
 BUCKET = 5 << 20
 HELD = 300_000
-#: Classes of a component that meet in one task to count links.
+#: Classes, and bytes of their sets, that make up a block; two blocks meet in a task.
 BLOCK = 2048
+BLOCK_BYTES = 24 << 20
 #: From so many classes of a block on, a shingle is counted by a matrix product.
 DENSE = 32
 LAST_ID = (1 << 63) - 1
@@ -126,9 +136,39 @@ def firsts(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def short_lists(rows: DataFrame, buckets: int) -> DataFrame:
-    """Step 1: rows (a, b, n, m, room) for each shared prefix shingle of a pair of classes, and
-    rows with a alone for classes with a crowded prefix shingle."""
+def crowd_bits(crowded: DataFrame) -> np.ndarray:
+    """A table of ``BITS`` bits with one set for each hash (a column ``a``), of one size at any number of them."""
+    place = F.pmod(F.col("a"), F.lit(BITS))
+    words = crowded.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))).alias("bits"))
+    found = words.toArrow()
+    table = np.zeros(BITS // 64, np.uint64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return table
+
+
+def in_table(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the table has a bit for each hash."""
+    place = np.mod(values.view(np.int64), BITS)
+    return (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def prefixes(t: Texts, table: np.ndarray | None, seen: Seen) -> tuple[np.ndarray, ...]:
+    """(shingle, class, size, position) of the prefixes of classes that the task sees first:
+    shingles by hash, those in the table last."""
+    bounds, values, node = sets(t)
+    n = np.diff(bounds)
+    if table is not None and len(values):
+        late = in_table(table, values)
+        # values ascend within a set, and sorting by (set, late) keeps that
+        values = values[np.argsort(np.repeat(np.arange(len(n)), n) * 2 + late, kind="stable")]
+    which = np.flatnonzero(seen.fresh(node, n))
+    place, owner, position = taken(bounds, which, prefix_size(n))
+    return values[place], node[owner], n[owner], position
+
+
+def short_lists(rows: DataFrame, buckets: int, table: np.ndarray | None = None) -> DataFrame:
+    """One round: rows (a, b, n, m, room) for each shared prefix shingle of a pair of classes; rows
+    with only a: classes with a crowded prefix shingle (n = 0) and crowded shingles (n = -1)."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = Seen(), [], 0
@@ -150,12 +190,8 @@ def short_lists(rows: DataFrame, buckets: int) -> DataFrame:
                                           np.concatenate([at, none, np.zeros(len(touched), np.int64)]).astype(np.int32)], ["h", "node", "n", "at"])
 
         for _, t in pieces(batches, limit=1 << 20):
-            bounds, values, node = sets(t)
-            n = np.diff(bounds)
-            which = np.flatnonzero(seen.fresh(node, n))
-            place, owner, position = taken(bounds, which, prefix_size(n))
-            held.append((values[place], node[owner], n[owner], position))
-            size += len(place)
+            held.append(prefixes(t, table, seen))
+            size += len(held[-1][0])
             if size > HELD:
                 yield from flush()
                 held, size = [], 0
@@ -178,6 +214,7 @@ def short_lists(rows: DataFrame, buckets: int) -> DataFrame:
         marked = marks[np.minimum(np.searchsorted(marks, h), len(marks) - 1)] == h if len(marks) else np.zeros(len(h), bool)
         crowd = (length[number] > SHORT) | marked if len(h) else marked
         touched.append(node[crowd])
+        crowded = np.unique(np.concatenate([marks, h[crowd]])).view(np.int64)
         left, right = [], []
         rest = np.flatnonzero(~crowd)
         for step in range(1, SHORT):
@@ -196,86 +233,29 @@ def short_lists(rows: DataFrame, buckets: int) -> DataFrame:
         swap = node[i] > node[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         mine = np.unique(np.concatenate(touched))
-        a, b = np.concatenate([node[i], mine]), np.concatenate([node[j], np.zeros(len(mine), np.int64)])
+        alone = np.zeros(len(mine) + len(crowded), np.int64)
+        a, b = np.concatenate([node[i], mine, crowded]), np.concatenate([node[j], alone])
         none = np.arange(len(a)) >= len(i)
-        size_a, size_b = (np.concatenate([n[x], np.zeros(len(mine), np.int64)]) for x in (i, j))
-        room = np.concatenate([room, np.zeros(len(mine), bool)])
+        kind = np.concatenate([alone[: len(mine)], alone[: len(crowded)] - 1])
+        size_a, size_b = np.concatenate([n[i], kind]), np.concatenate([n[j], alone])
+        room = np.concatenate([room, alone.astype(bool)])
         return pa.table({"a": a, "b": pa.array(b, mask=none), "n": size_a, "m": pa.array(size_b, mask=none), "room": room})
 
     entries = rows.select("text").mapInArrow(local, "bucket int, h binary, node binary, n binary, at binary")
     return entries.groupBy("bucket").applyInArrow(lists, "a bigint, b bigint, n bigint, m bigint, room boolean")
 
 
-def ordered_prefixes(rows: DataFrame, buckets: int) -> DataFrame:
-    """Step 2: prefix entries (h, node, n, at) in the order by frequency among these
-    classes, without the shingles that only one class has."""
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, size = Seen(), [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            h, node, n = (np.concatenate([x[k] for x in held]) for k in range(3))
-            values, place, counts = np.unique(h, return_inverse=True, return_counts=True)
-            common = counts[place] >= COMMON
-            marks = values[counts >= COMMON]
-            none = np.zeros(len(marks), np.int64)
-            # common ones need no count: they pass in buckets of their classes
-            bucket = np.where(common, buckets + node % buckets, (h % np.uint64(buckets)).astype(np.int64))
-            bucket = np.concatenate([bucket, (marks % np.uint64(buckets)).astype(np.int64)])
-            yield from by_bucket(bucket, [np.concatenate([h, marks]), np.concatenate([node, none]), np.concatenate([n, none - 1]).astype(np.int32)], ["h", "node", "n"])
+def family_entries(rows: DataFrame, table: np.ndarray | None, crowded: np.ndarray) -> DataFrame:
+    """(h, node, n): places in lists that the last round found crowded."""
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen()
         for _, t in pieces(batches, limit=1 << 20):
-            bounds, values, node = sets(t)
-            n = np.diff(bounds)
-            which = np.flatnonzero(seen.fresh(node, n))
-            place, owner, _ = taken(bounds, which, n)
-            held.append((values[place], node[owner], n[owner]))
-            size += len(place)
-            if size > HELD:
-                yield from flush()
-                held, size = [], 0
-        if held:
-            yield from flush()
+            h, node, n, _ = prefixes(t, table, seen)
+            on = in_table(crowded, h)
+            yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in (h.view(np.int64), node, n.astype(np.int64))], names=["h", "node", "n"])
 
-    def frequencies(table: pa.Table) -> pa.Table:
-        h, node, n = unpacked(table, "h", np.uint64), unpacked(table, "node", np.int64), unpacked(table, "n", np.int32)
-        if table.column("bucket")[0].as_py() >= buckets:
-            rank = np.full(len(h), COMMON, np.uint8)
-        else:
-            marks = np.unique(h[n == -1])
-            h, node, n = h[n >= 0], node[n >= 0], n[n >= 0]
-            order = np.lexsort((node, h))
-            h, node, n = h[order], node[order], n[order]
-            new = firsts(h, node)
-            h, node, n = h[new], node[new], n[new]
-            values, place, counts = np.unique(h, return_inverse=True, return_counts=True)
-            rank = np.minimum(counts, COMMON)
-            if len(marks):
-                rank[np.isin(values, marks)] = COMMON
-            rank = rank[place].astype(np.uint8) if len(h) else np.zeros(0, np.uint8)
-            on = rank > 1
-            h, node, n, rank = h[on], node[on], n[on], rank[on]
-        batches = list(by_bucket(node % buckets, [h, node, n, rank], ["h", "node", "n", "rank"]))
-        kind = pa.schema([("bucket", pa.int32()), *[(k, pa.binary()) for k in ("h", "node", "n", "rank")]])
-        return pa.Table.from_batches(batches, schema=kind)
-
-    def prefixes(table: pa.Table) -> pa.Table:
-        h, node = unpacked(table, "h", np.uint64), unpacked(table, "node", np.int64)
-        n, rank = unpacked(table, "n", np.int32).astype(np.int64), unpacked(table, "rank", np.uint8)
-        order = np.lexsort((h, rank, node))
-        h, node, n = h[order], node[order], n[order]
-        new = firsts(node, h)
-        h, node, n = h[new], node[new], n[new]
-        start = firsts(node)
-        length = np.diff(np.append(start, len(h)))
-        number = np.repeat(np.arange(len(start)), length)
-        at = np.arange(len(h)) - start[number] + (n - length[number]) if len(h) else np.zeros(0, np.int64)
-        on = at < prefix_size(n)
-        return pa.table({"h": h[on].view(np.int64), "node": node[on], "n": n[on], "at": at[on]})
-
-    kinds = "bucket int, h binary, node binary, n binary"
-    counted = rows.select("text").mapInArrow(local, kinds).groupBy("bucket").applyInArrow(frequencies, f"{kinds}, rank binary")
-    return counted.groupBy("bucket").applyInArrow(prefixes, "h bigint, node bigint, n bigint, at bigint")
+    return rows.select("text").mapInArrow(task, "h bigint, node bigint, n bigint").distinct()
 
 
 class Verifier:
@@ -286,7 +266,7 @@ class Verifier:
         self.rows, self.homes = rows, homes
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link, with their intersection and sizes; staged."""
+        """The pairs (a, b) that link; staged."""
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ids = stage(self.homes.join(nodes, "node").select("id").distinct(), "jaccard-ids")
 
@@ -298,11 +278,18 @@ class Verifier:
 
         found = self.rows.join(_checked(ids, 8), "id", "left_semi").select("text").mapInArrow(task, "node bigint, items array<bigint>")
         found = found.join(_checked(stage(nodes, "jaccard-nodes"), 8), "node", "left_semi").dropDuplicates(["node"])
-        left = found.select(F.col("node").alias("a"), F.col("items").alias("x"))
-        right = found.select(F.col("node").alias("b"), F.col("items").alias("y"))
-        both = pairs.select("a", "b").join(left, "a").join(right, "b")
+        # a leader has as many pairs as members: its set goes to a salt for each ``BLOCK`` of them
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        hot = ends.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("salts")).where("salts > 1")
+        hot = _checked(stage(hot, "jaccard-hot"), 16)
+        found = found.join(hot, "node", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("salts", F.lit(1)) - 1)))
+        both = pairs.select("a", "b")
+        for end, other, items in (("a", "b", "x"), ("b", "a", "y")):
+            salts = hot.select(F.col("node").alias(end), F.col("salts"))
+            both = both.join(salts, end, "left").withColumn("salt", F.pmod(F.xxhash64(other), F.coalesce("salts", F.lit(1)))).drop("salts")
+            both = both.join(found.select(F.col("node").alias(end), "salt", F.col("items").alias(items)), [end, "salt"]).drop("salt")
         both = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("common"))
-        return stage(both.where(f"100 * common >= {PERCENT} * (n + m - common)"), "jaccard-links")
+        return stage(both.where(f"100 * common >= {PERCENT} * (n + m - common)").select("a", "b"), "jaccard-links")
 
 
 def _checked(small: DataFrame, width: int) -> DataFrame:
@@ -318,59 +305,98 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``base`` (id, n, node for each row; staged), ``edges`` (a, b, n, m, common):
-    verified links between classes that connect every pair of linked classes, and
-    ``crowd`` (node): between two of these, not every link is an edge."""
+    """``base`` (id, n, node for each row; staged), ``edges`` (a, b): verified links
+    between classes that connect every pair of linked classes, and ``crowd`` (node):
+    between two of these, not every link is an edge."""
     ready(docs.sparkSession)
     rows = narrow(docs, id=F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)), text=text)
     base = stage(digests(rows), "jaccard-base")
     buckets = parts_for(text_bytes(rows), BUCKET)
     # one document stands for its class
-    homes = stage(base.where("n > 0").groupBy("node").agg(F.min("id").alias("id")), "jaccard-homes")
+    homes = stage(base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-homes")
     verifier = Verifier(rows, homes)
 
-    found = stage(short_lists(rows, buckets), "jaccard-short")
-    crowd = stage(found.where("b IS NULL").select(F.col("a").alias("node")).distinct(), "jaccard-crowd")
-    pairs = found.where("b IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"), F.max("room").alias("room"))
-    # a pair that is not wholly in the crowd shares no crowded prefix shingle: c counts all it shares
-    after = F.greatest(*[F.floor(F.col(k) * PERCENT / 100 + F.lit(0.999999)) - 1 for k in ("n", "m")])
-    pairs = pairs.where("room").where(F.col("c") + after >= F.ceil(PERCENT * (F.col("n") + F.col("m")) / (100 + PERCENT)))
-    inside = crowd.withColumn("in", F.lit(True))
-    pairs = pairs.join(inside.select(F.col("node").alias("a"), F.col("in").alias("ia")), "a", "left")
-    pairs = pairs.join(inside.select(F.col("node").alias("b"), F.col("in").alias("ib")), "b", "left").where("ia IS NULL OR ib IS NULL")
+    members, crowded, table, parts = rows, None, None, []
+    for number in range(ROUNDS):
+        found = stage(short_lists(members, buckets, table), "jaccard-short")
+        crowd = stage(found.where("b IS NULL AND n = 0").select(F.col("a").alias("node")).distinct(), "jaccard-crowd")
+        parts.append(stage(candidates(found, crowd, last=number == ROUNDS - 1), "jaccard-pairs"))
+        left = crowd.count()
+        if not left:
+            break
+        now = found.where("b IS NULL AND n = -1").select("a").distinct()
+        members = rows.join(_checked(stage(homes.join(crowd, "node").select("id").distinct(), "jaccard-members"), 8), "id", "left_semi")
+        if number == ROUNDS - 1:
+            entries = stage(family_entries(members, table, crowd_bits(now)), "jaccard-entries")
+            break
+        crowded = now if crowded is None else crowded.unionByName(now)
+        table = crowd_bits(crowded)
+        buckets = min(buckets, parts_for(left * 1000, BUCKET))
+    pairs = parts[0]
+    for more in parts[1:]:
+        pairs = pairs.unionByName(more)
+    pairs = pairs.select("a", "b")
+    if not left:
+        return base, verifier.linked(stage(pairs.distinct(), "jaccard-pairs")), crowd
 
-    members = rows.join(_checked(stage(homes.join(crowd, "node").select("id").distinct(), "jaccard-members"), 8), "id", "left_semi")
-    entries = stage(ordered_prefixes(members, buckets), "jaccard-entries")
     lists = entries.groupBy("h").agg(F.count(F.lit(1)).alias("long"), F.min(F.struct("n", "node")).alias("lead")).where("long > 1")
-    lists = stage(lists.select("h", "long", F.col("lead.node").alias("leader"), F.col("lead.n").alias("least")), "jaccard-lists")
-    led = stage(entries.join(lists, "h"), "jaccard-led")
-    near = F.col("n") * PERCENT <= F.col("least") * 100
-    stars = led.where(near & (F.col("node") != F.col("leader"))).groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    stars = stage(stars, "jaccard-stars")
+    lists = stage(lists.select("h", F.col("lead.node").alias("leader"), F.col("lead.n").alias("least")), "jaccard-lists")
+    led = entries.join(_checked(lists, 24), "h").groupBy("leader", "node").agg(F.first("n").alias("n"), F.first("least").alias("least"), F.count(F.lit(1)).alias("c"))
+    led = stage(led, "jaccard-led")
+    stars = led.where(F.col("n") * PERCENT <= F.col("least") * 100).where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"), "c")
     # first the leader each class shares most lists with, then only what is not connected yet
     best = stars.groupBy("b").agg(F.max(F.struct("c", "a")).alias("top")).select(F.col("top.a").alias("a"), "b")
-    edges = verifier.linked(stage(pairs.select("a", "b").unionByName(best).distinct(), "jaccard-pairs"))
-    labels = components(edges)
-    x, y = (led.where(f"long <= {SHORT}").select("h", *[F.col(k).alias(f"{k}_{s}") for k in ("node", "n", "at")]) for s in "ab")
-    small = x.join(y, "h").where(_room("a", "b")).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    more = _across(stars.select("a", "b").unionByName(small).distinct(), labels).join(edges.select("a", "b"), ["a", "b"], "left_anti")
-    second = verifier.linked(stage(more, "jaccard-pairs"))
-    edges = edges.unionByName(second)
-    labels = components(edges)
+    edges = verifier.linked(stage(pairs.unionByName(best).distinct(), "jaccard-pairs"))
+    more = _across(stars.select("a", "b").distinct(), components(edges)).join(edges, ["a", "b"], "left_anti")
+    edges = edges.unionByName(verifier.linked(stage(more, "jaccard-pairs")))
+    return base, stage(edges.unionByName(family_links(rows, homes, led, components(edges))), "jaccard-edges"), crowd
+
 
-    # families: members outside their leader's component against members of other components
-    known = labels.select("node", "label")
-    heads = known.select(F.col("node").alias("leader"), F.col("label").alias("head"))
-    family = led.where(f"long > {SHORT}").join(known, "node", "left").join(heads, "leader", "left")
-    family = family.select("h", "node", "n", "at", F.coalesce("label", "node").alias("label"), F.coalesce("head", "leader").alias("head"))
-    outside = family.where("label <> head")
-    x = outside.select("h", "label", *[F.col(k).alias(f"{k}_a") for k in ("node", "n", "at")])
-    y = family.select("h", F.col("label").alias("other"), *[F.col(k).alias(f"{k}_b") for k in ("node", "n", "at")])
-    across = x.join(y, (x["h"] == y["h"]) & (x["label"] != y["other"]) & _room("a", "b", ordered=False))
-    across = across.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    done = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    across = stage(across.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    return base, stage(edges.unionByName(verifier.linked(across)), "jaccard-edges"), crowd
+def candidates(found: DataFrame, crowd: DataFrame, last: bool) -> DataFrame:
+    """Pairs of a round worth verifying. Those wholly in the crowd come up again in the next round."""
+    pairs = found.where("b IS NOT NULL").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("m").alias("m"), F.max("room").alias("room"))
+    # a pair that is not wholly in the crowd shares no crowded prefix shingle: c counts all it shares
+    after = F.greatest(*[F.floor(F.col(k) * PERCENT / 100 + F.lit(0.999999)) - 1 for k in ("n", "m")])
+    enough = F.col("c") + after >= F.ceil(PERCENT * (F.col("n") + F.col("m")) / (100 + PERCENT))
+    inside = _checked(crowd, 8).withColumn("in", F.lit(True))
+    pairs = pairs.join(inside.select(F.col("node").alias("a"), F.col("in").alias("ia")), "a", "left")
+    pairs = pairs.join(inside.select(F.col("node").alias("b"), F.col("in").alias("ib")), "b", "left")
+    whole = F.col("ia").isNotNull() & F.col("ib").isNotNull()
+    kept = pairs.where((whole & F.lit(last)) | (~whole & F.col("room") & enough))
+    return kept.select("a", "b")
+
+
+def family_links(rows: DataFrame, homes: DataFrame, led: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect linked classes of families whose classes are in several components."""
+    known = led.select("leader", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ones = known.groupBy("leader").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("leader")
+    inside = known.join(_checked(stage(open_ones, "jaccard-open"), 8), "leader", "left_semi").select(F.col("leader").alias("family"), "node")
+
+    def join(linked: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b = forest(linked)
+        return np.minimum(nodes[a], nodes[b]), np.maximum(nodes[a], nodes[b])
+
+    return in_blocks(rows, homes, inside, join).select("a", "b").distinct()
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what a symmetric table of links connects, one less than there are members."""
+    left, right = [], []
+    new = np.ones(len(linked), bool)
+    for root in range(len(linked)):
+        if not new[root]:
+            continue
+        new[root] = False
+        queue = [root]
+        while queue:
+            at = queue.pop()
+            found = np.flatnonzero(linked[at] & new)
+            new[found] = False
+            left.append(np.full(len(found), at))
+            right.append(found)
+            queue.extend(found.tolist())
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
 def common(owner: np.ndarray, items: np.ndarray, k: int) -> np.ndarray:
@@ -399,12 +425,53 @@ def common(owner: np.ndarray, items: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def degrees(docs: DataFrame, base: DataFrame, edges: DataFrame, crowd: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``node`` and ``n_links``, the number of classes it links with, for all that have links."""
-    inside = labels.join(crowd, "node").select("node", "label")
-    sizes = inside.groupBy("label").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    homes = base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
-    placed = stage(inside.join(sizes, "label").join(homes, "node").withColumn("blocks", F.ceil(F.col("k") / BLOCK)), "jaccard-placed")
+def answers(own: list[np.ndarray]) -> np.ndarray:
+    """Which of the sets link: derived from their counts with the smallest set where these
+    decide a pair, by intersection for sets that have an open pair."""
+    n = np.array([len(x) for x in own], np.float64)
+    lead = own[int(n.argmin())]
+    c = np.array([np.isin(x, lead, assume_unique=True).sum() for x in own], np.float64)
+    both = n[:, None] + n[None, :]
+    # the parts of two sets inside the leader overlap at least, and all parts at most, so much
+    low = c[:, None] + c[None, :] - len(lead)
+    high = np.minimum(c[:, None], c[None, :]) + np.minimum((n - c)[:, None], (n - c)[None, :])
+    linked = 100 * low >= PERCENT * (both - low)
+    open_pairs = ~linked & (100 * high >= PERCENT * (both - high))
+    np.fill_diagonal(open_pairs, False)
+    at = np.flatnonzero(open_pairs.any(axis=1))
+    if len(at):
+        part = [own[i] for i in at]
+        met = common(np.repeat(np.arange(len(at)), [len(x) for x in part]), np.concatenate(part), len(at)).astype(np.float64)
+        linked[np.ix_(at, at)] = 100 * met >= PERCENT * (both[np.ix_(at, at)] - met)
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def in_blocks(rows: DataFrame, homes: DataFrame, inside: DataFrame, told: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """(a, b) that ``told`` gives for (links, classes) of every two blocks of each family.
+
+    ``inside`` holds (family, node). Links within a block are shown where it meets itself,
+    where two blocks meet only links between them are.
+    """
+    grade = F.floor(F.log("n") / F.lit(float(np.log(100 / PERCENT)))).cast("bigint")
+    placed = inside.join(homes, "node").withColumn("grade", grade)
+    sizes = placed.groupBy("family", "grade").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("held"))
+    whole = sizes.groupBy("family").agg(F.sum("k").alias("all_k"), F.sum("held").alias("all_held")).where("all_k > 1")
+    few = (F.col("all_k") <= BLOCK) & (F.col("all_held") * 8 <= BLOCK_BYTES)
+    # a small family is one block; else a size class has blocks of its own, numbered by size
+    sizes = sizes.join(whole, "family").withColumn("one", few).withColumn("grade", F.when(few, F.lit(0)).otherwise(F.col("grade")))
+    blocks = F.greatest(F.ceil(F.sum("k") / BLOCK), F.ceil(F.sum("held") * 8 / BLOCK_BYTES))
+    graded = sizes.groupBy("family", "grade", "one").agg(F.when(F.first("one"), F.lit(1)).otherwise(blocks).alias("blocks"))
+    ladder = W.partitionBy("family").orderBy("grade")
+    graded = graded.withColumn("first", F.sum("blocks").over(ladder.rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("blocks"))
+    below = F.when(F.lag("grade").over(ladder) == F.col("grade") - 1, F.lag("first").over(ladder))
+    above = F.when(F.lead("grade").over(ladder) == F.col("grade") + 1, F.lead("first").over(ladder) + F.lead("blocks").over(ladder))
+    graded = graded.withColumn("low", F.coalesce(below, "first")).withColumn("high", F.coalesce(above, F.col("first") + F.col("blocks")))
+    graded = stage(graded, "jaccard-grades")
+    small = placed.join(whole.where(few).select("family"), "family", "left_semi").withColumn("grade", F.lit(0).cast("bigint"))
+    large = placed.join(whole.where(~few).select("family"), "family", "left_semi")
+    placed = small.unionByName(large).join(graded, ["family", "grade"])
+    placed = stage(placed.withColumn("own", F.col("first") + F.pmod(F.xxhash64("node"), F.col("blocks"))).select("family", "node", "id", "n", "one", "own", "low", "high"), "jaccard-placed")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, t in pieces(batches, limit=1 << 20):
@@ -412,41 +479,47 @@ def degrees(docs: DataFrame, base: DataFrame, edges: DataFrame, crowd: DataFrame
             items = [packed(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node), pa.array(items, pa.binary())], names=["id", "node", "items"])
 
-    rows = narrow(docs, id=F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)), text=text)
-    rows = rows.join(_checked(placed.select("id").distinct(), 8), "id", "left_semi").select("id", "text")
-    found = rows.mapInArrow(task, "id bigint, node bigint, items binary").join(_checked(placed, 40), ["id", "node"])
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    # small components share tasks; a block meets every block, the smaller number first
-    found = found.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    found = found.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    shared = parts_for(placed.count() * 1000, BUCKET)
-    deal = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("label"), F.lit(shared))).otherwise(F.col("label"))
-    found = found.withColumn("deal", deal).withColumn("whole", F.col("blocks") == 1)
-
-    def count(table: pa.Table) -> pa.Table:
-        nodes, label, side = (table.column(k).to_numpy() for k in ("node", "label", "own"))
-        two = table.column("low")[0].as_py() != table.column("high")[0].as_py()
-        order = np.lexsort((nodes, label))
-        order = order[firsts(label[order], nodes[order])]  # repeated rows send a class again
-        out = np.zeros(len(order), np.int64)
-        start = firsts(label[order])
+    texts_of = rows.join(_checked(placed.select("id").distinct(), 8), "id", "left_semi").select("id", "text")
+    found = texts_of.mapInArrow(task, "id bigint, node bigint, items binary").dropDuplicates(["id", "node"]).join(_checked(placed, 64), ["id", "node"])
+    # a block meets the blocks of its own and the neighbouring size classes, the smaller number first
+    found = found.withColumn("other", F.explode(F.sequence(F.col("low"), F.col("high") - 1)))
+    found = found.withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other"))
+    # small families share tasks
+    held = placed.where("one").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    deal = F.when(F.col("one"), F.pmod(F.xxhash64("family"), F.lit(parts_for(held * 8, BUCKET)))).otherwise(F.col("family"))
+    found = found.withColumn("deal", deal).select("one", "deal", "left", "right", "own", "family", "node", "items")
+
+    def meet(table: pa.Table) -> pa.Table:
+        nodes, family, side = (table.column(k).to_numpy() for k in ("node", "family", "own"))
+        two = table.column("left")[0].as_py() != table.column("right")[0].as_py()
+        order = np.lexsort((nodes, family))
+        order = order[firsts(family[order], nodes[order])]  # repeated rows send a class again
+        start = firsts(family[order])
         items = table.column("items")
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for a, b in zip(start, np.append(start[1:], len(order)), strict=True):
             part = order[a:b]
-            own = [unpack(items[i].as_buffer(), np.uint64) for i in part.tolist()]
-            n = np.array([len(x) for x in own])
-            c = common(np.repeat(np.arange(len(part)), n), np.concatenate(own), len(part)).astype(np.float64)
-            linked = 100 * c >= PERCENT * (n[:, None] + n[None, :] - c)
-            np.fill_diagonal(linked, False)
+            linked = answers([unpack(items[i].as_buffer(), np.uint64) for i in part.tolist()])
             if two:
                 linked &= side[part][:, None] != side[part][None, :]
-            out[a:b] = linked.sum(axis=1)
-        return pa.table({"node": nodes[order], "n_links": out})
+            out.append(told(linked, nodes[part]))
+        return pa.table({k: np.concatenate([x[i] for x in out]) for i, k in enumerate("ab")})
+
+    return found.groupBy("one", "deal", "left", "right").applyInArrow(meet, "a bigint, b bigint")
+
+
+def degrees(docs: DataFrame, base: DataFrame, edges: DataFrame, crowd: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``node`` and ``n_links``, the number of classes it links with, for all that have links."""
+    inside = labels.join(_checked(crowd, 8), "node").select(F.col("label").alias("family"), "node")
+    homes = base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
+    rows = narrow(docs, id=F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)), text=text)
 
-    found = found.select("whole", "deal", "low", "high", "own", "label", "node", "items")
-    counted = found.groupBy("whole", "deal", "low", "high").applyInArrow(count, "node bigint, n_links bigint")
+    def count(linked: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return nodes, linked.sum(axis=1)
+
+    counted = in_blocks(rows, homes, inside, count).select(F.col("a").alias("node"), F.col("b").alias("n_links"))
     # every link with a class outside the crowd is an edge
-    both = crowd.withColumn("in", F.lit(True))
+    both = _checked(crowd, 8).withColumn("in", F.lit(True))
     outer = edges.join(both.select(F.col("node").alias("a"), F.col("in").alias("ia")), "a", "left")
     outer = outer.join(both.select(F.col("node").alias("b"), F.col("in").alias("ib")), "b", "left").where("ia IS NULL OR ib IS NULL")
     one = F.lit(1).cast("bigint").alias("n_links")
@@ -454,15 +527,6 @@ def degrees(docs: DataFrame, base: DataFrame, edges: DataFrame, crowd: DataFrame
     return stage(ends.unionByName(counted).groupBy("node").agg(F.sum("n_links").alias("n_links")), "jaccard-degrees")
 
 
-def _room(a: str, b: str, ordered: bool = True):
-    """Sizes fit and enough shingles are left after the positions of the shared one."""
-    n, m = F.col(f"n_{a}"), F.col(f"n_{b}")
-    fits = (n * PERCENT <= m * 100) & (m * PERCENT <= n * 100)
-    left = F.least(n - F.col(f"at_{a}"), m - F.col(f"at_{b}"))
-    out = fits & (left >= F.ceil(PERCENT * (n + m) / (100 + PERCENT)))
-    return out & (F.col(f"node_{a}") < F.col(f"node_{b}")) if ordered else out
-
-
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, class_id (the
     smallest id with an equal set), n_links (how many other classes its class links with)."""
