@@ -496,3 +496,42 @@ def test_awkward_rows_elsewhere(spark, awkward):
     assert decontaminate.report(awkward, bench).count() == n
     mixed = poisson_mix.replicate(awkward, size=1.0)
     assert mixed.columns == [*awkward.columns, "copy_no"]
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_crafted_words_have_hashes_of_their_own(spark, size):
+    """A word and its complement that polynomials modulo 2**64 take for one."""
+    one, two = thue_morse(size)
+    assert hash_word(one) != hash_word(two)
+    found = word_hashes(texts(pa.array([f"{one} {two} {one}"])))[1]
+    assert found[0] == found[2] != found[1] and found[0] == hash_word(one)
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id bigint, text string")
+    assert by_id(ngram_jaccard.join(docs), "component_id") == {1: (1,), 2: (2,), 3: (1,)}
+
+
+def test_language_of_a_text_does_not_depend_on_its_neighbours(docs):
+    """One short text at every place of batches gets one score."""
+    model = language.train(docs)
+    rng = np.random.default_rng(8)
+    found = set()
+    for k in range(60):
+        others = [prose(int(s), int(n)) for s, n in zip(rng.integers(0, 999, 9), rng.integers(0, 40, 9), strict=True)]
+        place = k % 10
+        names, best, close = model.decide(texts(pa.array([*others[:place], "la", *others[place:]])))
+        found.add((names[place], float(best[place]), bool(close[place])))
+    assert len(found) == 1
+
+
+@pytest.mark.parametrize("text,errors", [
+    ("football rights reserved", None), ("all rights reservedly so", None), ("all rights reserved", 0), ("xall rights reserved", 1),
+    ("small rights reserved here", None), ("say all rihts reserved, ok", 1), ("all rights reservedx", 1), ("over all rights reserved", 0),
+])
+def test_license_notices_start_and_end_with_words(spark, text, errors):
+    row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert [s.errors for s in row.spans] == ([] if errors is None else [errors])
+    assert row.labels == ("" if errors is None else "reserved")

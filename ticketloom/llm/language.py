@@ -46,14 +46,17 @@ def bins(t: Texts) -> np.ndarray:
     return out
 
 
+def shares_of_bins(found: np.ndarray, t: Texts, i: int) -> np.ndarray:
+    """Square roots of the shares of the bins in text i, of n-grams that start in it."""
+    spans = [found[row, t.bounds[i] + size - 1 : t.bounds[i + 1]] for row, size in enumerate(SIZES)]
+    counts = sum(np.bincount(span, minlength=BINS) for span in spans)
+    return np.sqrt(counts / max(1, sum(map(len, spans))))
+
+
 def histograms(t: Texts) -> np.ndarray:
-    """Square roots of the shares of the bins in each text."""
-    out = np.zeros((t.n, BINS), dtype=np.float32)
+    """``shares_of_bins`` of each text."""
     found = bins(t)
-    for i in range(t.n):
-        span = found[:, t.bounds[i] : t.bounds[i + 1]].ravel()
-        out[i] = np.sqrt(np.bincount(span, minlength=BINS) / max(1, len(span)))
-    return out
+    return np.array([shares_of_bins(found, t, i) for i in range(t.n)], dtype=np.float32).reshape(t.n, BINS)
 
 
 def codewords(k: int) -> np.ndarray:
@@ -107,16 +110,13 @@ def shares(loss: np.ndarray) -> np.ndarray:
 
 
 def histogram_margins(t: Texts, weight: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Margins of all bits, a few texts' histograms at a time."""
-    found = bins(t)
+    """Margins of all bits, worked out text by text: they don't depend on the texts beside it."""
+    found, weight = bins(t), weight.astype(np.float64)
     out = np.empty((t.n, len(bias)))
-    for low in range(0, t.n, 64):
-        high = min(t.n, low + 64)
-        block = np.zeros((high - low, BINS), dtype=np.float32)
-        for i in range(low, high):
-            span = found[:, t.bounds[i] : t.bounds[i + 1]].ravel()
-            block[i - low] = np.sqrt(np.bincount(span, minlength=BINS) / max(1, len(span)))
-        out[low:high] = block @ weight + bias
+    for i in range(t.n):
+        x = shares_of_bins(found, t, i)
+        on = np.flatnonzero(x)
+        out[i] = x[on] @ weight[on] + bias
     return out
 
 

@@ -81,8 +81,12 @@ class Search:
 
     def __init__(self, notices: dict[str, str]):
         self.notices = [(n, label, errors_for(n)) for n, label in notices.items()]
-        # an error-free character on each side keeps a match from starting or ending inside a word
-        self.patterns = [regex.compile(rf"(?b)(?:{regex.escape(n)}){{e<={k}}}".encode()) for n, _, k in self.notices]
+        # words end in a space: without an error-free one on each side a match would start or end inside a
+        # word. The module inserts nothing before the first character, so that is spelled out
+        self.patterns = [
+            [(more, regex.compile(rf"(?b)(?<![^ \n])[^ \n]{{{more}}}(?:{regex.escape(n)}){{e<={k - more}}}(?![^ \n])".encode())) for more in range(k + 1)]
+            for n, _, k in self.notices
+        ]
         seeds: dict[int, list[tuple[int, int]]] = {}
         for i, (n, _, k) in enumerate(self.notices):
             raw = n.encode()
@@ -116,10 +120,14 @@ class Search:
             a, b = max(low, start - k), min(high, start + len(notice.encode()) + k)
             if a < done.get(i, -1):
                 a = max(a, done[i])
-            hit = self.patterns[i].search(buf[a:b].tobytes()) if b > a else None
-            if hit:
-                found.append((i, a + hit.start(), a + hit.end(), sum(hit.fuzzy_counts)))
-                done[i] = a + hit.end()
+            # one character more on each side tells whether a word goes on there
+            first = max(low, a - 1)
+            window = buf[first : min(high, b + 1)].tobytes()
+            hits = [(sum(hit.fuzzy_counts) + more, hit.start(), hit.end()) for more, p in self.patterns[i] if b > a and (hit := p.search(window, a - first))]
+            if hits:
+                errors, begin, end = min(hits)
+                found.append((i, first + begin, first + end, errors))
+                done[i] = first + end
         return found
 
 

@@ -7,6 +7,7 @@ line feed, so no word crosses texts. Everything is computed on at most
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,10 @@ import pyarrow as pa
 PIECE = 1 << 20
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
+#: Longer slices are hashed by a keyed digest: a polynomial modulo 2**64 has equal values
+#: for different texts of some 1,000 bytes that anyone can write down, whatever its base.
+PLAIN = 64
+KEY = b"ticketloom slices"
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -132,7 +137,7 @@ def find_words(t: Texts, buf: np.ndarray, table: np.ndarray) -> Words:
 
 
 def hash_slices(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of ascending slices, a bounded part of the buffer at a time."""
+    """Hashes of ascending slices, a bounded part of the buffer at a time; long ones by digest."""
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
@@ -141,6 +146,9 @@ def hash_slices(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         prefix = prefix_hash(buf[low : ends[to - 1]])
         out[at:to] = slice_hash(prefix, starts[at:to] - low, ends[at:to] - low)
         at = to
+    for i in np.flatnonzero(ends - starts > PLAIN):
+        digest = hashlib.blake2b(buf[starts[i] : ends[i]].tobytes(), digest_size=8, key=KEY).digest()
+        out[i] = int.from_bytes(digest, "little")
     return out
 
 
@@ -153,7 +161,7 @@ def word_hashes(t: Texts, table: np.ndarray = WORD_PLAIN) -> tuple[Words, np.nda
 
 def hash_word(word: str) -> int:
     raw = np.frombuffer(word.encode(), dtype=np.uint8)
-    return int(slice_hash(prefix_hash(raw), np.array([0]), np.array([len(raw)]))[0])
+    return int(hash_slices(raw, np.array([0]), np.array([len(raw)]))[0])
 
 
 def shingles(words: Words, hashes: np.ndarray, n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
