@@ -68,17 +68,34 @@ def collected(rows: DataFrame, extract: Callable[[Texts], tuple[np.ndarray, np.n
     kind = rows.schema[label].dataType.simpleString()
     table = narrow(rows, id="id", label=label, text=text).mapInArrow(task, f"id bigint, label {kind}, packed binary").toArrow()
     table = table.sort_by([("id", "ascending"), ("packed", "ascending")])
-    packed = table.column("packed").to_pylist()
+    labels, packed = np.array(table.column("label").to_pylist()), table.column("packed").to_pylist()
+    del table
     bounds = np.concatenate([[0], np.cumsum([len(x) // 8 for x in packed])]).astype(np.int64)
-    return np.array(table.column("label").to_pylist()), bounds, np.frombuffer(b"".join(packed), dtype=np.uint64)
+    hashes = np.frombuffer(b"".join(packed), dtype=np.uint64)
+    del packed
+    pa.default_memory_pool().release_unused()
+    return labels, bounds, hashes
 
 
-def sampled(rows: DataFrame, groups: str, most: int) -> DataFrame:
-    """About ``most`` rows of each group at most, chosen by a hash of ``id`` alone."""
-    counts = rows.groupBy(groups).count().collect()  # a row for each label value
+def sized(marks: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Marks (id, label) of documents with the ``bytes`` of their texts; only numbers are joined."""
+    sizes = narrow(docs, id=id_col, bytes=F.octet_length(text)).groupBy("id").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    return marks.join(sizes, "id")
+
+
+#: Bytes of text of a sample's group at most, about: what the driver learns from has a bound in bytes too.
+SAMPLE_BYTES = 12 << 20
+
+
+def sampled(rows: DataFrame, groups: str, most: int, size: str | None = None) -> DataFrame:
+    """About ``most`` rows of each group at most, chosen by a hash of ``id`` alone, and of about
+    ``SAMPLE_BYTES`` at most where ``size`` names a column with the bytes of a row."""
+    held = F.sum(size) if size else F.lit(0)
+    counts = rows.groupBy(groups).agg(F.count(F.lit(1)).alias("n"), held.alias("held")).collect()  # a row for each label value
     share: Column = F.lit(0.0)
     for row in counts:
-        share = F.when(F.col(groups) == row[0], F.lit(min(1.0, most / row[1]))).otherwise(share)
+        part = min(1.0, most / row.n, SAMPLE_BYTES / max(row.held or 0, 1))
+        share = F.when(F.col(groups) == row[0], F.lit(part)).otherwise(share)
     place = F.pmod(F.xxhash64(F.col("id"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rows.where(place < share)
 
@@ -93,8 +110,12 @@ def known(hashes: np.ndarray, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Places in ``vocab`` and the mask of those that are there."""
     if not len(vocab):
         return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    at = np.minimum(np.searchsorted(vocab, hashes), len(vocab) - 1)
-    return at, vocab[at] == hashes
+    at, on = np.empty(len(hashes), np.int32), np.empty(len(hashes), bool)
+    for low in range(0, len(hashes), 1 << 18):
+        part = hashes[low : low + (1 << 18)]
+        place = np.minimum(np.searchsorted(vocab, part), len(vocab) - 1)
+        at[low : low + len(part)], on[low : low + len(part)] = place, vocab[place] == part
+    return at, on
 
 
 def rows_of(bounds: np.ndarray, hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -16,9 +16,9 @@ are one class, found by digest; only classes are compared.
    a passage drops out of the prefixes. Only prefixes are shipped, and in later
    rounds only those of the classes left. The order is told by a bit table of
    bounded size: a shingle that it wrongly takes for crowded only stands later.
-3. Families. After ``ROUNDS`` rounds, a crowded list's smallest set leads it. Members
-   are verified against their leaders, and what is linked to it is in one component
-   without further comparison. Families that still fall into several components are
+3. Families. After ``ROUNDS`` rounds, a crowded list's smallest set leads it. A class
+   is verified against the leader it shares most lists with, and what is linked to a
+   leader is in one component without further comparison. Families that still fall into several components are
    compared in blocks (below), each family once however many lists it has.
 4. Blocks. A family's classes are dealt by size class (linked sets are in the same or
    neighbouring ones) and by hash into blocks of at most ``BLOCK`` classes and
@@ -296,14 +296,6 @@ def _checked(small: DataFrame, width: int) -> DataFrame:
     return F.broadcast(small) if small.count() * width <= BROADCAST_BYTES else small
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose classes are not known to be in one component."""
-    left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    out = pairs.join(left, "a", "left").join(right, "b", "left")
-    return out.where("coalesce(la, a) <> coalesce(lb, b)").drop("la", "lb")
-
-
 def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``base`` (id, n, node for each row; staged), ``edges`` (a, b): verified links
     between classes that connect every pair of linked classes, and ``crowd`` (node):
@@ -344,11 +336,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[
     led = entries.join(_checked(lists, 24), "h").groupBy("leader", "node").agg(F.first("n").alias("n"), F.first("least").alias("least"), F.count(F.lit(1)).alias("c"))
     led = stage(led, "jaccard-led")
     stars = led.where(F.col("n") * PERCENT <= F.col("least") * 100).where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"), "c")
-    # first the leader each class shares most lists with, then only what is not connected yet
+    # the leader that a class shares most lists with; what that leaves open, blocks decide
     best = stars.groupBy("b").agg(F.max(F.struct("c", "a")).alias("top")).select(F.col("top.a").alias("a"), "b")
     edges = verifier.linked(stage(pairs.unionByName(best).distinct(), "jaccard-pairs"))
-    more = _across(stars.select("a", "b").distinct(), components(edges)).join(edges, ["a", "b"], "left_anti")
-    edges = edges.unionByName(verifier.linked(stage(more, "jaccard-pairs")))
     return base, stage(edges.unionByName(family_links(rows, homes, led, components(edges))), "jaccard-edges"), crowd
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready
-from ticketloom.llm.features import collected, known, sampled, summed, telling, terms_and_shapes, vocabulary
+from ticketloom.llm.features import collected, known, sampled, sized, summed, telling, terms_and_shapes, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
 from ticketloom.session import stage
 
@@ -118,11 +118,12 @@ def fit(grades: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, least: int =
 
 def train(docs: DataFrame, ratings: DataFrame, grade: Column, per_grade: int = 6000, id_col: str = "doc_id", text: str = "text") -> Scale:
     """Learns only rows whose id's crc32 mod 5 is not 0. ``grade`` is an expression
-    over ``ratings`` that gives whole numbers from 0."""
+    over ``ratings`` that gives whole numbers from 0. ``per_grade`` bounds the sample's
+    rows, ``features.SAMPLE_BYTES`` its texts."""
     ready(docs.sparkSession)
     marks = narrow(ratings, id=id_col, label=grade.cast("int")).where("label >= 0 AND id IS NOT NULL")
     marks = marks.where(checksum_mod("id", FOLDS) != 0).groupBy("id").agg(F.min("label").alias("label"))
-    chosen = stage(sampled(marks, "label", per_grade), "quality-sample")
+    chosen = stage(sampled(sized(marks, docs, id_col, text), "label", per_grade, "bytes").select("id", "label"), "quality-sample")
     if chosen.count() * 16 <= BROADCAST_BYTES:  # bounded by per_grade rows a grade
         chosen = F.broadcast(chosen)
     return fit(*collected(narrow(docs, id=id_col, text=text).join(chosen, "id"), terms_and_shapes))

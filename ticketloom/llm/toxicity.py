@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
 from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready
-from ticketloom.llm.features import collected, known, rows_of, sampled, summed, telling, terms, vocabulary
+from ticketloom.llm.features import collected, known, rows_of, sampled, sized, summed, telling, terms, vocabulary
 from ticketloom.llm.textbytes import Texts, pieces
 from ticketloom.session import stage
 
 FOLDS = 5
 #: Steps of training at least.
 STEPS = 300
+#: Rows whose factors the driver holds at once.
+ROWS = 512
 
 
 @dataclass
@@ -94,15 +96,17 @@ def together(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.nd
         whole = learn(y[one], b, h, vocab, **how)
         alone = learn(y[one], b, h, single, **how)
         b, h = rows_of(bounds, hashes, other)
-        owner = np.repeat(np.arange(len(other)), np.diff(b))
-        at, on = known(h, alone.vocab)
-        p = logistic(alone.bias + interactions(alone.weight, alone.factor, at[on], owner[on], len(other)))
-        rest = y[other] - p
+        rest = y[other] - scores(alone, b, h)
         rest -= rest.mean()
         at, on = known(h, vocab)
-        at, owner = at[on], owner[on]
-        own = whole.factor[at]
-        pull = ((summed(own, owner, len(other))[owner] - own) * own).sum(axis=1).astype(np.float64)
+        owner = np.repeat(np.arange(len(other), dtype=np.int32), np.diff(b))[on]
+        at = at[on]
+        # the factors of some rows at a time: there are ``rank`` numbers for each term of each row
+        pull = np.empty(len(at))
+        for low in range(0, len(other), ROWS):
+            a, z = np.searchsorted(owner, [low, low + ROWS])
+            own, mine = whole.factor[at[a:z]], owner[a:z] - low
+            pull[a:z] = ((summed(own, mine, ROWS)[mine] - own) * own).sum(axis=1)
         n = np.maximum(np.bincount(at, minlength=len(vocab)), 1)
         # within a term's rows: does the pull of its pairs go with the label?
         pull -= (np.bincount(at, pull, len(vocab)) / n)[at]
@@ -113,6 +117,17 @@ def together(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.nd
     return np.unique(np.concatenate(found))
 
 
+def scores(machine: Machine, bounds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Scores of packed rows, some at a time."""
+    out = np.empty(len(bounds) - 1)
+    for low in range(0, len(out), ROWS):
+        high = min(len(out), low + ROWS)
+        at, on = known(hashes[bounds[low] : bounds[high]], machine.vocab)
+        owner = np.repeat(np.arange(high - low), np.diff(bounds[low : high + 1]))
+        out[low:high] = logistic(machine.bias + interactions(machine.weight, machine.factor, at[on], owner[on], high - low))
+    return out
+
+
 def learn(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarray, rank: int, epochs: int, batch: int, rate: float, decay: float, seed: int) -> Machine:
     """The machine over the terms of ``vocab``."""
     share = float(y.mean()) if len(y) else 0.0
@@ -122,7 +137,7 @@ def learn(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarr
     rng = np.random.default_rng(seed)
     at_all, on = known(hashes, vocab)
     kept = np.concatenate([[0], np.cumsum(on)])[bounds]
-    at_all = at_all[on].astype(np.int32)
+    at_all = at_all[on]
     weight = np.zeros(len(vocab), np.float32)
     factor = rng.normal(0, 0.01, (len(vocab), rank)).astype(np.float32)
     moments = [np.zeros_like(weight), np.zeros_like(weight), np.zeros_like(factor), np.zeros_like(factor)]
@@ -157,11 +172,12 @@ def learn(y: np.ndarray, bounds: np.ndarray, hashes: np.ndarray, vocab: np.ndarr
 
 
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 8000, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic") -> Machine:
-    """Learns only rows whose id's crc32 mod 5 is not 0. ``per_label`` bounds the sample."""
+    """Learns only rows whose id's crc32 mod 5 is not 0. ``per_label`` bounds the sample's rows,
+    ``features.SAMPLE_BYTES`` its texts."""
     ready(docs.sparkSession)
     marks = narrow(labels, id=id_col, label=F.col(toxic).cast("int")).where("label IN (0, 1) AND id IS NOT NULL")
     marks = marks.where(checksum_mod("id", FOLDS) != 0).groupBy("id").agg(F.max("label").alias("label"))
-    chosen = stage(sampled(marks, "label", per_label), "toxicity-sample")
+    chosen = stage(sampled(sized(marks, docs, id_col, text), "label", per_label, "bytes").select("id", "label"), "toxicity-sample")
     if chosen.count() * 16 <= BROADCAST_BYTES:  # bounded by 2 * per_label
         chosen = F.broadcast(chosen)
     return fit(*collected(narrow(docs, id=id_col, text=text).join(chosen, "id"), terms))
