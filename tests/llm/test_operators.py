@@ -535,3 +535,15 @@ def test_license_notices_start_and_end_with_words(spark, text, errors):
     row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert [s.errors for s in row.spans] == ([] if errors is None else [errors])
     assert row.labels == ("" if errors is None else "reserved")
+
+
+def test_mix_with_a_column_of_its_own_name(docs, tmp_path):
+    """The added column gives way, the result can be written, and partitions are even."""
+    named = docs.withColumns({"copy_no": F.lit(7), "COPY_NO_": F.lit(8)})
+    mixed = poisson_mix.replicate(named, size=40.0, rate_as="rate")
+    assert mixed.columns == [*named.columns, "copy_no__", "rate"]
+    mixed.write.parquet(str(tmp_path / "mixed"))
+    back = mixed.sparkSession.read.parquet(str(tmp_path / "mixed"))
+    assert back.count() == mixed.count() and {r.copy_no for r in back.select("copy_no").distinct().collect()} == {7}
+    sizes = [r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)

@@ -86,7 +86,8 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, p
     """Copies of the rows of ``docs`` in a global shuffled order.
 
     Partitions are ranges of the order's key and sorted inside, so files written
-    from the result read as one random permutation.
+    from the result read as one random permutation. An added column whose name
+    ``docs`` has already gets underscores until it is free.
     """
     spark = ready(docs.sparkSession)
     rows = counted(docs, rates(docs, weights, power, size, source), seed, id_col, source).where("copies > 0")
@@ -94,6 +95,12 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, p
     keyed = copies.withColumn("order_key", unit(F.lit(seed), F.lit("order"), F.col("mix_id"), F.col("copy")))
     # the key is uniform by construction, so its ranges are known without sampling the data
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = keyed.repartition(parts, F.floor(F.col("order_key") * parts)).sortWithinPartitions("order_key", "mix_id", "copy")
-    extra = [F.col(k).alias(v) for k, v in (("copy", copy_as), ("rate", rate_as)) if v]
+    dealt = keyed.repartitionById(parts, F.floor(F.col("order_key") * parts).cast("int")).sortWithinPartitions("order_key", "mix_id", "copy")
+    extra, used = [], {c.lower() for c in docs.columns}
+    for column, name in (("copy", copy_as), ("rate", rate_as)):
+        while name and name.lower() in used:
+            name += "_"
+        if name:
+            extra.append(F.col(column).alias(name))
+            used.add(name.lower())
     return dealt.select("row.*", *extra)
