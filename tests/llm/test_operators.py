@@ -127,6 +127,40 @@ def test_suffix_dedup_of_crowded_hashes(docs, corpus, monkeypatch):
     assert by_id(suffix_dedup.trim(docs, dealt_bytes=2000), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_windows(corpus)
 
 
+def test_suffix_dedup_strings_that_meet():
+    """Leaving out strings that share no stretch with another id loses no window."""
+    words = [f"{'abcdefgh'[i % 8]}{i * 7919 % 997}" for i in range(200)]
+    plain = [" ".join(words[(d * 31 + i * i * (d % 5 + 1)) % 200] for i in range(300)).encode() for d in range(60)]
+    shared = b"a passage of several words that some of the texts have in common, of odd length"
+    plain = [x[: 10 * d] + shared[d % 30 :] + x[10 * d :] if d % 4 == 0 else x for d, x in enumerate(plain)]
+    t = texts(pa.array(plain, pa.binary()))
+    owner, start, windows, hashes, content = suffix_dedup.segments(t)
+    left = np.flatnonzero(~suffix_dedup._repeats(hashes, content, owner))
+    begin, sizes, ids, hashes = t.bounds[owner[left]] + start[left], windows[left] + suffix_dedup.WIDTH - 1, owner[left], hashes[left]
+
+    def found(strings):
+        out = set()
+        for part in (strings[x] for x in suffix_dedup.by_hash(hashes[strings], sizes[strings], 50_000)):
+            string, offset = suffix_dedup.equal_windows(t.buf, begin[part], sizes[part], ids[part])
+            out |= set(zip(part[string].tolist(), offset.tolist(), strict=True))
+        return out
+
+    meeting = np.flatnonzero(suffix_dedup.meeting(t.buf, begin, sizes, hashes, ids))
+    assert len(meeting) < len(left) / 2
+    assert found(meeting) == found(np.arange(len(left))) != set()
+
+
+def test_suffix_dedup_without_ids(spark):
+    """Texts without an id are numbered in slots; each is judged by its own text."""
+    shared = "these words stand in every one of the texts that have no identifier at all "
+    rows = [(1, shared)] + [(None, f"{i} begins {shared} ends {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = suffix_dedup.trim(docs).where("doc_id IS NULL").collect()
+    assert len(out) == 40 and all(r.n_removed == len(shared) and r.n_spans == 1 for r in out)
+    kept = {hashlib.sha256(f"{i} begins  ends {i}".encode()).hexdigest() for i in range(40)}
+    assert {r.kept_sha256 for r in out} == kept
+
+
 def test_suffix_dedup_awkward(awkward):
     rows = suffix_dedup.trim(awkward).collect()
     assert len(rows) == awkward.count()

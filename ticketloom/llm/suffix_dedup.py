@@ -11,7 +11,9 @@ starts in a document with a smaller id. Windows are judged on the input.
    stays (each task drops repeats before the shuffle, so a passage that a third
    of all documents share leaves one entry a task); the others' windows go.
 3. Where one hash has several different segments, their bytes are fetched and
-   become the strings of a collection. Its Burrows-Wheeler transform and common
+   become the strings of a collection. A string stays out if it shares none of its
+   ``CUTS`` stretches around the gram (42 of the 50 bytes, one of which every equal
+   window has) with another id. The Burrows-Wheeler transform and common
    prefixes are built column by column: round t inserts the suffix of length t of
    every string at once, at the rank that the transform so far gives for its
    symbol, and updates the common prefixes (up to WIDTH); the columns live in
@@ -50,6 +52,12 @@ CROWD = 50_000
 #: Bytes of text whose entries make up one bucket; bytes of strings dealt to one task,
 #: and in one collection of them (small enough for the processor's cache).
 BUCKET, DEALT, COLLECTION = 16 << 20, 4 << 20, 96 << 10
+#: Bytes of strings whose stretches are compared at once.
+MET = 512 << 10
+#: Parts in which the texts of one id are numbered.
+SLOTS = 1024
+#: Stretches around a gram of which two equal windows share one.
+CUTS = 3
 #: Entries a task holds back to drop repeats.
 HELD = 600_000
 NO_SYMBOL = 256
@@ -321,6 +329,47 @@ def strings(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.mapInArrow(task, "bucket int, hash binary, id binary, nth binary, start binary, size binary, data binary")
 
 
+def meeting(buf: np.ndarray, begin: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, ids: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Mask of the strings that may share a window with a string of another id.
+
+    A window has the gram of its hash with ``width - gram`` bytes around it. However these
+    are split between both sides, one of ``CUTS`` stretches lies inside, at its gram's place
+    in both strings. Strings dealt window by window have no such gram and stay."""
+    gram = min(GRAM, width)
+    span = width - gram + 1
+    first = np.cumsum(sizes) - sizes
+    string = np.repeat(np.arange(len(sizes)), sizes)
+    prefix = prefix_hash(buf[np.repeat(begin - first, sizes) + np.arange(len(string))])
+    at = np.arange(max(len(string) - gram + 1, 0))
+    at = at[at + gram <= (first + sizes)[string[at]]]
+    at = at[slice_hash(prefix, at, at + gram) == hashes[string[at]]]
+    out = np.ones(len(sizes), dtype=bool)
+    out[string[at]] = False
+    for k in range(CUTS):
+        low, high = at - span * k // CUTS, at + gram + span - span * (k + 1) // CUTS
+        owner = string[at]
+        inside = (low >= first[owner]) & (high <= (first + sizes)[owner])
+        key, owner = slice_hash(prefix, low[inside], high[inside]), owner[inside]
+        order = np.argsort(key)
+        key, owner = key[order], owner[order]
+        if len(key):
+            heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            several = np.minimum.reduceat(ids[owner], heads) < np.maximum.reduceat(ids[owner], heads)
+            out[owner[np.repeat(several, np.diff(np.append(heads, len(key))))]] = True
+    return out
+
+
+def by_hash(hashes: np.ndarray, sizes: np.ndarray, limit: int) -> list[np.ndarray]:
+    """The strings in lists of ``limit`` bytes and one hash more; one hash is in one list."""
+    order = np.argsort(hashes, kind="stable")
+    if not len(order):
+        return []
+    before = np.cumsum(sizes[order]) - sizes[order]
+    heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+    parts = np.repeat(before[heads] // limit, np.diff(np.append(heads, len(order))))
+    return np.split(order, np.flatnonzero(parts[1:] != parts[:-1]) + 1)
+
+
 def collections_of(table: pa.Table) -> pa.Table:
     """The windows of the strings dealt to a task that go, as FOUND rows. Strings of one
     hash are in one collection; a collection has ``COLLECTION`` bytes and one hash more."""
@@ -328,12 +377,10 @@ def collections_of(table: pa.Table) -> pa.Table:
     at, sizes = unpacked(table, "start", np.int32).astype(np.int64), unpacked(table, "size", np.uint8).astype(np.int64)
     buf = np.frombuffer(b"".join(table.column("data").to_pylist()), np.uint8)
     begin = np.cumsum(sizes) - sizes
-    order = np.argsort(hashes, kind="stable")
-    before = np.cumsum(sizes[order]) - sizes[order]
-    heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])) if len(order) else np.zeros(0, np.int64)
-    parts = np.repeat(before[heads] // COLLECTION, np.diff(np.append(heads, len(order))))
+    kept = [part[meeting(buf, begin[part], sizes[part], hashes[part], ids[part])] for part in by_hash(hashes, sizes, MET)]
+    kept = np.concatenate([np.zeros(0, np.int64), *kept])
     string, offset = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for part in np.split(order, np.flatnonzero(parts[1:] != parts[:-1]) + 1) if len(order) else []:
+    for part in (kept[x] for x in by_hash(hashes[kept], sizes[kept], COLLECTION)):
         found, place = equal_windows(buf, begin[part], sizes[part], ids[part])
         string.append(part[found])
         offset.append(place)
@@ -355,11 +402,14 @@ def trim(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dealt_byte
     digest = [F.xxhash64("text").alias("d1"), F.xxhash64(F.lit("again"), "text").alias("d2"), F.octet_length("text").alias("bytes")]
     base = stage(rows.select("own_id", "id", *digest, F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "suffix-texts")
     firsts = base.groupBy("d1", "d2", "bytes").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = stage(base.join(firsts, ["d1", "d2", "bytes"]).where("id > first").select("id", "d1", "d2").distinct(), "suffix-copies")
-    # several texts under one id are told apart by a number
+    firsts = stage(firsts.drop("n"), "suffix-firsts")
+    copies = stage(base.join(_checked(firsts, 28), ["d1", "d2", "bytes"]).where("id > first").select("id", "d1", "d2").distinct(), "suffix-copies")
+    # several texts under one id are told apart by a number, dealt in slots as many rows may have no id
     again = base.groupBy("id").agg(F.count_distinct("d1", "d2").alias("n")).where("n > 1").select("id")
-    numbers = base.select("id", "d1", "d2").distinct().join(again, "id")
-    numbers = stage(numbers.select("*", (F.row_number().over(W.partitionBy("id").orderBy("d1", "d2")) - 1).alias("nth")), "suffix-numbers")
+    again = stage(again, "suffix-again")
+    numbers = base.select("id", "d1", "d2").distinct().join(_checked(again, 8), "id").withColumn("slot", F.pmod("d1", F.lit(SLOTS)).cast("int"))
+    in_slot = F.row_number().over(W.partitionBy("id", "slot").orderBy("d1", "d2")) - 1
+    numbers = stage(numbers.select("id", "d1", "d2", (in_slot * SLOTS + F.col("slot")).alias("nth")), "suffix-numbers")
     keyed = rows.select("id", "text", *digest[:2])
     left = keyed.join(_checked(copies, 24), ["id", "d1", "d2"], "left_anti").join(_checked(numbers, 24), ["id", "d1", "d2"], "left")
     left = left.select("id", F.coalesce("nth", F.lit(0)).alias("nth"), "text")
