@@ -259,8 +259,8 @@ def construct(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, folder: st
         wider[old], prefixes[old] = suffix, lcp
         wider[rank[active]] = (active.astype(np.uint64) << np.uint64(32)) | np.uint64((t + 1) << 16) | no_symbol
         # a new suffix and the one after it have new neighbours before them
-        at = np.union1d(rank[active], rank[active] + 1)
-        at = at[at < len(new)]
+        new[1:] |= new[:-1].copy()
+        at = np.flatnonzero(new)
         j = at - m
         before = order[np.maximum(j - 1, 0)]
         alike = (j > 0) & (symbol[order[j]] == symbol[before])
