@@ -82,6 +82,15 @@ def test_exact_dedup(docs, corpus):
     assert {r.doc_id for r in exact_dedup.dedup(docs).collect()} == {min(g) for g in groups.values()}
 
 
+def test_exact_dedup_exchanges_runs(docs):
+    """Entries are combined once before the first exchange; then each round moves them by
+    run number alone, sorts once and merges without an exchange of its own."""
+    plan = exact_dedup.merged(exact_dedup.digests(docs))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line]
+    assert [("direct_shuffle_partition_id(run" in x, "hashpartitioning(run" in x) for x in exchanges] == [(True, False)] * 2 + [(False, True)]
+    assert sum("Sort [run" in line for line in plan.splitlines()) == len(exchanges) + 1
+
+
 def test_exact_dedup_of_repeated_rows(awkward):
     kept = exact_dedup.dedup(awkward)
     assert kept.columns == awkward.columns

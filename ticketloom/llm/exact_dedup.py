@@ -1,11 +1,14 @@
 """Exact dedup by a tree-merge of sorted digest runs, in built-in expressions only.
 
-Every scan partition starts a run of (digest, smallest id, rows). In a round the
-runs whose numbers differ in one digit (to the base ``FAN``) exchange entries:
-an entry goes to the run that has the entry's own digest digit in that place.
-There the arriving sorted runs are merged and each digest keeps its smallest
-id. After all digits every digest lies in one run, and no run ever holds more
-than its share of the digests: a hot text has one entry for each run at most.
+Every scan partition starts a run of (digest, smallest id, rows): its entries
+are combined before they are first shuffled, so a hot text leaves one entry a
+run. Then come binomial rounds. In a round the runs whose numbers differ in one
+digit (to the base ``FAN``) exchange entries: an entry goes to the run that has
+the entry's own digest digit in that place. Entries are placed by run number, a
+run a partition; there the arriving runs are sorted by digest and merged, and
+each digest keeps its smallest id, without another exchange. After all digits
+every digest lies in one run, and no run ever holds more than its share of the
+digests: a hot text has ``FAN`` entries in an exchange of a run at most.
 
 An entry is keyed by SHA-256, a second 64-bit hash and the length of the
 normalised text, so every merge verifies that equal digests are equal texts.
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from ticketloom.llm.common import BROADCAST_BYTES, narrow, ready
 from ticketloom.session import stage
 
-FAN = 8
+FAN = 4
 KEY = ["digest", "second", "length"]
 
 
@@ -56,21 +59,18 @@ def merged(entries: DataFrame) -> DataFrame:
     while runs < int(spark.conf.get("spark.sql.shuffle.partitions")):
         places, runs = places + 1, runs * FAN
     home = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("bigint") % runs
-    state = entries.select(
+    merge = [F.min("keep").alias("keep"), F.sum("rows").alias("rows")]
+    started = entries.select(
         *KEY,
         F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id")).alias("keep"),
         F.lit(1).cast("bigint").alias("rows"),
         (F.spark_partition_id() % runs).cast("bigint").alias("run"),
     )
+    state = started.groupBy("run", *KEY).agg(*merge)
     for place in range(places):
-        step = FAN**place
-        to = F.col("run") + (_digit(home, place) - _digit(F.col("run"), place)) * step
-        state = (
-            state.withColumn("run", to.cast("bigint"))
-            .groupBy("run", *KEY)
-            .agg(F.min("keep").alias("keep"), F.sum("rows").alias("rows"))
-            .sortWithinPartitions("run", *KEY)
-        )
+        to = F.col("run") + (_digit(home, place) - _digit(F.col("run"), place)) * FAN**place
+        placed = state.withColumn("run", to.cast("int")).repartitionById(runs, "run")
+        state = placed.groupBy("run", *KEY).agg(*merge)
     return state.select(*KEY, F.col("keep.id").alias("keep_id"), F.col("rows").alias("group_size"))
 
 
