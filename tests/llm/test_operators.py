@@ -17,6 +17,7 @@ from ticketloom.llm import (
 )
 from ticketloom.llm.components import components
 from ticketloom.llm.textbytes import hash_word, texts, word_hashes
+from ticketloom.session import stage
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 FILLER = ["stone", "river", "cloud", "maple", "tiger", "amber", "quiet", "lemon", "ocean", "paper", "violet", "copper", "meadow", "walnut"]
@@ -85,7 +86,7 @@ def test_exact_dedup(docs, corpus):
 def test_exact_dedup_exchanges_runs(docs):
     """Entries are combined once before the first exchange; then each round moves them by
     run number alone, sorts once and merges without an exchange of its own."""
-    plan = exact_dedup.merged(exact_dedup.digests(docs))._jdf.queryExecution().executedPlan().toString()
+    plan = exact_dedup.merged(stage(exact_dedup.digests(docs), "test-digests"))._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange " in line]
     assert [("direct_shuffle_partition_id(run" in x, "hashpartitioning(run" in x) for x in exchanges] == [(True, False)] * 2 + [(False, True)]
     assert sum("Sort [run" in line for line in plan.splitlines()) == len(exchanges) + 1
