@@ -392,6 +392,45 @@ def test_poisson_mix_large_rates_and_nulls(spark):
     assert poisson_mix.replicate(docs.limit(0), size=2.0).count() == 0
 
 
+def plain_overlaps(doc: list[str], item: list[str]) -> dict[tuple[int, int], int]:
+    """Every alignment by plain loops: (first word, word after the last) of its most valuable stretch to its matches.
+    An item shorter than a seed counts whole only."""
+    least = min(decontaminate.LEAST, decontaminate.SHORT * len(item)) if len(item) >= decontaminate.SPAN else len(item)
+    out = {}
+    for shift in range(-len(item), len(doc)):
+        pairs = [(i + shift, doc[i + shift] == w) for i, w in enumerate(item) if 0 <= i + shift < len(doc)]
+        if sum(same for _, same in pairs) < least:
+            continue
+        best = None
+        for high in range(1, len(pairs) + 1):
+            value = 0.0
+            for low in range(high - 1, -1, -1):
+                value += 1.0 if pairs[low][1] else -decontaminate.COST
+                if best is None or (value, -high, -low) > best[0]:
+                    best = ((value, -high, -low), pairs[low][0], pairs[high - 1][0] + 1, sum(same for _, same in pairs[low:high]))
+        if best[3] >= least:
+            out[best[1], best[2]] = best[3]
+    return out
+
+
+@pytest.mark.parametrize("replaced", [0.0, 0.05, 0.1])
+def test_decontaminate_against_all_alignments(replaced):
+    """What the masks find is what plain loops find, and of these nothing is missed but worn stretches."""
+    rng = np.random.default_rng(int(replaced * 100) + 1)
+    items = [prose(1000 + i, n).split() for i, n in enumerate([4, 8, 9, 10, 12, 13, 20, 30, 30, 45])]
+    docs = []
+    for d in range(60):
+        item = items[d % len(items)]
+        worn = [f"other{k}" if rng.random() < replaced else w for k, w in enumerate(item)]
+        docs.append([prose(2000 + d, d % 7 * 5).split() + worn[: len(worn) - d % 3] + prose(3000 + d, 25).split(), prose(4000 + d, 60).split()][d % 6 == 5])
+    finder = decontaminate.Finder(decontaminate.Items.of(np.arange(len(items)), pa.array([" ".join(x) for x in items])))
+    found = {(d, i, low, high): n for d, i, low, high, n in finder.overlaps(texts(pa.array([" ".join(x) for x in docs])))}
+    expected = {(d, i, *k): n for d, x in enumerate(docs) for i, y in enumerate(items) for k, n in plain_overlaps(x, y).items()}
+    assert found.items() <= expected.items()
+    assert {k for k in expected if expected[k] == k[3] - k[2] >= min(len(items[k[1]]), decontaminate.LEAST)} <= set(found)
+    assert len(found) >= 0.95 * len(expected) > 20
+
+
 def test_decontaminate(spark, corpus):
     item = prose(50, 34).split()
     worn = [w if k % 8 else f"other{k}" for k, w in enumerate(item)]
