@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from ticketloom.llm import (
     decontaminate, exact_dedup, language, license_scan, ngram_jaccard, poisson_mix, quality, suffix_dedup, suffix_tree, toxicity,
 )
+from ticketloom.llm.common import ARROW_BYTES, whole_rows
 from ticketloom.llm.components import components
-from ticketloom.llm.textbytes import hash_word, texts, word_hashes
+from ticketloom.llm.textbytes import hash_word, own_text, texts, word_hashes
 from ticketloom.session import stage
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -449,6 +450,19 @@ def test_decontaminate(spark, corpus):
     assert decontaminate.report(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_whole_rows_send_their_text_once(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, Body string")
+    whole, place = whole_rows(rows, "body")
+    assert (whole.columns, place) == (["row"], 1)
+    batch = pa.RecordBatch.from_arrays([whole.toArrow().column("row").combine_chunks()], names=["row"])
+    (both,) = own_text([batch.slice(1)], place)
+    assert both.schema.names == ["row", "text"] and both.column("text").to_pylist() == [None]
+    bench = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
+    plan = decontaminate.keep_clean(rows, bench, text="Body")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow task(key" in plan and "AS text" not in plan
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b") == str(ARROW_BYTES)
+
+
 def labelled(spark, n=900):
     bad = ["idiotword", "scumword", "trashword"]
     rows, marks = [], []

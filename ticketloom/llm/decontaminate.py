@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from ticketloom.llm.common import narrow, ready
-from ticketloom.llm.textbytes import BASE, WORD_ALNUM, Texts, mix64, pieces, texts, word_hashes
+from ticketloom.llm.common import narrow, ready, whole_rows
+from ticketloom.llm.textbytes import BASE, WORD_ALNUM, Texts, mix64, own_text, pieces, texts, word_hashes
 from ticketloom.session import stage
 
 SPAN = 10
@@ -165,15 +165,16 @@ def blocks(benchmark: DataFrame, id_col: str, text: str, limit: int = BLOCK) ->
         yield Items.of(np.array(table.column("id").to_pylist(), dtype=object), table.column("text").combine_chunks())
 
 
-def search(docs: DataFrame, items: Items) -> DataFrame:
-    """Rows (key, text) to ``key`` and the overlaps found in each text."""
+def search(docs: DataFrame, items: Items, place: int | None = None) -> DataFrame:
+    """Rows (key, text) to ``key`` and the overlaps found in each text; with ``place``
+    the text is that field of the key."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((items.ids, items.first, items.tokens, items.seed, items.place, items.sizes))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("from_word", pa.int64()), ("to_word", pa.int64()), ("matching", pa.int64())]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(Items(*sent.value))
-        for batch, t in pieces(batches):
+        for batch, t in pieces(batches if place is None else own_text(batches, place)):
             lists: list[list[dict]] = [[] for _ in range(t.n)]
             for d, i, low, high, matching in finder.overlaps(t):
                 lists[d].append({"item_id": finder.items.ids[i], "from_word": low, "to_word": high, "matching": matching})
@@ -216,6 +217,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     for items in several:
         if len(several) > 1:
             rest = stage(rest, "decon-rest")
-        rows = rest.select(F.struct("*").alias("key"), F.col(text).alias("text"))
-        rest = search(rows, items).where("size(found) = 0").select("key.*")
+        rows, place = whole_rows(rest, text, "key")
+        rest = search(rows, items, place).where("size(found) = 0").select("key.*")
     return rest

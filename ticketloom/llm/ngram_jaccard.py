@@ -54,9 +54,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, packed, parts_for, ready, text_bytes, unpack, unpacked
+from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, packed, parts_for, ready, text_bytes, unpack, unpacked, whole_rows
 from ticketloom.llm.components import components
-from ticketloom.llm.textbytes import Texts, distinct_pairs, mix64, pieces, shingles, word_hashes
+from ticketloom.llm.textbytes import Texts, distinct_pairs, mix64, own_text, pieces, shingles, word_hashes
 from ticketloom.session import stage
 
 SIZE = 5
@@ -548,10 +548,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Dat
     marks = stage(rows.where("NOT first OR rows > 1").select("id", "node", "first"), "jaccard-marks")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t in pieces(batches, limit=1 << 20):
+        for batch, t in pieces(own_text(batches, place), limit=1 << 20):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets(t)[2])], names=["row", "node"])
 
-    whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    whole, place = whole_rows(docs, text)
     found = whole.mapInArrow(task, whole.select("row").schema.add("node", LongType()))
     found = found.withColumn("id", F.coalesce(F.col(f"row.{id_col}").cast("bigint"), F.lit(LAST_ID)))
     stays = found.join(_checked(marks.where("NOT first").select("id", "node"), 16), ["id", "node"], "left_anti")

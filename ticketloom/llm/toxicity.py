@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
-from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready
+from ticketloom.llm.common import BROADCAST_BYTES, checksum_mod, narrow, ready, whole_rows
 from ticketloom.llm.features import collected, known, rows_of, sampled, sized, summed, telling, terms, vocabulary
-from ticketloom.llm.textbytes import Texts, pieces
+from ticketloom.llm.textbytes import Texts, own_text, pieces
 from ticketloom.session import stage
 
 FOLDS = 5
@@ -189,11 +189,11 @@ def score(docs: DataFrame, model: Machine, text: str = "text") -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine(*sent.value)
-        for batch, t in pieces(batches):
+        for batch, t in pieces(own_text(batches, place)):
             out = machine.score(t)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.astype(np.float64)), pa.array((out >= 0.5).astype(np.int32))], names=["row", "score", "predicted"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    rows, place = whole_rows(docs, text)
     schema = rows.select("row").schema.add("score", DoubleType()).add("predicted", IntegerType())
     return rows.mapInArrow(task, schema)
 
