@@ -165,3 +165,17 @@ def test_the_loop_needs_no_names(spark, tmp_path):
     assert done.after.validated.count() == 20 + 2 + 20 + 1 + 1
     kept = {r.part.rsplit("/", 1)[1]: r.version for r in versions.manifest(spark, done.store).collect()}
     assert kept == {"one.jsonl": 2, "two.jsonl": 2, "good.jsonl": 1}
+
+
+def test_many_small_files_share_output_folders(spark, tmp_path):
+    """A folder a file took the driver a commit and three forks for each; order and numbers stay."""
+    glob, expected = parts_of(tmp_path, [(f"part_{n:03d}", 1 + n % 4) for n in range(80)])
+    built = plan.build(spark, glob, str(tmp_path / "out"))
+    rows = built.validated.orderBy("pos").collect()
+    assert [(r.source.rsplit("/", 1)[1], r.line, r.raw) for r in rows] == expected
+    assert ids(built.clean_jsonl) == [r.ticket_id for r in rows if not r.reason]
+    assert len(list((tmp_path / "out" / "clean_jsonl").glob("split=*"))) < 20
+    held = spark.read.json(f"{built.clean_jsonl}/_manifest").orderBy("split").collect()
+    assert all(a.last_pos < b.first_pos for a, b in zip(held, held[1:]))
+    again = lines.read_parts(spark, f"{built.clean_jsonl}/split=*/*").orderBy("pos").collect()
+    assert [json.loads(r.raw)["ticket_id"] for r in again] == ids(built.clean_jsonl)

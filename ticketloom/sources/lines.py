@@ -14,6 +14,8 @@ from ticketloom.session import stage
 LINE_BITS = 37
 RANGES = 64
 SPLIT = "split"
+#: So many files of fewer lines each, on average, are small: a folder for each would cost more than its lines.
+MANY_FILES, FEW_LINES = 64, 1 << 14
 
 
 def scan_lines(spark: SparkSession, glob: str | list[str]) -> DataFrame:
@@ -75,7 +77,10 @@ def number_lines(
     split, and of the piece of it that a task reads, among all of the input. It
     sorts like ``pos``, and a piece's rows come from one task in order. ``moved``
     gets a name if a join shuffled the rows, after which the latter no longer holds.
+    Lines of many small files are dealt into ranges of ``pos`` first, which are splits then.
     """
+    if keep_split and small_files(staged):
+        return in_ranges(number_lines(staged, files))
     if keep_split:
         staged = staged.select("*", F.col("_metadata.file_block_start").alias("piece"))
     splits = staged.groupBy("source", "block").agg(
@@ -107,6 +112,20 @@ def number_lines(
     return numbered.withColumns(columns).drop("block", "row_id", "shift", "part", "piece")
 
 
+def small_files(staged: DataFrame) -> bool:
+    """Whether there are ``MANY_FILES`` or more with fewer than ``FEW_LINES`` lines on average."""
+    n_files, n_lines = staged.agg(F.count_distinct("source"), F.count("*")).first()
+    return n_files >= MANY_FILES and n_lines < n_files * FEW_LINES
+
+
+def in_ranges(numbered: DataFrame) -> DataFrame:
+    """Rows staged in ranges of ``pos``, with the place of the range and piece as ``split``."""
+    ranged = numbered.repartitionByRange("pos").sortWithinPartitions("pos").withColumn("range", F.spark_partition_id())
+    dealt = stage(ranged.withColumn(SPLIT, ordinal("range")).drop("range"), "in-ranges")
+    piece = F.lpad(F.col("_metadata.file_block_start").cast("string"), 15, "0")
+    return dealt.withColumn(SPLIT, F.concat_ws("-", SPLIT, piece))
+
+
 def ordinal(*numbers: str) -> Column:
     """Numbers as one text that sorts as they do."""
     return F.concat_ws("-", *[F.lpad(F.col(n).cast("string"), 15, "0") for n in numbers])
