@@ -168,7 +168,7 @@ def test_the_loop_needs_no_names(spark, tmp_path):
 
 
 def test_many_small_files_share_output_folders(spark, tmp_path):
-    """A folder a file took the driver a commit and three forks for each; order and numbers stay."""
+    """Not a folder for each file; order and line numbers stay."""
     glob, expected = parts_of(tmp_path, [(f"part_{n:03d}", 1 + n % 4) for n in range(80)])
     built = plan.build(spark, glob, str(tmp_path / "out"))
     rows = built.validated.orderBy("pos").collect()
