@@ -5,7 +5,10 @@ from __future__ import annotations
 import collections
 import hashlib
 import re
+import time
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,7 @@ from ticketloom.llm import (
 from ticketloom.llm.common import ARROW_BYTES, whole_rows
 from ticketloom.llm.components import components
 from ticketloom.llm.textbytes import hash_word, own_text, texts, word_hashes
-from ticketloom.session import stage
+from ticketloom.session import stage, staging_root
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 FILLER = ["stone", "river", "cloud", "maple", "tiger", "amber", "quiet", "lemon", "ocean", "paper", "violet", "copper", "meadow", "walnut"]
@@ -272,6 +275,44 @@ def test_components(spark):
     assert 20 not in labels
 
 
+def test_components_leave_only_labels(spark, tmp_path):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long")
+    before = set(Path(staging_root(spark).removeprefix("file:")).rglob("*.parquet"))
+    labels = components(edges)
+    assert {(r.node, r.label) for r in labels.collect()} == {(i, 0) for i in range(41)}
+    after = set(Path(staging_root(spark).removeprefix("file:")).rglob("*.parquet")) - before
+    assert after and all("/labels-" in str(x) for x in after)
+
+
+def test_stage_leaves_no_shuffle_files(spark):
+    def shuffles():
+        names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in names.split("\n") if "/shuffle_" in x}
+
+    before = shuffles()
+    rows = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert rows.count() == 7 and sum(r["count"] for r in rows.collect()) == 1000
+
+
+def test_family_answers_are_bounded():
+    rng = np.random.default_rng(5)
+    base = np.sort(rng.integers(0, 1 << 62, 30).astype(np.uint64))
+    own = [np.union1d(base[rng.random(30) > 0.25 * rng.random()], rng.integers(0, 1 << 62, 3).astype(np.uint64)) for _ in range(1200)]
+    tracemalloc.start()
+    linked = ngram_jaccard.answers(own)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6  # two tables of 1,200 * 1,200 doubles take 23 MB
+    for i, j in rng.integers(0, 1200, (3000, 2)):
+        met = len(np.intersect1d(own[i], own[j]))
+        assert linked[i, j] == (i != j and 100 * met >= 75 * (len(own[i]) + len(own[j]) - met))
+
+
 def test_license_scan(docs, corpus):
     phrases = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
     rows = {r.doc_id: r for r in license_scan.scan(docs).collect()}

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom.llm.common import unstaged
 from ticketloom.session import stage
 
 
@@ -38,7 +39,10 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == state:
             break
-        state = mark
+        state, before = mark, now
         now = stage(_small(_large(now)).distinct(), "stars")
+        unstaged(before)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return stage(stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct()), "labels")
+    labels = stage(stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct()), "labels")
+    unstaged(now)
+    return labels

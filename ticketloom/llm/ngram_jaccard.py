@@ -54,7 +54,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, packed, parts_for, ready, text_bytes, unpack, unpacked, whole_rows
+from ticketloom.llm.common import BROADCAST_BYTES, by_bucket, narrow, packed, parts_for, ready, text_bytes, unpack, unpacked, unstaged, whole_rows
 from ticketloom.llm.components import components
 from ticketloom.llm.textbytes import Texts, distinct_pairs, mix64, own_text, pieces, shingles, word_hashes
 from ticketloom.session import stage
@@ -74,6 +74,8 @@ BLOCK = 2048
 BLOCK_BYTES = 24 << 20
 #: From so many classes of a block on, a shingle is counted by a matrix product.
 DENSE = 32
+#: Rows of a table of pairs that are worked on at a time.
+STRIP = 128
 LAST_ID = (1 << 63) - 1
 
 
@@ -308,21 +310,21 @@ def links(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[
     homes = stage(base.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")), "jaccard-homes")
     verifier = Verifier(rows, homes)
 
-    members, crowded, table, parts = rows, None, None, []
+    members, table, parts = rows, None, []
     for number in range(ROUNDS):
         found = stage(short_lists(members, buckets, table), "jaccard-short")
         crowd = stage(found.where("b IS NULL AND n = 0").select(F.col("a").alias("node")).distinct(), "jaccard-crowd")
         parts.append(stage(candidates(found, crowd, last=number == ROUNDS - 1), "jaccard-pairs"))
         left = crowd.count()
+        bits = crowd_bits(found.where("b IS NULL AND n = -1").select("a").distinct()) if left else None
+        unstaged(found)
         if not left:
             break
-        now = found.where("b IS NULL AND n = -1").select("a").distinct()
         members = rows.join(_checked(stage(homes.join(crowd, "node").select("id").distinct(), "jaccard-members"), 8), "id", "left_semi")
         if number == ROUNDS - 1:
-            entries = stage(family_entries(members, table, crowd_bits(now)), "jaccard-entries")
+            entries = stage(family_entries(members, table, bits), "jaccard-entries")
             break
-        crowded = now if crowded is None else crowded.unionByName(now)
-        table = crowd_bits(crowded)
+        table = bits if table is None else table | bits
         buckets = min(buckets, parts_for(left * 1000, BUCKET))
     pairs = parts[0]
     for more in parts[1:]:
@@ -389,6 +391,11 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
+def strips(k: int) -> list[slice]:
+    """Rows of a ``k`` by ``k`` table in parts, so that only its answer is held whole."""
+    return [slice(low, min(k, low + STRIP)) for low in range(0, k, STRIP)]
+
+
 def common(owner: np.ndarray, items: np.ndarray, k: int) -> np.ndarray:
     """How many items each two of ``k`` sets share; the diagonal is left open."""
     order = np.lexsort((owner, items))
@@ -404,7 +411,8 @@ def common(owner: np.ndarray, items: np.ndarray, k: int) -> np.ndarray:
         on = column[number] >= 0
         has = np.zeros((k, len(part)), np.float32)
         has[owner[on], column[number[on]]] = 1
-        out += has @ has.T
+        for rows in strips(k):
+            out[rows] += has[rows] @ has.T
     rest = np.flatnonzero(length[number] < DENSE)
     for step in range(1, DENSE):
         rest = rest[rest + step < len(owner)]
@@ -421,18 +429,23 @@ def answers(own: list[np.ndarray]) -> np.ndarray:
     n = np.array([len(x) for x in own], np.float64)
     lead = own[int(n.argmin())]
     c = np.array([np.isin(x, lead, assume_unique=True).sum() for x in own], np.float64)
-    both = n[:, None] + n[None, :]
-    # the parts of two sets inside the leader overlap at least, and all parts at most, so much
-    low = c[:, None] + c[None, :] - len(lead)
-    high = np.minimum(c[:, None], c[None, :]) + np.minimum((n - c)[:, None], (n - c)[None, :])
-    linked = 100 * low >= PERCENT * (both - low)
-    open_pairs = ~linked & (100 * high >= PERCENT * (both - high))
-    np.fill_diagonal(open_pairs, False)
-    at = np.flatnonzero(open_pairs.any(axis=1))
+    linked, undecided = np.zeros((len(own), len(own)), bool), np.zeros(len(own), bool)
+    for rows in strips(len(own)):
+        both = n[rows, None] + n[None, :]
+        # the parts of two sets inside the leader overlap at least, and all parts at most, so much
+        low = c[rows, None] + c[None, :] - len(lead)
+        high = np.minimum(c[rows, None], c[None, :]) + np.minimum((n - c)[rows, None], (n - c)[None, :])
+        linked[rows] = 100 * low >= PERCENT * (both - low)
+        open_pairs = ~linked[rows] & (100 * high >= PERCENT * (both - high))
+        open_pairs[np.arange(len(both)), np.arange(rows.start, rows.stop)] = False
+        undecided[rows] = open_pairs.any(axis=1)
+    at = np.flatnonzero(undecided)
     if len(at):
         part = [own[i] for i in at]
-        met = common(np.repeat(np.arange(len(at)), [len(x) for x in part]), np.concatenate(part), len(at)).astype(np.float64)
-        linked[np.ix_(at, at)] = 100 * met >= PERCENT * (both[np.ix_(at, at)] - met)
+        met = common(np.repeat(np.arange(len(at)), [len(x) for x in part]), np.concatenate(part), len(at))
+        for rows in strips(len(at)):
+            here = met[rows].astype(np.float64)
+            linked[np.ix_(at[rows], at)] = 100 * here >= PERCENT * (n[at[rows], None] + n[None, at] - here)
     np.fill_diagonal(linked, False)
     return linked
 
