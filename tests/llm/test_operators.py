@@ -357,6 +357,14 @@ def brute_base(corpus):
     return {i: (len(w), sum(counts[x] > 0 for x in w), n, sum(np.log10((counts[x] + 1) / (n + v + 1)) for x in w)) for i, w in tokens.items()}
 
 
+def test_suffix_tree_symbols(monkeypatch):
+    rows = [None, "", " ", "a", " \t\n", "A  b\x0b c ", "x", "\x1c\x00 y", " \u00e9 \u00dc\u2003z", "a b\n"]
+    monkeypatch.setattr(suffix_tree, "find_words", None)  # seven passes need the symbols only
+    symbols, bounds = suffix_tree.sentences(texts(pa.array(rows)))[:2]
+    for row, a, b in zip(rows, bounds[:-1], bounds[1:], strict=True):
+        assert symbols[a:b].tobytes() == b" ".join(re.findall(rb"[^\x20\x09-\x0d]+", lowered(row).encode())) + b"\n"
+
+
 def test_suffix_tree_base(docs, corpus, monkeypatch):
     expected = brute_base(corpus)
     for heavy in (1e-6, 0.02):
