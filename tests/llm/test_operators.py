@@ -164,6 +164,27 @@ def test_suffix_dedup_strings_that_meet():
     assert found(meeting) == found(np.arange(len(left))) != set()
 
 
+def test_suffix_dedup_collections_of_like_strings():
+    rng = np.random.default_rng(3)
+    hashes = np.repeat(np.arange(400, dtype=np.uint64) * np.uint64(77777), 5)
+    sizes = np.where(hashes % np.uint64(5) == 0, 113, 60) - rng.integers(0, 5, len(hashes))
+    parts = suffix_dedup.by_hash(hashes, sizes, 2000)
+    assert sorted(np.concatenate(parts).tolist()) == list(range(len(hashes)))
+    assert sum(len(np.unique(hashes[p])) for p in parts) == 400
+    # a collection takes as many rounds over its suffixes as its longest string has symbols
+    assert sum(int(sizes[p].sum()) * int(sizes[p].max()) for p in parts) < 1.1 * sum(int(x) * (113 if x > 60 else 60) for x in sizes)
+
+
+def test_suffix_dedup_repeats():
+    rng = np.random.default_rng(4)
+    hashes, content, ids = rng.integers(0, 40, 3000).astype(np.uint64), rng.integers(0, 900, 3000).astype(np.uint64), rng.integers(0, 50, 3000)
+    least = collections.defaultdict(lambda: 99)
+    for h, c, i in zip(hashes, content, ids, strict=True):
+        least[h, c] = min(least[h, c], i)
+    assert suffix_dedup._repeats(hashes, content, ids).tolist() == [i > least[h, c] for h, c, i in zip(hashes, content, ids, strict=True)]
+    assert not len(suffix_dedup._repeats(hashes[:0], content[:0], ids[:0]))
+
+
 def test_suffix_dedup_without_ids(spark):
     """Texts without an id are numbered in slots; each is judged by its own text."""
     shared = "these words stand in every one of the texts that have no identifier at all "

@@ -82,7 +82,8 @@ def segments(t: Texts, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.n
             size *= 2
         if size < span:
             best = np.minimum(best[: len(best) - (span - size)], best[span - size :])
-        owner = np.searchsorted(t.bounds, np.arange(low, low + len(best)), side="right") - 1
+        at = np.clip(t.bounds, low, low + len(best))
+        owner = np.repeat(np.arange(t.n), at[1:] - at[:-1])
         inside = np.arange(low, low + len(best)) + width < t.bounds[owner + 1]
         new = np.ones(len(best), dtype=bool)
         new[1:] = (best[1:] != best[:-1]) | (owner[1:] != owner[:-1]) | (inside[1:] != inside[:-1])
@@ -124,12 +125,16 @@ def found_rows(gone: bool, ids, nth, starts, windows, hashes=None, crowded=None)
 
 def _repeats(hashes: np.ndarray, content: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Mask of the entries whose segment also has an entry with a smaller id."""
-    order = np.lexsort((ids, content, hashes))
+    out = np.zeros(len(hashes), dtype=bool)
+    order = np.argsort(content)
+    c = content[order]
+    same = np.concatenate([[False], c[1:] == c[:-1], [False]])
+    order = order[same[1:] | same[:-1]] if len(c) else order  # most segments are there once
+    order = order[np.lexsort((ids[order], content[order], hashes[order]))]
     h, c, i = hashes[order], content[order], ids[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
     first = i[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else i
-    out = np.zeros(len(h), dtype=bool)
     out[order] = i > first
     return out
 
@@ -247,8 +252,9 @@ def construct(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, folder: st
         suffix, lcp = columns.read("suffix"), columns.read("lcp")
         suffix[rank[active]] ^= buf[starts[active] + sizes[active] - 1 - t].astype(np.uint64) ^ no_symbol
         symbol = (suffix & symbol_bits).astype(np.uint16)
-        order = np.argsort(symbol, kind="stable")
-        order = order[: np.searchsorted(symbol[order], NO_SYMBOL)]
+        some = np.flatnonzero(symbol != NO_SYMBOL)
+        symbol = symbol.astype(np.uint8)  # bytes sort in one pass
+        order = some[np.argsort(symbol[some], kind="stable")]
         place = np.empty(len(suffix), dtype=np.int64)
         place[order] = np.arange(m, m + len(order))
         rank[active] = place[rank[active]]
@@ -360,10 +366,14 @@ def meeting(buf: np.ndarray, begin: np.ndarray, sizes: np.ndarray, hashes: np.nd
 
 
 def by_hash(hashes: np.ndarray, sizes: np.ndarray, limit: int) -> list[np.ndarray]:
-    """The strings in lists of ``limit`` bytes and one hash more; one hash is in one list."""
+    """The strings in lists of ``limit`` bytes and one hash more; one hash is in one list.
+    Hashes go by their longest string, as a collection takes as many rounds as its longest."""
     order = np.argsort(hashes, kind="stable")
     if not len(order):
         return []
+    heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+    longest = np.repeat(np.maximum.reduceat(sizes[order], heads), np.diff(np.append(heads, len(order))))
+    order = order[np.lexsort((hashes[order], longest))]
     before = np.cumsum(sizes[order]) - sizes[order]
     heads = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
     parts = np.repeat(before[heads] // limit, np.diff(np.append(heads, len(order))))
