@@ -433,6 +433,41 @@ def test_suffix_tree_scores(spark, corpus):
     assert len(tree.logs) == len(logs)
 
 
+def test_suffix_tree_has_every_context(spark, corpus, monkeypatch):
+    """Scores are those of all contexts up to seven symbols, however rare, whatever part of them every task holds."""
+    rows = [*corpus, (100, "\x00\x00 a\x00 b", *corpus[0][2:]), (101, "\x00a \x7f\x7f", *corpus[0][2:])]
+    said = {i: b"\n" + b" ".join(re.findall(rb"[^\x20\x09-\x0d]+", lowered(t).encode())) + b"\n" for i, t, *_ in rows}
+    counts = collections.defaultdict(collections.Counter)
+    for i, s in said.items():
+        for k in range(1, len(s)) if zlib.crc32(str(i).encode()) % 7 != 2 else ():
+            for d in range(min(k, 7) + 1):
+                counts[s[k - d : k]][s[k]] += 1
+    total = sum(counts[b""].values())
+    logs = {b"": {x: np.log10((counts[b""][x] + 1) / (total + 256)) for x in range(256)}}
+
+    def state(context):
+        while context not in logs:
+            context = context[1:]
+        return context
+
+    for context in sorted((c for c in counts if c), key=len):
+        n, shorter = sum(counts[context].values()), logs[state(context[1:])]
+        g = 2 * sum(c * (np.log(c / n) - shorter[x] * np.log(10)) for x, c in counts[context].items())
+        if g > suffix_tree.TEST + 2 * len(counts[context]):
+            logs[context] = {x: np.log10((counts[context][x] + suffix_tree.PRIOR * 10 ** shorter[x]) / (n + suffix_tree.PRIOR)) for x in range(256)}
+    expected = {i: sum(logs[state(s[max(0, k - 7) : k])][s[k]] for k in range(1, len(s))) for i, s in said.items()}
+    rare = sum(sum(counts[c].values()) < 0.002 * total for c in logs)
+    assert rare > 100
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    for share, chunk, least in ((0.002, 1 << 25, 1 << 22), (1.0, 3000, 50), (0.0, 20000, 1 << 22)):
+        monkeypatch.setattr(suffix_tree, "CHUNK", chunk)
+        monkeypatch.setattr(suffix_tree, "SORTED", least)
+        monkeypatch.setattr(suffix_tree, "ROW", max(10, least >> 12))
+        found = by_id(suffix_tree.score(frame, share=share), "score")
+        assert found.keys() == expected.keys()
+        assert max(abs(found[i][0] - x) / max(1, abs(x)) for i, x in expected.items()) < 1e-4
+
+
 def test_suffix_tree_probabilities_sum_to_one(spark, corpus):
     rows = spark.createDataFrame([(t,) for _, t, *_ in corpus[:10]], "text string")
     tree, _ = suffix_tree.grow(rows, depth=3, share=0.001)
