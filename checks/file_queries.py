@@ -16,7 +16,7 @@ from ticketloom.functions.fields import flatten_json, parse_json
 from ticketloom.functions.picks import whole_div
 from ticketloom.operators import synth
 from ticketloom.plans import build, curate
-from ticketloom.session import stage_path
+from ticketloom.session import shuffles_removed, stage_path
 from ticketloom.sources import lines, tables, versions
 from ticketloom.sources.taxonomy import built_in_taxonomy
 
@@ -110,7 +110,9 @@ def lines_in_parts(spark: SparkSession, sf_dir: str) -> str:
     path = stage_path(spark, "parts")
     part = F.lpad(whole_div(F.col("pos"), PART_LINES).cast("string"), 9, "0")
     numbered = json_lines(spark, sf_dir).select(part.alias("part"), "pos", "raw")
-    numbered.repartition("part").sortWithinPartitions("part", "pos").select("part", "raw").write.partitionBy("part").text(path)
+    ordered = numbered.repartition("part").sortWithinPartitions("part", "pos").select("part", "raw")
+    with shuffles_removed(spark):
+        ordered.write.partitionBy("part").text(path, compression="gzip")
     return f"{path}/part=*/*"
 
 

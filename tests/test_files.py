@@ -179,3 +179,32 @@ def test_many_small_files_share_output_folders(spark, tmp_path):
     assert all(a.last_pos < b.first_pos for a, b in zip(held, held[1:]))
     again = lines.read_parts(spark, f"{built.clean_jsonl}/split=*/*").orderBy("pos").collect()
     assert [json.loads(r.raw)["ticket_id"] for r in again] == ids(built.clean_jsonl)
+
+
+def test_the_loop_keeps_little_beside_its_outputs(spark, tmp_path):
+    """Files are compressed and hold every line; tables that only a step read are gone after it."""
+    from pathlib import Path
+
+    from ticketloom.session import staging_root
+
+    glob, expected = parts_of(tmp_path, [(f"part_{n:03d}", 1 + n % 9) for n in range(80)])
+    folder = Path(staging_root(spark).removeprefix("file:")) / "ticketloom"
+    stood = set(folder.glob("*")) if folder.exists() else set()
+    done = curate.fix_loop(spark, glob, str(tmp_path / "loop"))
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - stood if any(p.iterdir())}
+    assert "in-ranges" in left
+    assert not {"checked", "rejects", "part-lines", "fixes", "latest-fixes", "replacing", "rows-to-replace"} & left
+    assert not list(folder.glob("run-*"))
+    data = [p for p in (tmp_path / "loop").rglob("part-*") if "_manifest" not in str(p) and "manifest-" not in str(p)]
+    assert data and all(p.name.endswith(".gz") for p in data)
+    assert [r.raw for r in done.before.validated.orderBy("pos").collect()] == [raw for *_, raw in expected]
+    rows = done.after.validated.orderBy("pos").collect()
+    for built, reasons in ((done.before, {r.pos: r.reason for r in done.before.validated.collect()}), (done.after, {r.pos: r.reason for r in rows})):
+        accepted = [r.ticket_id for r in built.validated.orderBy("pos").collect() if not reasons[r.pos]]
+        again = lines.read_parts(spark, f"{built.clean_jsonl}/split=*/*").orderBy("pos").collect()
+        assert [json.loads(r.raw)["ticket_id"] for r in again] == accepted
+        assert sorted(r.ticket_id for r in tables.read_csv(spark, built.clean_csv).collect()) == sorted(accepted)
+        assert len(lines.read_parts(spark, f"{built.rejected}/split=*/*").collect()) == sum(bool(r) for r in reasons.values())
+    plain = curate.fix_loop(spark, glob, str(tmp_path / "plain"), compression="none")
+    assert [(r.line, r.raw) for r in plain.after.validated.orderBy("pos").collect()] == [(r.line, r.raw) for r in rows]
+    assert not list((tmp_path / "plain").rglob("*.gz"))

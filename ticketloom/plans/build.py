@@ -160,6 +160,7 @@ def build(
     taxonomy_path: str | None = None,
     fixes_glob: str | None = None,
     profile: str = "code",
+    compression: str = "none",
 ) -> Built:
     """Validate all parts and write the clean set and the rejects below ``out_dir``.
 
@@ -167,35 +168,38 @@ def build(
     parts stays in ``out_dir``/parts. Outputs are in input order. Only (id, position)
     pairs for the duplicate check are shuffled: lines are written by the tasks that
     read them, a folder a split, as long as the repeated ids are few enough to send
-    to every task.
+    to every task. ``compression`` is a text writer's (none, gzip), for all outputs.
     """
     prepare(spark)
     if fixes_glob is None:
-        return build_lines(spark, scan_lines(spark, input_glob), out_dir, taxonomy_path, profile)
+        return build_lines(spark, scan_lines(spark, input_glob), out_dir, taxonomy_path, profile, compression=compression)
     fixed_version(spark, f"{out_dir}/parts", input_glob, fixes_glob)
-    return build_version(spark, f"{out_dir}/parts", out_dir, taxonomy_path, profile)
+    return build_version(spark, f"{out_dir}/parts", out_dir, taxonomy_path, profile, compression=compression)
 
 
 def build_version(
-    spark: SparkSession, store: str, out_dir: str, taxonomy_path: str | None = None, profile: str = "code", version: int | None = None
+    spark: SparkSession, store: str, out_dir: str, taxonomy_path: str | None = None, profile: str = "code", version: int | None = None,
+    compression: str = "none",
 ) -> Built:
     """``build`` over the parts of a version in ``store``, that in force unless named."""
     prepare(spark)
     files = manifest(spark, store, version)
-    return build_lines(spark, scan(spark, files), out_dir, taxonomy_path, profile, files)
+    return build_lines(spark, scan(spark, files), out_dir, taxonomy_path, profile, files, compression)
 
 
 def build_lines(
-    spark: SparkSession, lines: DataFrame, out_dir: str, taxonomy_path: str | None, profile: str, files: DataFrame | None = None
+    spark: SparkSession, lines: DataFrame, out_dir: str, taxonomy_path: str | None, profile: str, files: DataFrame | None = None,
+    compression: str = "none",
 ) -> Built:
     taxonomy = load_taxonomy(spark, taxonomy_path) if taxonomy_path else built_in_taxonomy(spark)
     moved: list[str] = []
     validated = resolve(checked_parts(spark, lines, taxonomy, files, profile, moved), moved)
     built = Built(validated, f"{out_dir}/clean_jsonl", f"{out_dir}/clean_csv", f"{out_dir}/rejected")
-    write_ordered(clean_json(validated), built.clean_jsonl, ["json"], "text", bool(moved))
-    write_ordered(flatten_nested(clean_rows(validated)), built.clean_csv, REQUIRED_KEYS, "csv", bool(moved), emptyValue="", **CSV_OPTIONS)
+    write_ordered(clean_json(validated), built.clean_jsonl, ["json"], "text", bool(moved), compression=compression)
+    csv = {**CSV_OPTIONS, "emptyValue": "", "compression": compression}
+    write_ordered(flatten_nested(clean_rows(validated)), built.clean_csv, REQUIRED_KEYS, "csv", bool(moved), **csv)
     bad = rejected(validated)
-    write_ordered(bad.select(*place(bad), reject_text().alias("json")), built.rejected, ["json"], "text", bool(moved))
+    write_ordered(bad.select(*place(bad), reject_text().alias("json")), built.rejected, ["json"], "text", bool(moved), compression=compression)
     return built
 
 

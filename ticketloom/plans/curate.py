@@ -18,7 +18,7 @@ from ticketloom.operators.fixes import merge_fixes
 from ticketloom.operators.quality import report
 from ticketloom.operators.repair import repair_lines
 from ticketloom.plans.build import Built, build, build_version, rejected
-from ticketloom.session import prepare, stage, staging
+from ticketloom.session import prepare, shuffles_removed, stage, staging
 from ticketloom.sources.lines import SPLIT, number_lines, read_parts, scan_lines
 from ticketloom.sources.tables import in_order, project, reject_text, write_jsonl, write_ordered, write_report
 from ticketloom.sources.taxonomy import built_in_remap, built_in_taxonomy, load_taxonomy
@@ -127,26 +127,33 @@ class Looped:
     version: int
 
 
-def fix_loop(spark: SparkSession, input_glob: str, out: str, taxonomy_path: str | None = None, profile: str = "code") -> Looped:
+def fix_loop(
+    spark: SparkSession, input_glob: str, out: str, taxonomy_path: str | None = None, profile: str = "code", compression: str = "gzip"
+) -> Looped:
     """Build, repair what was rejected by rule, merge it into its parts and build again.
 
     Repaired rows stay with the part they were rejected in, so nothing is paired by
     name. Only parts with rejects are written anew, as a version in ``out``/parts. A
     rejected line without an id stays as it is, and its repaired row is a new one.
+
+    A line is written up to five times, so files are compressed (``none``: they are not),
+    and what only the merge reads is removed after it.
     """
     prepare(spark)
     store = f"{out}/parts"
-    before = build(spark, input_glob, f"{out}/before", taxonomy_path, profile=profile)
+    before = build(spark, input_glob, f"{out}/before", taxonomy_path, profile=profile, compression=compression)
     start(spark, store, listed(spark, input_glob))
-    bad = stage(rejected(before.validated).select("source", "line", "raw"), "rejects")
-    repaired = repair_lines(bad, taxonomy_of(spark, taxonomy_path), before.validated.select("ticket_id"))
-    ticket = F.to_json(F.struct(*REQUIRED_KEYS), {"ignoreNullFields": "false"})
-    fixes = repaired.select(F.col("source").alias("part"), "line", json_string(F.col("ticket_id")).alias("id_key"), ticket.alias("raw"))
-    lines = before.validated.select(F.col("source").alias("part"), "line", "id_key", "raw")
-    changed = stage(bad.select(F.col("source").alias("part")).distinct(), "changed")
-    merged = merge_fixes(stage(lines.join(changed, "part", "left_semi"), "part-lines"), stage(fixes, "fixes"), ["raw"])
-    version = replace_parts(spark, store, merged.select("part", "line", "raw"))
-    return Looped(before, build_version(spark, store, f"{out}/after", taxonomy_path, profile), store, version)
+    with staging(spark), shuffles_removed(spark):
+        bad = stage(rejected(before.validated).select("source", "line", "raw"), "rejects")
+        repaired = repair_lines(bad, taxonomy_of(spark, taxonomy_path), before.validated.select("ticket_id"))
+        ticket = F.to_json(F.struct(*REQUIRED_KEYS), {"ignoreNullFields": "false"})
+        fixes = repaired.select(F.col("source").alias("part"), "line", json_string(F.col("ticket_id")).alias("id_key"), ticket.alias("raw"))
+        lines = before.validated.select(F.col("source").alias("part"), "line", "id_key", "raw")
+        changed = stage(bad.select(F.col("source").alias("part")).distinct(), "changed")
+        merged = merge_fixes(stage(lines.join(changed, "part", "left_semi"), "part-lines"), stage(fixes, "fixes"), ["raw"])
+        version = replace_parts(spark, store, merged.select("part", "line", "raw"), compression)
+    after = build_version(spark, store, f"{out}/after", taxonomy_path, profile, compression=compression)
+    return Looped(before, after, store, version)
 
 
 def repair_rejects(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions.joins import lookup_join
 from ticketloom.functions.text import strip_line
-from ticketloom.session import stage
+from ticketloom.session import stage, unstaged
 
 # pos = file number * 2^37 + line: 2^26 files of 2^37 lines each fit a bigint
 LINE_BITS = 37
@@ -77,10 +77,13 @@ def number_lines(
     split, and of the piece of it that a task reads, among all of the input. It
     sorts like ``pos``, and a piece's rows come from one task in order. ``moved``
     gets a name if a join shuffled the rows, after which the latter no longer holds.
-    Lines of many small files are dealt into ranges of ``pos`` first, which are splits then.
+    Lines of many small files are dealt into ranges of ``pos`` first, which are splits then;
+    that is a staged table of its own, and ``staged`` is deleted.
     """
     if keep_split and small_files(staged):
-        return in_ranges(number_lines(staged, files))
+        dealt = in_ranges(number_lines(staged, files))
+        unstaged(staged)
+        return dealt
     if keep_split:
         staged = staged.select("*", F.col("_metadata.file_block_start").alias("piece"))
     splits = staged.groupBy("source", "block").agg(

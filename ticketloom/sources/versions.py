@@ -106,11 +106,11 @@ def scan(spark: SparkSession, files: DataFrame) -> DataFrame:
     return scan_lines(spark, paths) if paths else spark.createDataFrame([], "source string, block bigint, row_id bigint, raw string")
 
 
-def replace_parts(spark: SparkSession, store: str, lines: DataFrame) -> int:
+def replace_parts(spark: SparkSession, store: str, lines: DataFrame, compression: str = "none") -> int:
     """A new version with other lines ``(part, line, raw)`` for some parts.
 
     Only these are written, in ranges of (part, line), so a large part spans many
-    tasks and files. Parts are told apart by a number in folder names.
+    tasks and files, compressed or not. Parts are told apart by a number in folder names.
     """
     version = current(spark, store) + 1
     before = manifest(spark, store)
@@ -118,7 +118,7 @@ def replace_parts(spark: SparkSession, store: str, lines: DataFrame) -> int:
     folder = f"{store}/lines-{version:08d}"
     numbered = lookup_join(lines, changed, "part", "inner", "part-numbers", fixed_width=False)
     ordered = numbered.repartitionByRange("part_no", "line").sortWithinPartitions("part_no", "line")
-    ordered.select("part_no", "raw").write.mode("overwrite").partitionBy("part_no").text(folder)
+    ordered.select("part_no", "raw").write.mode("overwrite").partitionBy("part_no").text(folder, compression=compression)
     place = F.col("_metadata.file_path")
     counted = spark.read.text(folder).select(place.alias("path"), F.col("part_no").cast("bigint").alias("part_no"))
     # files of a part sort by the number of the range they hold
